@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.functions.text import rejected
+from salesloom.operators.rollup import row_count
 from salesloom.schema import TableDef
 
 
@@ -42,25 +43,32 @@ def fk_orphans(fact: DataFrame, fact_key: str, dimension: DataFrame, dim_key: st
     used = (
         fact.where(F.col(fact_key).isNotNull())
         .groupBy(F.col(fact_key).alias("key_value"))
-        .agg(F.count(F.lit(1)).alias("row_count"))
+        .agg(row_count(fact).alias("row_count"))
     )
     known = dimension.select(F.col(dim_key).alias("key_value"))
     return used.join(known, "key_value", "left_anti")
 
 
 def fk_summary(
+    fact: DataFrame, fact_key: str, dimension: DataFrame, dim_key: str, dim_name: str
+) -> DataFrame:
+    """One row: number of orphan key values, and of the fact rows that hold them."""
+    return fk_orphans(fact, fact_key, dimension, dim_key).agg(
+        F.lit(fact_key).alias("fact_key"),
+        F.lit(dim_name).alias("dimension"),
+        F.count(F.lit(1)).alias("orphan_keys"),
+        F.coalesce(F.sum("row_count"), F.lit(0).cast("bigint")).alias("orphan_rows"),
+    )
+
+
+def fk_report(
     fact: DataFrame, dimensions: dict[str, DataFrame], table: TableDef
 ) -> DataFrame:
-    """Per foreign key: number of orphan key values and of the rows that hold them."""
+    """The summary of each foreign key of the table whose column and dimension are given."""
     parts = [
-        fk_orphans(fact, fact_key, dimensions[dim], dim_key).agg(
-            F.lit(fact_key).alias("fact_key"),
-            F.lit(dim).alias("dimension"),
-            F.count(F.lit(1)).alias("orphan_keys"),
-            F.coalesce(F.sum("row_count"), F.lit(0).cast("bigint")).alias("orphan_rows"),
-        )
+        fk_summary(fact, fact_key, dimensions[dim], dim_key, dim)
         for fact_key, (dim, dim_key) in table.foreign_keys.items()
-        if dim in dimensions
+        if dim in dimensions and fact_key in fact.columns
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -68,7 +76,7 @@ def fk_summary(
 def load_profile(sales: DataFrame) -> DataFrame:
     """Row count, distinct days and date range of a loaded fact, in one pass."""
     return sales.agg(
-        F.count(F.lit(1)).alias("row_count"),
+        row_count(sales).alias("row_count"),
         F.countDistinct("order_date").alias("distinct_days"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),

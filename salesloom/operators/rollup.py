@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.functions.money import as_money, is_nonfinite
+from salesloom.functions.money import cents, from_cents, is_nonfinite
 
 SALE_ROWS = "sale_rows"
+CENTS = "amount_cents"
 NONFINITE = "nonfinite_amount"
 
 
@@ -27,25 +28,25 @@ def row_count(sales: DataFrame) -> Column:
     return F.count(F.lit(1))
 
 
-def _amount(sales: DataFrame) -> tuple[Column, Column]:
-    amount = F.col("total_amount")
+def _cents(sales: DataFrame) -> tuple[Column, Column]:
     if is_pre_aggregated(sales):
-        return F.sum(amount), F.bool_or(NONFINITE)
-    return F.sum(as_money(amount)), F.bool_or(is_nonfinite(amount))
+        return F.sum(CENTS), F.bool_or(NONFINITE)
+    amount = F.col("total_amount")
+    return F.sum(cents(amount)), F.bool_or(is_nonfinite(amount))
 
 
 def revenue(sales: DataFrame) -> Column:
     """Sum of total_amount; NULL when an amount is NaN or infinite, as no total exists then."""
-    total, nonfinite = _amount(sales)
-    return F.when(~F.coalesce(nonfinite, F.lit(False)), total.cast("double"))
+    total, nonfinite = _cents(sales)
+    return F.when(~F.coalesce(nonfinite, F.lit(False)), from_cents(total))
 
 
 def pre_aggregate(sales: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key with the row count, units and exact amount of its sales."""
-    total, nonfinite = _amount(sales)
+    total, nonfinite = _cents(sales)
     return sales.groupBy(*keys).agg(
         row_count(sales).alias(SALE_ROWS),
         F.sum("quantity").alias("quantity"),
-        total.alias("total_amount"),
+        total.alias(CENTS),
         nonfinite.alias(NONFINITE),
     )

@@ -58,20 +58,24 @@ def sales_by_calendar(sales: DataFrame, date: DataFrame, attributes: list[str])
 
 
 def top_products_named(sales: DataFrame, product: DataFrame, limit: int) -> DataFrame:
-    """Top products with their names; the join happens on the few rows that are left."""
-    names = product.select("product_id", "product_name", "category")
-    return (
-        top_products(sales, limit)
-        .join(names, "product_id", "left")
-        .orderBy(F.desc_nulls_last("revenue"), "product_id")
+    """Top products with their names.
+
+    The names are first cut down to the products in question. The limit bounds
+    that side, so Spark broadcasts it and the dimension is scanned in place.
+    """
+    top = top_products(sales, limit)
+    names = product.select("product_id", "product_name", "category").join(
+        top.select("product_id"), "product_id", "left_semi"
+    )
+    return top.join(names, "product_id", "left").orderBy(
+        F.desc_nulls_last("revenue"), "product_id"
     )
 
 
 def customer_activity(sales: DataFrame, customer: DataFrame) -> DataFrame:
     """Every customer with the number of sales and revenue, 0 and NULL where there is none."""
-    per_customer = pre_aggregate(sales, ["customer_id"])
-    totals = per_customer.groupBy("customer_id").agg(
-        row_count(per_customer).alias("sales"), revenue(per_customer).alias("revenue")
+    totals = sales.groupBy("customer_id").agg(
+        row_count(sales).alias("sales"), revenue(sales).alias("revenue")
     )
     return (
         customer.select("customer_id", "first_name", "last_name")

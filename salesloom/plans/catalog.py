@@ -188,7 +188,7 @@ def top_products_last_month(spark, folder):
 def orders_last_weekend(spark, folder):
     views = StarViews(spark, folder)
     weekend = metrics.previous_weekend(ANCHOR)
-    return metrics.orders_last_weekend(views.order_sales(weekend), ANCHOR)
+    return metrics.orders_last_weekend(views.sales(weekend), ANCHOR)
 
 
 @query(
@@ -374,14 +374,14 @@ WHERE {used} IS NOT NULL AND {key} IS NULL"""
 )
 def fk_orphans(spark, folder):
     views = StarViews(spark, folder)
-    lines_without_order = quality.fk_orphans(views.lines(), "order_id", views.orders(), "order_id")
-    return quality.fk_summary(views.sales(), views.dimensions(), FACT_SALES).unionByName(
-        lines_without_order.agg(
-            F.lit("order_id").alias("fact_key"),
-            F.lit("orders").alias("dimension"),
-            F.count(F.lit(1)).alias("orphan_keys"),
-            F.coalesce(F.sum("row_count"), F.lit(0).cast("bigint")).alias("orphan_rows"),
-        )
+    dims = views.dimensions()
+    # Product and store keys are on the lines; only date and customer need the order.
+    return _stack(
+        [
+            quality.fk_report(views.lines(), dims, FACT_SALES),
+            quality.fk_report(views.order_sales(), dims, FACT_SALES),
+            quality.fk_summary(views.lines(), "order_id", views.orders(), "order_id", "orders"),
+        ]
     )
 
 
@@ -391,7 +391,7 @@ def fk_orphans(spark, folder):
        MIN(order_date) AS first_order_date, MAX(order_date) AS last_order_date FROM fact"""
 )
 def load_profile(spark, folder):
-    return quality.load_profile(StarViews(spark, folder).sales())
+    return quality.load_profile(StarViews(spark, folder).order_sales())
 
 
 @query(
@@ -612,7 +612,11 @@ def now_vs_then(spark, folder):
     return ask(loaded(spark, folder, "staged"), "orders_now_vs_then", snapshot_id=1).rows
 
 
-@query("SELECT CAST(1 AS BIGINT) AS current_orders, CAST(0 AS BIGINT) AS old_orders")
+@query(
+    _with(FACT)
+    + f"SELECT COUNT(*) + 1 AS current_orders, COUNT(*) AS old_orders FROM fact "
+    f"WHERE order_id = {INSERTED_ORDER}"
+)
 def row_presence(spark, folder):
     lake = loaded(spark, folder, "edited")
     return compare.presence(

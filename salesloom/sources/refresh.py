@@ -25,8 +25,8 @@ class LakeSink:
         self.partitioning = partitioning or {}
 
     def clear(self, name: str, like: DataFrame) -> None:
-        self.lake.drop(name, if_exists=True)
-        self.lake.create(name, like.schema, *self.partitioning.get(name, (None,)))
+        column, granularity = self.partitioning.get(name, (None, "day"))
+        self.lake.create(name, like.schema, column, granularity, or_replace=True)
 
     def load(self, name: str, rows: DataFrame) -> None:
         self.lake.append(name, rows)

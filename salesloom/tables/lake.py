@@ -44,6 +44,7 @@ class Lake:
         partition_by: str | None = None,
         granularity: str = "day",
         if_not_exists: bool = False,
+        or_replace: bool = False,
         committed_at: dt.datetime | None = None,
     ) -> None:
         """Define an empty table. The partition column may be a date or a timestamp.
@@ -55,7 +56,8 @@ class Lake:
         if log.is_live(rows):
             if if_not_exists:
                 return
-            raise ValueError(f"table {name} already exists")
+            if not or_replace:
+                raise ValueError(f"table {name} already exists")
         if isinstance(schema, str):
             schema = T.StructType.fromDDL(schema)
         with_ids = T.StructType(
@@ -142,9 +144,15 @@ class Lake:
         granularity: str = "day",
         committed_at: dt.datetime | None = None,
     ) -> int:
-        """Drop the table if it exists, create it from the rows and load them."""
-        self.drop(name, if_exists=True, committed_at=committed_at)
-        self.create(name, rows.schema, partition_by, granularity, committed_at=committed_at)
+        """Create the table from the rows; one of that name is gone with its history."""
+        self.create(
+            name,
+            rows.schema,
+            partition_by,
+            granularity,
+            or_replace=True,
+            committed_at=committed_at,
+        )
         return self.append(name, rows, committed_at)
 
     # -- reads ------------------------------------------------------------
@@ -267,7 +275,7 @@ class Lake:
     def files(self, name: str, snapshot_id: int | None = None) -> DataFrame:
         """Data files with partition, size and commit. Lists directories, opens no file."""
         state = self.state(name, snapshot_id)
-        return self._listing(state, state.visible)
+        return self._listing(state, state.visible).drop("directory")
 
     def pruning_report(
         self, name: str, low: DateLike, high: DateLike, snapshot_id: int | None = None
@@ -282,7 +290,7 @@ class Lake:
         part = F.col("partition")
         touched = (part >= first) & (part < F.lit(high).cast("timestamp_ntz"))
         rows = self.read(name, snapshot_id, between=(low, high))
-        directories = self._listing(state, state.visible).select("partition").distinct()
+        directories = self._listing(state, state.visible).select("directory", "partition").distinct()
         return directories.agg(
             F.count(F.lit(1)).alias("partitions_total"),
             F.count_if(touched).alias("partitions_matched"),
@@ -369,8 +377,10 @@ class Lake:
                 f"{name} has the columns {state.schema.names}, the rows have {rows.columns}"
             )
         version = state.next_snapshot_id
-        # `to` checks and reorders; the alias carries the field id into the file.
-        conformed = rows.to(state.schema).select(
+        # `to` checks types and reorders. The ids go onto aliases on top of it: put on
+        # by `to` itself, the optimizer drops them before the file is written.
+        plain = T.StructType([T.StructField(f.name, f.dataType) for f in state.schema.fields])
+        conformed = rows.to(plain).select(
             *[F.col(f.name).alias(f.name, metadata=f.metadata) for f in state.schema.fields]
         )
         added = self._write(state, conformed, version)
@@ -423,7 +433,7 @@ class Lake:
         sizes = self._listing(state, (version,)).agg(
             F.count(F.lit(1)).alias("data_files"),
             F.coalesce(F.sum("file_size"), F.lit(0)).alias("files_size"),
-            F.countDistinct("partition").alias("partitions"),
+            F.countDistinct("directory").alias("partitions"),
         ).first()
         return {
             "records": counter.get["records"],
@@ -458,24 +468,25 @@ class Lake:
         return reader.parquet(*self._folders(state, versions)).select(*output)
 
     def _listing(self, state: TableState, versions: tuple[int, ...]) -> DataFrame:
+        """Files of some commits. The content is not selected, so none is opened."""
+        if not versions:
+            nothing = "path string, length bigint"
+            found = self.spark.createDataFrame([], nothing)
+        else:
+            reader = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+            found = reader.option("recursiveFileLookup", "true").load(
+                self._folders(state, versions)
+            )
         part = state.partition
-        partition = F.lit(None).cast("date") if part is None else F.col(part.directory)
-        columns = [
+        directory = (
+            F.lit(None).cast("string")
+            if part is None
+            else F.regexp_extract("path", f"/{part.directory}=([^/]*)/", 1)
+        )
+        return found.select(
             F.col("path").alias("file_path"),
-            partition.cast("date").alias("partition"),
+            directory.try_cast("date").alias("partition"),
+            directory.alias("directory"),
             F.col("length").alias("file_size"),
-            F.col(COMMIT).cast("bigint").alias(COMMIT),
-        ]
-        # The content column is not selected, so this reads names and sizes only.
-        ddl = "path string, modificationTime timestamp, length bigint, content binary"
-        extra = "" if part is None else f", `{part.directory}` date"
-        schema = T.StructType.fromDDL(f"{ddl}{extra}, {COMMIT} bigint")
-        if not versions:
-            return self.spark.createDataFrame([], schema).select(*columns)
-        reader = (
-            self.spark.read.format("binaryFile")
-            .schema(schema)
-            .option("basePath", self._data(state.name))
-            .option("pathGlobFilter", "*.parquet")
+            F.regexp_extract("path", f"/{COMMIT}=([0-9]+)/", 1).cast("bigint").alias(COMMIT),
         )
-        return reader.load(self._folders(state, versions)).select(*columns)
