@@ -20,6 +20,7 @@ def build_session(app_name: str, master: str | None = None, **options: str) -> S
         builder = builder.master(master)
     settings = {
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.parquet.compression.codec": "zstd",
