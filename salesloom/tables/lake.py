@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 from contextlib import nullcontext
+from dataclasses import asdict
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -74,7 +75,7 @@ class Lake:
             directory = partition_by if own_name else f"{partition_by}_{granularity}"
             if not own_name and directory in schema.names:
                 raise ValueError(f"{directory} is taken by the partition of {name}")
-            partition = (field.metadata[FIELD_ID], directory, granularity)
+            partition = Partition(field.metadata[FIELD_ID], directory, granularity)
         self._log(rows, name, "create", committed_at, log.encode_fields(with_ids), 0, partition)
 
     def drop(
@@ -317,19 +318,25 @@ class Lake:
         name: str,
         operation: str,
         committed_at: dt.datetime | None,
-        fields: list,
+        fields: list[dict[str, Any]],
         schema_id: int,
-        partition: tuple | None,
+        partition: Partition | None,
         snapshot_id: int | None = None,
         parent_id: int | None = None,
         summary: dict[str, str] | None = None,
     ) -> None:
+        values = {
+            "committed_at": committed_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+            "operation": operation,
+            "snapshot_id": snapshot_id,
+            "parent_id": parent_id,
+            "schema_id": schema_id,
+            "fields": fields,
+            "partition": None if partition is None else asdict(partition),
+            "summary": summary or {},
+        }
         entry = rows[-1]["entry"] + 1 if rows else 1
-        at = committed_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        row = (
-            at, operation, snapshot_id, parent_id, schema_id, fields, partition, summary or {}
-        )
-        log.write_entry(self.spark, self.root, name, entry, row)
+        log.write_entry(self.spark, self.root, name, entry, values)
 
     def _alter(
         self,
@@ -338,7 +345,6 @@ class Lake:
         schema: T.StructType,
         committed_at: dt.datetime | None,
     ) -> None:
-        part = state.partition
         self._log(
             rows,
             state.name,
@@ -346,7 +352,7 @@ class Lake:
             committed_at,
             log.encode_fields(schema),
             state.next_schema_id,
-            None if part is None else (part.field_id, part.directory, part.granularity),
+            state.partition,
         )
 
     def _partition_column(self, state: TableState) -> str:
@@ -389,7 +395,6 @@ class Lake:
         for key in ("records", "data-files", "files-size"):
             summary[f"total-{key}"] = str(totals.get(f"total-{key}", 0) + added[key])
         summary["changed-partition-count"] = summary.pop("added-partitions")
-        part = state.partition
         self._log(
             entries,
             name,
@@ -397,7 +402,7 @@ class Lake:
             committed_at,
             log.encode_fields(state.schema),
             state.schema_id,
-            None if part is None else (part.field_id, part.directory, part.granularity),
+            state.partition,
             version,
             state.snapshot_id,
             summary,
@@ -471,7 +476,7 @@ class Lake:
         """Files of some commits. The content is not selected, so none is opened."""
         if not versions:
             nothing = "path string, length bigint"
-            found = self.spark.createDataFrame([], nothing)
+            found = self.spark.range(0).select(F.from_json(F.lit("{}"), nothing).alias("f")).select("f.*")
         else:
             reader = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
             found = reader.option("recursiveFileLookup", "true").load(

@@ -66,6 +66,15 @@ def test_files_without_a_log_row_are_invisible_and_then_replaced(spark, sales):
     assert ids(sales.read("sales")) == [1, 2, 3, 4]
 
 
+def test_commit_times_keep_their_microseconds(spark, sales):
+    at = dt.datetime(2026, 3, 2, 7, 8, 9, 123456)
+    sales.append("sales", rows(spark, (4, D3, 40.0)), at)
+    assert sales.snapshots("sales").collect()[-1]["committed_at"] == at
+    before = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    sales.append("sales", rows(spark, (5, D3, 40.0)))
+    assert sales.snapshots("sales").collect()[-1]["committed_at"] >= before
+
+
 def test_a_log_entry_is_never_overwritten(spark, sales):
     from salesloom.tables import log
 
