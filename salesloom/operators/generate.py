@@ -24,9 +24,17 @@ CATEGORIES = ["Garden", "Kitchen", "Office", "Outdoor", "Toys"]
 STORE_NAMES = ["Corner", "Harbour", "Market", "Mill", "Park", "Station"]
 CITIES = ["Aarhus", "Bologna", "Cardiff", "Dakar", "Essen", "Fukuoka", "Graz", "Hobart"]
 
-MODULUS = 2147483648
+# The default size of a generated data set.
+N_CUSTOMERS, N_PRODUCTS, N_STORES, N_SALES = 100, 20, 5, 1000
+START, N_DAYS = "2026-01-01", 365
+
+# Ranges of the generated attributes (prices in cents).
+MAX_UNITS = 5
+MIN_PRICE, MAX_PRICE = 1000, 50000
 SIGNUP_DAYS = 730
 
+MODULUS = 2147483648
+
 
 def hashed(row_id: Column, salt: int, bound: int | Column) -> Column:
     """A value in [0, bound) that depends on the id and the salt only.
@@ -47,6 +55,10 @@ def pick(row_id: Column, salt: int, words: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(w) for w in words]), index)
 
 
+def price(row_id: Column, salt: int) -> Column:
+    return (hashed(row_id, salt, MAX_PRICE - MIN_PRICE + 1) + MIN_PRICE) / 100.0
+
+
 def new_ids(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(n)
 
@@ -59,7 +71,9 @@ def dates(source: DataFrame, first: Column, last: Column) -> DataFrame:
     return days.select("date_key", *date_parts(F.col("date_key")))
 
 
-def dates_of_year(spark: SparkSession, start: DateLike = "2026-01-01", n_days: int = 365) -> DataFrame:
+def dates_of_year(
+    spark: SparkSession, start: DateLike = START, n_days: int = N_DAYS
+) -> DataFrame:
     first = as_date(start)
     return dates(spark.range(1), first, F.date_add(first, n_days - 1))
 
@@ -90,7 +104,7 @@ def products(ids: DataFrame, id_column: str = "id") -> DataFrame:
             capitalised(pick(row_id, 1, PRODUCT_WORDS)), pick(row_id, 2, PRODUCT_NOUNS)
         ).alias("product_name"),
         pick(row_id, 3, CATEGORIES).alias("category"),
-        round_money((hashed(row_id, 4, 49001) + 1000) / 100.0).alias("price"),
+        round_money(price(row_id, 4)).alias("price"),
     )
 
 
@@ -111,8 +125,8 @@ def sales(
     n_customers: int | Column,
     n_products: int | Column,
     n_stores: int | Column,
-    start: DateLike = "2026-01-01",
-    n_days: int = 365,
+    start: DateLike = START,
+    n_days: int = N_DAYS,
     id_column: str = "id",
 ) -> DataFrame:
     """One sale per id: 1 to 5 units at 10.00 to 500.00 each, keys within the dimensions.
@@ -120,8 +134,7 @@ def sales(
     The unit price is drawn per sale and does not look at the product's price.
     """
     row_id = F.col(id_column)
-    units = hashed(row_id, 5, 5) + 1
-    unit_price = (hashed(row_id, 6, 49001) + 1000) / 100.0
+    units = hashed(row_id, 5, MAX_UNITS) + 1
     return ids.select(
         row_id.alias("order_id"),
         F.date_add(as_date(start), hashed(row_id, 1, n_days).cast("int")).alias("order_date"),
@@ -129,5 +142,26 @@ def sales(
         hashed(row_id, 3, n_products).alias("product_id"),
         hashed(row_id, 4, n_stores).alias("store_id"),
         units.alias("quantity"),
-        round_money(unit_price * units).alias("total_amount"),
+        round_money(price(row_id, 6) * units).alias("total_amount"),
     )
+
+
+def star_schema(
+    spark: SparkSession,
+    n_customers: int = N_CUSTOMERS,
+    n_products: int = N_PRODUCTS,
+    n_stores: int = N_STORES,
+    n_sales: int = N_SALES,
+    start: DateLike = START,
+    n_days: int = N_DAYS,
+) -> dict[str, DataFrame]:
+    """All five tables, with every key of the fact in its dimension."""
+    return {
+        "dim_customer": customers(new_ids(spark, n_customers), start),
+        "dim_product": products(new_ids(spark, n_products)),
+        "dim_store": stores(new_ids(spark, n_stores)),
+        "dim_date": dates_of_year(spark, start, n_days),
+        "fact_sales": sales(
+            new_ids(spark, n_sales), n_customers, n_products, n_stores, start, n_days
+        ),
+    }

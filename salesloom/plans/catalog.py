@@ -524,7 +524,8 @@ def file_record_counts(spark, folder):
 
 @query(
     _with(FACT)
-    + f"""SELECT COUNT(DISTINCT order_date) AS partitions_total,
+    + f"""SELECT COUNT(DISTINCT order_date) + CAST(COUNT(*) > COUNT(order_date) AS BIGINT)
+         AS partitions_total,  -- rows without a date are a partition too
        COUNT(DISTINCT order_date) FILTER (WHERE order_date = DATE '{DAY}') AS partitions_matched,
        COUNT(*) FILTER (WHERE order_date = DATE '{DAY}') AS rows_matched FROM fact"""
 )

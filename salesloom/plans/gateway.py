@@ -126,6 +126,17 @@ class ReadOnlySql:
         pattern = re.compile(rf"(?<![\w.`])(?:{names})(?![\w`])", re.IGNORECASE)
         return self._execute(self._bind(replace_in_code(statement, pattern, view)))
 
+    def schema_text(self, tables: list[str]) -> dict[str, list[str] | str]:
+        """Per table its columns as "name: type", or the text of an error."""
+        texts: dict[str, list[str] | str] = {}
+        for row in self.lake.schema_info(tables).orderBy("table_name", "ordinal").collect():
+            if row["error"] is not None:
+                texts[row["table_name"]] = row["error"]
+            else:
+                columns = texts.setdefault(row["table_name"], [])
+                columns.append(f"{row['column_name']}: {row['data_type']}")
+        return texts
+
     def _execute(self, statement: str) -> DataFrame:
         if re.fullmatch(r"(?is)show\s+tables", code_of(statement).strip()):
             return self.lake.tables()

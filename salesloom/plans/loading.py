@@ -69,17 +69,22 @@ def by_day(lake: Lake, views: StarViews) -> None:
     lake.append(SALES, views.sales(), committed_at=STAGES[0][2])
 
 
-def through_csv(lake: Lake, views: StarViews) -> None:
-    """Export every table to CSV, read it back with types and refresh all tables from it."""
-    folder = f"{lake.root}-csv"
-    frames = {**views.dimensions(), SALES: views.sales()}
-    export_tables(frames, folder, mode="overwrite")
+def load_csv_folder(lake: Lake, folder: str, suffix: str = "") -> None:
+    """Refresh all tables from CSV files or folders named after them; sales by month."""
     typed = {
-        name: read_table(lake.spark, f"{folder}/{name}", TABLES[name]) for name in frames
+        name: read_table(lake.spark, f"{folder}/{name}{suffix}", table)
+        for name, table in TABLES.items()
     }
     refresh_all(typed, LakeSink(lake, {SALES: ("order_date", "month")}))
 
 
+def through_csv(lake: Lake, views: StarViews) -> None:
+    """Export every table to CSV and load the tables back from it."""
+    folder = f"{lake.root}-csv"
+    export_tables({**views.dimensions(), SALES: views.sales()}, folder, mode="overwrite")
+    load_csv_folder(lake, folder)
+
+
 LOADS: dict[str, Callable[[Lake, StarViews], None]] = {
     "staged": staged,
     "edited": edited,

@@ -133,6 +133,15 @@ def test_listing_and_describe(sql):
     assert described["date_key"] == "date" and described["month"] == "int"
 
 
+def test_schema_text(sql):
+    texts = sql.schema_text(["dim_store", "fact_sales", "nowhere"])
+    assert texts["dim_store"] == [
+        "store_id: bigint", "store_name: string", "location: string", "manager_name: string",
+    ]
+    assert texts["fact_sales"][-1] == "discount_applied: double"
+    assert texts["nowhere"].startswith("Error: ")
+
+
 def test_errors_become_text_but_refusals_raise(sql):
     outcome = sql.run_or_error("SELECT nothing FROM local.db.fact_sales")
     assert outcome.rows is None and outcome.error.startswith("Error executing query: ")

@@ -66,12 +66,13 @@ def test_csv_export_round_trip(spark):
 
 
 def generated(spark):
-    return {
-        "fact_sales": generate.sales(generate.new_ids(spark, 300), 20, 5, 3),
-        "dim_date": generate.dates_of_year(spark),
-        "dim_store": generate.stores(generate.new_ids(spark, 3)),
-        "dim_product": generate.products(generate.new_ids(spark, 5)),
-        "dim_customer": generate.customers(generate.new_ids(spark, 20), "2026-01-01"),
+    return generate.star_schema(spark, 20, 5, 3, 300)
+
+
+def test_default_sizes(spark):
+    sizes = {name: df.count() for name, df in generate.star_schema(spark).items()}
+    assert sizes == {
+        "dim_customer": 100, "dim_product": 20, "dim_store": 5, "dim_date": 365, "fact_sales": 1000,
     }
 
 
