@@ -1,15 +1,17 @@
 """A namespace of versioned tables.
 
-    <root>/<table>/commit_version=N/[<partition>=D/]part-*.parquet
+    <root>/<table>/commit=N-<unique>/[<partition>=D/]part-*.parquet
 
-A commit writes its files first and its log row last. A reader takes the log's
-word for which commit folders exist and opens only those, with the schema the
-table had at that snapshot.
+A commit writes its files into a folder of its own and its log row last. A reader
+takes the log's word for which folders belong to the table and opens only those,
+with the schema the table had at that snapshot.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Iterable
 from contextlib import nullcontext
 from dataclasses import asdict
 from typing import Any
@@ -24,7 +26,7 @@ from salesloom.plans.session import session_conf, tune
 from salesloom.tables import log
 from salesloom.tables.log import FIELD_ID, Partition, TableState
 
-COMMIT = "commit_version"
+COMMIT = "commit"
 
 
 class Lake:
@@ -184,7 +186,7 @@ class Lake:
         directories whatever their granularity.
         """
         state = self.state(name, snapshot_id, as_of)
-        frame = self._scan(state, state.visible)
+        frame = self._scan(state, state.folders.values())
         if between is not None:
             part = state.partition
             if part is None:
@@ -201,15 +203,15 @@ class Lake:
         between makes this undefined; compare the two reads with `row_changes` then.
         """
         old, new = self.state(name, since), self.state(name, until)
-        if not set(old.visible) <= set(new.visible):
+        if not old.folders.keys() <= new.folders.keys():
             raise ValueError(f"{name} was overwritten after snapshot {since}")
-        later = tuple(v for v in new.visible if v not in old.visible)
+        later = [path for version, path in new.folders.items() if version not in old.folders]
         return self._scan(new, later).select(*new.schema.names)
 
     def scan_with_files(self, name: str, snapshot_id: int | None = None) -> DataFrame:
         """The table with its partition directory column, for reports on files."""
         state = self.state(name, snapshot_id)
-        return self._scan(state, state.visible)
+        return self._scan(state, state.folders.values())
 
     # -- metadata ---------------------------------------------------------
 
@@ -276,7 +278,7 @@ class Lake:
     def files(self, name: str, snapshot_id: int | None = None) -> DataFrame:
         """Data files with partition, size and commit. Lists directories, opens no file."""
         state = self.state(name, snapshot_id)
-        return self._listing(state, state.visible).drop("directory")
+        return self._listing(state, state.folders.values()).drop("directory")
 
     def pruning_report(
         self, name: str, low: DateLike, high: DateLike, snapshot_id: int | None = None
@@ -291,7 +293,7 @@ class Lake:
         part = F.col("partition")
         touched = (part >= first) & (part < F.lit(high).cast("timestamp_ntz"))
         rows = self.read(name, snapshot_id, between=(low, high))
-        directories = self._listing(state, state.visible).select("directory", "partition").distinct()
+        directories = self._listing(state, state.folders.values()).select("directory", "partition").distinct()
         return directories.agg(
             F.count(F.lit(1)).alias("partitions_total"),
             F.count_if(touched).alias("partitions_matched"),
@@ -307,10 +309,8 @@ class Lake:
 
     def _life(self, name: str) -> DataFrame:
         rows = log.last_life(self._rows(name), name)
-        entries = log.read_log(self.spark, self.root)
-        return entries.where(
-            (F.col("table_name") == name) & (F.col("entry") >= rows[0]["entry"])
-        )
+        entries = log.read_log(self.spark, self.root, name)
+        return entries.where(F.col("entry") >= rows[0]["entry"])
 
     def _log(
         self,
@@ -323,6 +323,7 @@ class Lake:
         partition: Partition | None,
         snapshot_id: int | None = None,
         parent_id: int | None = None,
+        folder: str | None = None,
         summary: dict[str, str] | None = None,
     ) -> None:
         values = {
@@ -330,6 +331,7 @@ class Lake:
             "operation": operation,
             "snapshot_id": snapshot_id,
             "parent_id": parent_id,
+            "folder": folder,
             "schema_id": schema_id,
             "fields": fields,
             "partition": None if partition is None else asdict(partition),
@@ -389,7 +391,8 @@ class Lake:
         conformed = rows.to(plain).select(
             *[F.col(f.name).alias(f.name, metadata=f.metadata) for f in state.schema.fields]
         )
-        added = self._write(state, conformed, version)
+        folder = f"{COMMIT}={version}-{uuid.uuid4().hex[:12]}"
+        added = self._write(state, conformed, folder)
         totals = dict(state.totals) if operation == "append" else {}
         summary = {f"added-{key}": str(value) for key, value in added.items()}
         for key in ("records", "data-files", "files-size"):
@@ -405,11 +408,12 @@ class Lake:
             state.partition,
             version,
             state.snapshot_id,
+            folder,
             summary,
         )
         return version
 
-    def _write(self, state: TableState, rows: DataFrame, version: int) -> dict[str, int]:
+    def _write(self, state: TableState, rows: DataFrame, folder: str) -> dict[str, int]:
         """Write the files of one commit and measure them."""
         part = state.partition
         settings = nullcontext()
@@ -427,15 +431,14 @@ class Lake:
                 self.spark, spark__sql__adaptive__coalescePartitions__enabled="false"
             )
         # Counted in the writing stage itself: no second pass, and a retried task counts once.
-        counter = Observation(f"commit-{state.name}-{version}")
+        counter = Observation(f"{state.name}-{folder}")
         counted = rows.observe(counter, F.count(F.lit(1)).alias("records"))
-        writer = counted.write.mode("overwrite").option("compression", "zstd")
+        writer = counted.write.mode("errorifexists").option("compression", "zstd")
         if part is not None:
             writer = writer.partitionBy(part.directory)
-        # The folder belongs to this version alone; what a failed attempt left is overwritten.
         with settings:
-            writer.parquet(f"{self._data(state.name)}/{COMMIT}={version}")
-        sizes = self._listing(state, (version,)).agg(
+            writer.parquet(f"{self._data(state.name)}/{folder}")
+        sizes = self._listing(state, [folder]).agg(
             F.count(F.lit(1)).alias("data_files"),
             F.coalesce(F.sum("file_size"), F.lit(0)).alias("files_size"),
             F.countDistinct("directory").alias("partitions"),
@@ -447,10 +450,7 @@ class Lake:
             "partitions": sizes["partitions"],
         }
 
-    def _folders(self, state: TableState, versions: tuple[int, ...]) -> list[str]:
-        return [f"{self._data(state.name)}/{COMMIT}={v}" for v in versions]
-
-    def _scan(self, state: TableState, versions: tuple[int, ...]) -> DataFrame:
+    def _scan(self, state: TableState, folders: Iterable[str]) -> DataFrame:
         """The rows of some commits in the table's schema, plus the hidden partition column."""
         part = state.partition
         stored, output = [], []
@@ -466,22 +466,22 @@ class Lake:
             stored.append(T.StructField(part.directory, T.DateType()))
         if hidden:
             output.append(F.col(part.directory))
-        schema = T.StructType([*stored, T.StructField(COMMIT, T.LongType())])
-        if not versions:
+        schema = T.StructType([*stored, T.StructField(COMMIT, T.StringType())])
+        paths = [f"{self._data(state.name)}/{folder}" for folder in folders]
+        if not paths:
             return self.spark.createDataFrame([], schema).select(*output)
         reader = self.spark.read.schema(schema).option("basePath", self._data(state.name))
-        return reader.parquet(*self._folders(state, versions)).select(*output)
+        return reader.parquet(*paths).select(*output)
 
-    def _listing(self, state: TableState, versions: tuple[int, ...]) -> DataFrame:
+    def _listing(self, state: TableState, folders: Iterable[str]) -> DataFrame:
         """Files of some commits. The content is not selected, so none is opened."""
-        if not versions:
+        paths = [f"{self._data(state.name)}/{folder}" for folder in folders]
+        if not paths:
             nothing = "path string, length bigint"
             found = self.spark.range(0).select(F.from_json(F.lit("{}"), nothing).alias("f")).select("f.*")
         else:
             reader = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-            found = reader.option("recursiveFileLookup", "true").load(
-                self._folders(state, versions)
-            )
+            found = reader.option("recursiveFileLookup", "true").load(paths)
         part = state.partition
         directory = (
             F.lit(None).cast("string")
@@ -493,5 +493,5 @@ class Lake:
             directory.try_cast("date").alias("partition"),
             directory.alias("directory"),
             F.col("length").alias("file_size"),
-            F.regexp_extract("path", f"/{COMMIT}=([0-9]+)/", 1).cast("bigint").alias(COMMIT),
+            F.regexp_extract("path", f"/{COMMIT}=([0-9]+)-", 1).cast("bigint").alias("snapshot_id"),
         )

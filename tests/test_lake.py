@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,14 +57,26 @@ def test_reads_as_of_a_time(spark, sales):
         sales.read("sales", snapshot_id=1, as_of=T1)
 
 
-def test_files_without_a_log_row_are_invisible_and_then_replaced(spark, sales):
-    orphan = f"{sales.root}/sales/commit_version=2"
+def test_files_without_a_log_row_are_invisible(spark, sales):
+    orphan = f"{sales.root}/sales/commit=2-left-by-a-crash"
     rows(spark, (99, D1, 1.0)).write.partitionBy("order_date").parquet(orphan)
     assert ids(sales.read("sales")) == [1, 2, 3]
     assert sales.append("sales", rows(spark, (4, D3, 40.0))) == 2
     assert ids(sales.read("sales")) == [1, 2, 3, 4]
 
 
+def test_a_second_writer_fails_and_harms_nothing(spark, sales, monkeypatch):
+    from salesloom.tables import log
+
+    before = log.table_rows(spark, sales.root, "sales")
+    sales.append("sales", rows(spark, (4, D3, 40.0)))
+    monkeypatch.setattr(sales, "_rows", lambda name: before)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        sales.append("sales", rows(spark, (5, D3, 50.0)))
+    monkeypatch.undo()
+    assert ids(sales.read("sales")) == [1, 2, 3, 4]
+
+
 def test_commit_times_keep_their_microseconds(spark, sales):
     at = dt.datetime(2026, 3, 2, 7, 8, 9, 123456)
     sales.append("sales", rows(spark, (4, D3, 40.0)), at)
@@ -75,15 +86,6 @@ def test_commit_times_keep_their_microseconds(spark, sales):
     assert sales.snapshots("sales").collect()[-1]["committed_at"] >= before
 
 
-def test_a_log_entry_is_never_overwritten(spark, sales):
-    from salesloom.tables import log
-
-    before = log.table_rows(spark, sales.root, "sales")
-    sales.append("sales", rows(spark, (4, D3, 40.0)))
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
-        sales._log(before, "sales", "append", None, [], 0, None)
-
-
 def test_added_column_is_null_before_and_absent_from_old_snapshots(spark, sales):
     sales.add_column("sales", "discount", "double")
     assert [r["discount"] for r in sales.read("sales").collect()] == [None] * 3
@@ -175,7 +177,7 @@ def test_only_added_rows_are_read(spark, sales):
     added = sales.added_since("sales", 1)
     assert ids(added) == [4, 5]
     assert ids(sales.added_since("sales", 1, 2)) == [4]
-    assert all("commit_version=1" not in f for f in added.inputFiles())
+    assert all("/commit=1-" not in f for f in added.inputFiles())
     sales.overwrite("sales", rows(spark, (6, D3, 60.0)))
     with pytest.raises(ValueError, match="overwritten"):
         sales.added_since("sales", 1)
@@ -255,7 +257,7 @@ def test_files_report_counts_rows(spark, sales):
     }
     listing = sales.files("sales").collect()
     assert {r["partition"] for r in listing} == {D1, D2}
-    assert all(r["file_size"] > 0 and re.search(r"commit_version=1/", r["file_path"]) for r in listing)
+    assert all(r["file_size"] > 0 and r["snapshot_id"] == 1 for r in listing)
 
 
 def test_a_hot_day_is_split_and_kept_whole(spark, lake):
