@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Any
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 
@@ -114,6 +115,17 @@ class ReadOnlySql:
         except (PySparkException, SnapshotNotFound, TableNotFound) as error:
             return Outcome(None, f"Error executing query: {error}")
 
+    def stream(self, sql: str) -> Iterator[dict[str, Any]]:
+        """Rows as dictionaries; an error of Spark, also a late one, comes as the last."""
+        outcome = self.run_or_error(sql)
+        try:
+            if outcome.rows is not None:
+                yield from records(outcome.rows)
+            else:
+                yield {"error": outcome.error}
+        except (PySparkException, Py4JError) as error:
+            yield {"error": f"Error executing query: {error}"}
+
     def run_at(self, snapshot_id: int | str, sql: str, table: str = "fact_sales") -> DataFrame:
         """Rows of a statement on one table at a snapshot.
 

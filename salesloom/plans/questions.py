@@ -62,7 +62,7 @@ QUESTIONS = {
         (SALES,),
         {"anchor": (dt.date, REQUIRED), "limit": (int, 5)},
         lambda lake, anchor, limit: metrics.top_products(
-            lake.read(SALES, between=previous_month(anchor)), limit
+            lake.read(SALES, between=previous_month(anchor), on="order_date"), limit
         ),
     ),
     "orders_last_weekend": Question(
@@ -70,7 +70,7 @@ QUESTIONS = {
         (SALES,),
         {"anchor": (dt.date, REQUIRED)},
         lambda lake, anchor: metrics.total_orders(
-            lake.read(SALES, between=previous_weekend(anchor))
+            lake.read(SALES, between=previous_weekend(anchor), on="order_date")
         ),
     ),
     "daily_sales": Question(

@@ -179,21 +179,26 @@ class Lake:
         snapshot_id: int | None = None,
         as_of: dt.datetime | None = None,
         between: tuple[DateLike, DateLike] | None = None,
+        on: str | None = None,
     ) -> DataFrame:
         """The table now, at a snapshot, or at a time (UTC, naive).
 
         `between` keeps rows whose partition column is in [low, high) and prunes
-        directories whatever their granularity.
+        directories whatever their granularity. For a table without partitions,
+        or for another column, name it with `on`; then files are filtered inside.
         """
         state = self.state(name, snapshot_id, as_of)
         frame = self._scan(state, state.folders.values())
         if between is not None:
             part = state.partition
-            if part is None:
-                raise ValueError(f"{name} is not partitioned")
-            column = self._partition_column(state)
-            hidden = None if part.directory not in frame.columns else part.directory
-            frame = where_range(frame, column, *between, hidden, part.granularity)
+            column = on or (None if part is None else self._partition_column(state))
+            if column is None:
+                raise ValueError(f"{name} is not partitioned; name a column with on=")
+            if part is None or column != self._partition_column(state):
+                frame = where_range(frame, column, *between)
+            else:
+                hidden = None if part.directory not in frame.columns else part.directory
+                frame = where_range(frame, column, *between, hidden, part.granularity)
         return frame.select(*state.schema.names)
 
     def added_since(self, name: str, since: int, until: int | None = None) -> DataFrame:
@@ -293,7 +298,8 @@ class Lake:
         part = F.col("partition")
         touched = (part >= first) & (part < F.lit(high).cast("timestamp_ntz"))
         rows = self.read(name, snapshot_id, between=(low, high))
-        directories = self._listing(state, state.folders.values()).select("directory", "partition").distinct()
+        listing = self._listing(state, state.folders.values())
+        directories = listing.select("directory", "partition").distinct()
         return directories.agg(
             F.count(F.lit(1)).alias("partitions_total"),
             F.count_if(touched).alias("partitions_matched"),
@@ -478,7 +484,8 @@ class Lake:
         paths = [f"{self._data(state.name)}/{folder}" for folder in folders]
         if not paths:
             nothing = "path string, length bigint"
-            found = self.spark.range(0).select(F.from_json(F.lit("{}"), nothing).alias("f")).select("f.*")
+            empty = F.from_json(F.lit("{}"), nothing)
+            found = self.spark.range(0).select(empty.alias("f")).select("f.*")
         else:
             reader = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
             found = reader.option("recursiveFileLookup", "true").load(paths)

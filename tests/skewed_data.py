@@ -43,5 +43,8 @@ def write_skewed(folder: str, target: Path) -> str:
     selects["orders"] = ORDERS.format(folder=folder)
     selects["part"] = REPEATED_PARTS.format(folder=folder)
     for name, select in selects.items():
-        con.execute(f"COPY ({select}) TO '{target}/{name}.parquet' (FORMAT parquet)")
+        # Several row groups, so that even these few rows are read by several tasks.
+        con.execute(
+            f"COPY ({select}) TO '{target}/{name}.parquet' (FORMAT parquet, ROW_GROUP_SIZE 2048)"
+        )
     return str(target)

@@ -152,6 +152,14 @@ def test_errors_become_text_but_refusals_raise(sql):
         sql.run_or_error("DROP TABLE local.db.fact_sales")
 
 
+def test_streamed_rows_end_with_the_error(sql):
+    assert list(sql.stream("SELECT 1 AS a")) == [{"a": 1}]
+    (unknown,) = sql.stream("SELECT nothing FROM fact_sales")
+    assert unknown["error"].startswith("Error executing query: ")
+    late = list(sql.stream("SELECT 1 DIV (order_id - order_id) AS a FROM fact_sales"))
+    assert "DIVIDE_BY_ZERO" in late[-1]["error"]
+
+
 def test_snapshot_queries(sql, lake):
     old = lake.read("fact_sales", 1).count()
     for name in ("local.db.fact_sales", "fact_sales", "historical_data", "HISTORICAL_DATA"):

@@ -249,6 +249,13 @@ def test_ranges_on_timestamps_skip_files(spark, lake, granularity):
     assert tuple(report) == ((6, 2, 2) if granularity == "day" else (3, 1, 2))
 
 
+def test_ranges_without_partitions(spark, lake):
+    lake.replace("plain", rows(spark, (1, D1, 10.0), (2, D2, 20.0)))
+    with pytest.raises(ValueError, match="not partitioned"):
+        lake.read("plain", between=("2026-01-06", "2026-01-07"))
+    assert ids(lake.read("plain", between=("2026-01-06", "2026-01-07"), on="order_date")) == [2]
+
+
 def test_files_report_counts_rows(spark, sales):
     report = files_report(sales.scan_with_files("sales"), "order_date").collect()
     assert {(r["partition"], r["record_count"]) for r in report} == {(D1, 2), (D2, 1)}
