@@ -2,8 +2,9 @@
 
 `pre_aggregate` folds sales to one row per key. A key that holds a third of all
 sales shrinks to one row per map task before anything is shuffled, and what is
-joined afterwards is as small as the number of keys. The measures below read
-either form, so a metric does not care which one it is given.
+joined afterwards is as small as the number of keys. It pays where rows per key
+are many, as with products, stores and days. The measures below read either form,
+so a metric does not care which one it is given.
 """
 
 from __future__ import annotations

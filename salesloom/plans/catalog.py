@@ -137,12 +137,12 @@ def sales_by_store(spark, folder):
 
 @query(_with(FACT) + "SELECT order_date, COUNT(*) AS sales FROM fact GROUP BY order_date")
 def daily_sales(spark, folder):
-    return metrics.daily_sales(StarViews(spark, folder).order_sales())
+    return metrics.daily_sales(StarViews(spark, folder).sales())
 
 
 @query(_with(FACT) + "SELECT COUNT(DISTINCT order_date) AS distinct_days FROM fact")
 def distinct_days(spark, folder):
-    return metrics.distinct_days(StarViews(spark, folder).order_sales())
+    return metrics.distinct_days(StarViews(spark, folder).sales())
 
 
 @query(
@@ -150,7 +150,7 @@ def distinct_days(spark, folder):
     + "SELECT MIN(order_date) AS first_order_date, MAX(order_date) AS last_order_date FROM fact"
 )
 def date_range(spark, folder):
-    return metrics.date_range(StarViews(spark, folder).order_sales())
+    return metrics.date_range(StarViews(spark, folder).sales())
 
 
 @query(_with(FACT) + f"SELECT * FROM fact WHERE order_date = DATE '{DAY}'")
@@ -277,19 +277,19 @@ def _by_calendar(attributes: str) -> str:
 @query(_by_calendar("year, month"))
 def sales_by_month(spark, folder):
     views = StarViews(spark, folder)
-    return star.sales_by_calendar(views.order_sales(), views.date(), ["year", "month"])
+    return star.sales_by_calendar(views.sales(), views.date(), ["year", "month"])
 
 
 @query(_by_calendar("year"))
 def sales_by_year(spark, folder):
     views = StarViews(spark, folder)
-    return star.sales_by_calendar(views.order_sales(), views.date(), ["year"])
+    return star.sales_by_calendar(views.sales(), views.date(), ["year"])
 
 
 @query(_by_calendar("day_of_week"))
 def sales_by_weekday(spark, folder):
     views = StarViews(spark, folder)
-    return star.sales_by_calendar(views.order_sales(), views.date(), ["day_of_week"])
+    return star.sales_by_calendar(views.sales(), views.date(), ["day_of_week"])
 
 
 @query(
@@ -300,7 +300,7 @@ GROUP BY c.customer_id, first_name, last_name"""
 )
 def customer_activity(spark, folder):
     views = StarViews(spark, folder)
-    return star.customer_activity(views.order_sales(), views.customer())
+    return star.customer_activity(views.sales(), views.customer())
 
 
 @query(
@@ -310,7 +310,7 @@ def customer_activity(spark, folder):
 )
 def customers_without_sales(spark, folder):
     views = StarViews(spark, folder)
-    return star.customers_without_sales(views.order_sales(), views.customer())
+    return star.customers_without_sales(views.sales(), views.customer())
 
 
 # -- quality --------------------------------------------------------------
@@ -379,7 +379,9 @@ def fk_orphans(spark, folder):
     return _stack(
         [
             quality.fk_report(views.lines(), dims, FACT_SALES),
-            quality.fk_report(views.order_sales(), dims, FACT_SALES),
+            quality.fk_report(
+                views.sales().select("order_date", "customer_id"), dims, FACT_SALES
+            ),
             quality.fk_summary(views.lines(), "order_id", views.orders(), "order_id", "orders"),
         ]
     )
@@ -391,7 +393,7 @@ def fk_orphans(spark, folder):
        MIN(order_date) AS first_order_date, MAX(order_date) AS last_order_date FROM fact"""
 )
 def load_profile(spark, folder):
-    return quality.load_profile(StarViews(spark, folder).order_sales())
+    return quality.load_profile(StarViews(spark, folder).sales())
 
 
 @query(
