@@ -38,7 +38,7 @@ class Lake:
     # -- definitions ------------------------------------------------------
 
     def exists(self, name: str) -> bool:
-        return log.is_live(self._rows(name))
+        return log.is_live(self._rows(name, may_be_new=True))
 
     def create(
         self,
@@ -55,7 +55,7 @@ class Lake:
         A date with day granularity names its directories itself, so a plain filter
         on it prunes. Otherwise a hidden column is derived; `read` hides it again.
         """
-        rows = self._rows(name)
+        rows = self._rows(name, may_be_new=True)
         if log.is_live(rows):
             if if_not_exists:
                 return
@@ -84,7 +84,7 @@ class Lake:
         self, name: str, if_exists: bool = False, committed_at: dt.datetime | None = None
     ) -> None:
         """End the table and its history. Its files are no longer read by anyone."""
-        rows = self._rows(name)
+        rows = self._rows(name, may_be_new=True)
         if not log.is_live(rows):
             if if_exists:
                 return
@@ -310,8 +310,8 @@ class Lake:
     def _data(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _rows(self, name: str) -> list[Row]:
-        return log.table_rows(self.spark, self.root, name)
+    def _rows(self, name: str, may_be_new: bool = False) -> list[Row]:
+        return log.table_rows(self.spark, self.root, name, may_be_new)
 
     def _life(self, name: str) -> DataFrame:
         rows = log.last_life(self._rows(name), name)
