@@ -6,15 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import topk, warc
+from salesloom.llm import langid, pst, topk, warc
+from salesloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the rows that aren't held out."""
+    return langid.identify(spark, table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all pages as WARC archives and reads them back by their index."""
     return warc.pages_round_trip(spark, table(spark, sf_dir, "pages"))
@@ -25,6 +32,11 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(spark, table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_warc, op7_topk)}
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under a suffix tree of the training rows."""
+    return pst.score(spark, table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_langid, op6_warc, op7_topk, op8_lm_score)}
 
 SQL: dict[str, str] = {}

@@ -33,7 +33,7 @@ MAX_GAP = 64 << 10
 #: ... and the read not longer than this.
 MAX_READ = 16 << 20
 #: Ranges of this many bytes of an archive are read by one task group.
-RANGE_BYTES = 64 << 20
+RANGE_BYTES = 16 << 20
 WARC_DATE = "2024-01-01T00:00:00Z"
 
 INDEX_SCHEMA = (
@@ -236,7 +236,10 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     wanted = index.select(
         "archive", "offset", "length", F.floor(F.col("offset") / RANGE_BYTES).alias("part")
     )
-    dealt = wanted.repartition("archive", "part").sortWithinPartitions("archive", "offset")
+    total = wanted.agg(F.sum("length")).first()[0] or 0
+    # A stated number: the rows are small, but what they make a task read is not.
+    tasks = max(1, total // RANGE_BYTES * 2, index.sparkSession.sparkContext.defaultParallelism)
+    dealt = wanted.repartition(tasks, "archive", "part").sortWithinPartitions("archive", "offset")
     return dealt.drop("part").mapInArrow(read, READ_SCHEMA)
 
 
