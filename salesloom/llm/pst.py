@@ -110,13 +110,15 @@ class Model:
 def fit(spark: SparkSession, training: DataFrame, depth: int = DEPTH, gain: float = GAIN) -> Model:
     """The tree of all texts in `training` (text). No text gives an even distribution."""
     folder = work_dir(spark, "pst")
-    counted(training, depth).write.parquet(f"{folder}/grams")
-    levels = {depth: spark.read.schema("gram long, n long").parquet(f"{folder}/grams")}
-    for length in range(depth - 1, -1, -1):  # marginals: the oldest code goes
-        mask = (1 << (BITS * (length + 1))) - 1
-        levels[length] = (
-            levels[length + 1].groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n"))
-        )
+    levels, grams_ = {}, counted(training, depth)
+    for length in range(depth, -1, -1):
+        if length < depth:  # marginals: the oldest code goes
+            mask = (1 << (BITS * (length + 1))) - 1
+            grams_ = (
+                levels[length + 1].groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n"))
+            )
+        grams_.write.option("compression", "zstd").parquet(f"{folder}/level={length}")
+        levels[length] = spark.read.schema("gram long, n long").parquet(f"{folder}/level={length}")
     level = lambda k: levels[k].select(
         F.shiftright("gram", BITS).alias("context"), F.col("gram").bitwiseAND(F.lit((1 << BITS) - 1)).alias("symbol"), "n"
     )

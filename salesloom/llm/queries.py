@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import langid, licence, pst, topk, warc
+from salesloom.llm import langid, licence, pst, quality, topk, warc
 from salesloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,11 @@ def op4_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from the labelled rows that aren't held out."""
+    return quality.score(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all pages as WARC archives and reads them back by their index."""
     return warc.pages_round_trip(spark, table(spark, sf_dir, "pages"))
@@ -42,6 +47,6 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pst.score(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_langid, op4_license, op6_warc, op7_topk, op8_lm_score)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_langid, op4_license, op5_quality, op6_warc, op7_topk, op8_lm_score)}
 
 SQL: dict[str, str] = {}
