@@ -50,9 +50,9 @@ MERGE = 1 << 21
 
 def byte_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of each text and its end, as codes, with the bounds of texts."""
-    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    raw = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
-    offsets = offsets - offsets[0]
+    values = texts.cast(pa.large_binary()).to_pylist()
+    raw = np.frombuffer(b"".join(values), dtype=np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in values], dtype=np.int64)))
     bounds = offsets + np.arange(len(texts) + 1)
     codes = np.full(bounds[-1], END, dtype=np.int16)
     places = np.arange(len(raw)) + np.repeat(np.arange(len(texts)), np.diff(offsets))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import langid, licence, pst, quality, topk, warc
+from salesloom.llm import langid, licence, packing, pst, quality, topk, warc
 from salesloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token sequences of 1024 ids."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from the rows that aren't held out."""
     return langid.identify(spark, table(spark, sf_dir, "documents"))
@@ -47,6 +52,6 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pst.score(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_langid, op4_license, op5_quality, op6_warc, op7_topk, op8_lm_score)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_packing, op3_langid, op4_license, op5_quality, op6_warc, op7_topk, op8_lm_score)}
 
 SQL: dict[str, str] = {}
