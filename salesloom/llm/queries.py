@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import langid, licence, packing, pst, quality, topk, warc
+from salesloom.llm import decontam, langid, licence, packing, pst, quality, topk, warc
 from salesloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,11 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pst.score(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_packing, op3_langid, op4_license, op5_quality, op6_warc, op7_topk, op8_lm_score)}
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document that holds a benchmark item, or a long part of one, with the item."""
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_packing, op3_langid, op4_license, op5_quality, op6_warc, op7_topk, op8_lm_score, op9_decontamination)}
 
 SQL: dict[str, str] = {}
