@@ -31,11 +31,11 @@ from salesloom.llm.lockstep import SEGMENT, Segments
 from salesloom.llm.textops import Words, lower_ascii, slices, strings
 from salesloom.plans.session import work_dir
 
-DEPTH = 5
+DEPTH = 6
 #: Nats that a context must explain beyond its suffix.
-GAIN = 40.0
+GAIN = 20.0
 #: Size of the model: contexts kept at most, those of the largest gain first.
-MAX_CONTEXTS = 30_000
+MAX_CONTEXTS = 60_000
 #: Weight of the shorter context in a distribution, in counts.
 BACKOFF = 2.0
 #: Mass of a symbol never seen, in counts of the root.
