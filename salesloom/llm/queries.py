@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import decontam, langid, licence, packing, pst, quality, topk, warc
+from salesloom.llm import decontam, langid, licence, packing, pst, quality, substring, topk, warc
 from salesloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document when passages of 35 words that repeat are cut out."""
+    found = substring.factored(spark, table(spark, sf_dir, "documents"), with_text=False)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token sequences of 1024 ids."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), with_ids=False)
@@ -57,6 +63,6 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_packing, op3_langid, op4_license, op5_quality, op6_warc, op7_topk, op8_lm_score, op9_decontamination)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_substring_dedup, op2_packing, op3_langid, op4_license, op5_quality, op6_warc, op7_topk, op8_lm_score, op9_decontamination)}
 
 SQL: dict[str, str] = {}
