@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import decontam, langid, licence, packing, pst, quality, substring, topk, warc
+from salesloom.llm import decontam, jaccard, langid, licence, packing, pst, quality, substring, topk, warc
 from salesloom.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_substring_dedup, op2_packing, op3_langid, op4_license, op5_quality, op6_warc, op7_topk, op8_lm_score, op9_decontamination)}
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under links of 80 % common word 5-grams."""
+    found = jaccard.Join(spark, table(spark, sf_dir, "documents")).per_document()
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_substring_dedup, op2_packing, op3_langid, op4_license, op5_quality, op6_warc, op7_topk, op8_lm_score, op9_decontamination, op10_jaccard_join)}
 
 SQL: dict[str, str] = {}
