@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesloom.llm.langid import held_out
-from salesloom.llm.textops import Words, slices, strings
+from salesloom.llm.textops import Words, fresh, slices, strings
 
 #: Labelled documents of each label that the fit reads at most, chosen by a hash of the id,
 #: and lines of each of them.
@@ -287,7 +287,7 @@ def with_scores(documents: DataFrame, field: Field | None, column: str = "qualit
 
     A null text is scored as an empty one. A column of that name is replaced.
     """
-    documents = documents.drop(column)
+    documents = documents.drop(*(name for name in documents.columns if name.lower() == column.lower()))
     shared = documents.sparkSession.sparkContext.broadcast(field)  # FEATURES numbers
     names = [*documents.columns, column]
 
@@ -300,6 +300,13 @@ def with_scores(documents: DataFrame, field: Field | None, column: str = "qualit
     return documents.mapInArrow(run, schema)
 
 
+def without_rejects(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """`documents`, all columns, without those that score below THRESHOLD."""
+    own = fresh(documents.columns, "quality_score")
+    scored = with_scores(documents, fit(spark, documents, labels), own)
+    return scored.where(F.col(own) >= THRESHOLD).drop(own)
+
+
 def score(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of each document; without labels every score is 0.5."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out("doc_id", 5, 0).alias("held_out"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesloom.llm.textops import Words, as_signed, rolling, slices, sliding_min, spans, strings
+from salesloom.llm.textops import Words, as_signed, fresh, rolling, slices, sliding_min, spans, strings
 from salesloom.plans.session import work_dir
 
 #: Words of a window: factors of fewer words are no duplicates.
@@ -47,7 +47,7 @@ def keyed(documents: DataFrame) -> DataFrame:
     """doc_id, text_key, text: rows that repeat id and text share a key, and so their factors."""
     return documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("text_key"),
+        F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))).alias("text_key"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
 
@@ -317,21 +317,21 @@ def without_repeats(spark: SparkSession, documents: DataFrame, width: int = WIDT
     Texts without a factor stay as they are, null ones too; of others the kept words are joined
     by one blank, and n_chars, if there is such a column, follows.
     """
-    rows = documents.withColumn("__id", F.col("doc_id").cast("long")).withColumn(
-        "__key", F.xxhash64(F.col("doc_id"), F.coalesce("text", F.lit("")))
-    )
+    names = documents.columns
+    own_id, own_key, own_parts = (fresh(names, name) for name in ("own_id", "own_key", "own_parts"))
+    long_id = F.col("doc_id").cast("long")
+    rows = documents.withColumns({own_id: long_id, own_key: F.xxhash64(long_id, F.coalesce("text", F.lit("")))})
     found = repeats(spark, keyed(documents), width)
     joined = rows.join(
-        found, [rows["__id"].eqNullSafe(found["doc_id"]), rows["__key"] == found["text_key"]], "left"
-    ).select(*(rows[c] for c in documents.columns), found["parts"].alias("__parts"))
-    names = documents.columns
+        found, [rows[own_id].eqNullSafe(found["doc_id"]), rows[own_key] == found["text_key"]], "left"
+    ).select(*(rows[c] for c in names), found["parts"].alias(own_parts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             words = Words(strings(batch.column("text")))
             flat = words.flat.to_pylist()
             texts = batch.column("text").to_pylist()
-            for k, parts in enumerate(batch.column("__parts").to_pylist()):
+            for k, parts in enumerate(batch.column(own_parts).to_pylist()):
                 if parts:
                     own, rest, at = flat[words.bounds[k] : words.bounds[k + 1]], [], 0
                     for start, end in covered(parse(parts, width)):

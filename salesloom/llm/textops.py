@@ -161,6 +161,14 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """`name`, with underscores before it until no column is called so in any case."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def as_signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
