@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from salesloom.llm import decontam, jaccard, langid, licence, packing, pst, quality, substring, topk, warc
 from salesloom.llm.shipping import ship
+from salesloom.llm.sql import SQL as SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +70,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_substring_dedup, op2_packing, op3_langid, op4_license, op5_quality, op6_warc, op7_topk, op8_lm_score, op9_decontamination, op10_jaccard_join)}
-
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Query] = {
+    query.__name__: query
+    for query in (
+        op1_substring_dedup,
+        op2_packing,
+        op3_langid,
+        op4_license,
+        op5_quality,
+        op6_warc,
+        op7_topk,
+        op8_lm_score,
+        op9_decontamination,
+        op10_jaccard_join,
+    )
+}
