@@ -1,0 +1,63 @@
+from __future__ import annotations
+
+import base64
+import gzip
+import hashlib
+from collections import Counter
+
+import pyarrow as pa
+
+from salesloom.llm import warc
+from salesloom.plans.session import work_dir
+
+PAGES = [
+    (5, "http://a/", "<p>same</p>"), (3, "http://b/", "<p>same</p>"), (4, None, "<p>same</p>"),
+    (1, "http://c/", None), (2, "http://d/", ""), (7, "http://e\r\n/", "line\r\n\r\nline é\x00"),
+    (8, "http://f/", "x" * 3_000_000), (None, "http://g/", "<p>same</p>"), (3, "http://b/", "<p>same</p>"),
+]
+
+
+def expected(pages, min_bytes=0):
+    out = []
+    for page_id, _, html in pages:
+        payload = (html or "").encode()
+        equal = [p for p, _, h in pages if (h or "").encode() == payload and p is not None]
+        first = min(equal, default=None)
+        revisit = page_id is not None and page_id != first and len(payload) >= min_bytes
+        code = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        out.append((page_id, len(payload), code, "revisit" if revisit else "response", first if revisit else None))
+    return Counter(out)
+
+
+def test_round_trip(shipped):
+    frame = shipped.createDataFrame(PAGES, "page_id long, url string, html string").withColumnRenamed("html", "html")
+    for least in (0, 5):
+        out = warc.pages_round_trip(shipped, frame.selectExpr("*", "1 payload", "2 record_id"), least)
+        found = Counter((r[0], r[1], r[2], r[3], r[4]) for r in out.collect())
+        assert found == expected(PAGES, least)
+
+
+def test_the_index_opens_each_record_by_itself(shipped):
+    folder = work_dir(shipped, "warc-test")
+    frame = shipped.createDataFrame(PAGES, "record_id long, url string, payload string").coalesce(1)
+    index = warc.write_archives(frame, folder)
+    rows = index.collect()
+    for row in rows:
+        with open(f"{folder}/{row['archive']}", "rb") as archive:
+            archive.seek(row["offset"])
+            record = gzip.decompress(archive.read(row["length"]))
+        assert record.startswith(b"WARC/1.1\r\n") and record.endswith(b"\r\n\r\n")
+    some = warc.read_records(index.where("record_id IN (7, 8)"), folder).collect()
+    assert {r["record_id"]: bytes(r["block"]) for r in some} == {7: "line\r\n\r\nline é\x00".encode(), 8: b"x" * 3_000_000}
+
+
+def test_neighbouring_ranges_are_read_at_once():
+    rows = [("a", 0, 10), ("a", 10, 5), ("a", 20, 5), ("a", 10_000_000, 5), ("b", 0, 3)]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("archive", "offset", "length"), r, strict=True)) for r in rows])
+    found = [(a, first, last) for a, first, last, _, _ in warc.coalesced(batch)]
+    assert found == [("a", 0, 25), ("a", 10_000_000, 10_000_005), ("b", 0, 3)]
+
+
+def test_empty_table(shipped):
+    frame = shipped.createDataFrame([], "page_id long, url string, html string")
+    assert warc.pages_round_trip(shipped, frame).count() == 0
