@@ -33,21 +33,20 @@ MAX_UNITS = 5
 MIN_PRICE, MAX_PRICE = 1000, 50000
 SIGNUP_DAYS = 730
 
-MODULUS = 2147483648
+#: Hexadecimal digits of the hash that count: 60 bits.
+HASH_DIGITS = 15
 
 
 def hashed(row_id: Column, salt: int, bound: int | Column) -> Column:
     """A value in [0, bound) that depends on the id and the salt only.
 
-    Two rounds of a linear congruence modulo 2**31. The id is reduced first, so no
-    product leaves BIGINT; the low bits are dropped because their period is short.
+    60 bits of an MD5 of both: every value below a bound of up to 2**60 can occur, and
+    values repeat for no other id in any regular way.
     """
-    def step(x: Column) -> Column:
-        return (x % MODULUS * 1103515245 + 12345) % MODULUS
-
-    mixed = step(step(F.pmod(row_id, F.lit(MODULUS))) + salt * 7919)
+    digest = F.md5(F.concat(row_id.cast("bigint").cast("string"), F.lit(f":{salt}")).cast("binary"))
+    mixed = F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("bigint")
     bound = bound if isinstance(bound, Column) else F.lit(bound)
-    return F.floor(mixed / 128).cast("bigint") % bound.cast("bigint")
+    return mixed % bound.cast("bigint")
 
 
 def pick(row_id: Column, salt: int, words: list[str]) -> Column:

@@ -559,7 +559,7 @@ staged AS (
            AS discount_applied,
          CASE WHEN order_date < DATE '2000-01-01' THEN 1
               WHEN order_date < DATE '2001-01-01' THEN 2 ELSE 3 END AS stage
-  FROM fact WHERE order_date IS NOT NULL
+  FROM fact
 )"""
 STAGED_COLUMNS = "* EXCLUDE (stage)"
 
@@ -683,7 +683,9 @@ FROM staged GROUP BY stage > 1"""
 )
 def evolved_nulls(spark, folder):
     sales = loaded(spark, folder, "staged").read(SALES)
-    return sales.groupBy((F.col("order_date") >= "2000-01-01").alias("written_with_column")).agg(
+    # Rows without a date were loaded last.
+    later = F.coalesce(F.col("order_date") >= "2000-01-01", F.lit(True))
+    return sales.groupBy(later.alias("written_with_column")).agg(
         F.count(F.lit(1)).alias("row_count"), F.count("discount_applied").alias("with_discount")
     )
 
@@ -693,7 +695,7 @@ def evolved_nulls(spark, folder):
     + """SELECT CAST(v AS BIGINT) AS snapshot_id, CASE WHEN v > 1 THEN CAST(v - 1 AS BIGINT) END AS parent_id,
        'append' AS operation, CAST(CASE WHEN v = 1 THEN 0 ELSE 1 END AS INTEGER) AS schema_id,
        COUNT(*) FILTER (WHERE stage = v) AS added_records, COUNT(*) AS total_records,
-       COUNT(DISTINCT CASE WHEN stage = v THEN date_trunc('month', order_date) END)
+       COUNT(DISTINCT CASE WHEN stage = v THEN coalesce(date_trunc('month', order_date), DATE '0001-01-01') END)
          AS changed_partitions
 FROM staged JOIN (VALUES (1), (2), (3)) AS versions(v) ON stage <= v GROUP BY v"""
 )
@@ -838,12 +840,8 @@ def date_dimension(spark, folder):
 
 
 def _hash_sql(key: str, salt: int, bound: int | str) -> str:
-    def step(x: str) -> str:
-        return f"(({x}) % {generate.MODULUS} * 1103515245 + 12345) % {generate.MODULUS}"
-
-    reduced = f"(({key} % {generate.MODULUS} + {generate.MODULUS}) % {generate.MODULUS})"
-    mixed = step(f"{step(reduced)} + {salt * 7919}")
-    return f"((({mixed}) // 128) % {bound})"
+    digest = f"md5(CAST({key} AS VARCHAR) || ':{salt}')"
+    return f"(CAST('0x' || substr({digest}, 1, {generate.HASH_DIGITS}) AS BIGINT) % {bound})"
 
 
 def _pick_sql(key: str, salt: int, words: list[str]) -> str:

@@ -23,10 +23,11 @@ from salesloom.tables.lake import Lake
 SALES = FACT_SALES.name
 
 # The stages of the staged load: order dates in [low, high), and when they were committed.
+# An open end takes all dates there are; rows without a date come with the last stage.
 STAGES = (
-    ("0001-01-01", "2000-01-01", dt.datetime(2026, 1, 10, 12)),
+    (None, "2000-01-01", dt.datetime(2026, 1, 10, 12)),
     ("2000-01-01", "2001-01-01", dt.datetime(2026, 1, 20, 12)),
-    ("2001-01-01", "9999-01-01", dt.datetime(2026, 1, 30, 12)),
+    ("2001-01-01", None, dt.datetime(2026, 1, 30, 12)),
 )
 CREATED_AT = dt.datetime(2026, 1, 1, 12)
 EVOLVED_AT = dt.datetime(2026, 1, 15, 12)
@@ -49,7 +50,10 @@ def staged(lake: Lake, views: StarViews) -> None:
     for i, (low, high, at) in enumerate(STAGES):
         if i == 1:
             lake.add_column(SALES, *DISCOUNT_COLUMN, committed_at=EVOLVED_AT)
-        rows = views.sales((low, high))
+        if high is not None:
+            rows = views.sales((low, high))
+        else:
+            rows = views.sales().where(F.col("order_date").isNull() | (F.col("order_date") >= low))
         lake.append(SALES, rows.select(*lake.state(SALES).schema.names), committed_at=at)
 
 
@@ -58,7 +62,7 @@ def edited(lake: Lake, views: StarViews) -> None:
     lake.create(SALES, with_discount(), "order_date", "month", committed_at=CREATED_AT)
     lake.append(SALES, views.sales(), committed_at=STAGES[0][2])
     lake.insert(SALES, *INSERTED_ROW, committed_at=STAGES[1][2])
-    lake.overwrite(SALES, views.sales((KEPT_FROM, "9999-01-01")), committed_at=STAGES[2][2])
+    lake.overwrite(SALES, views.sales((KEPT_FROM, None)), committed_at=STAGES[2][2])
     lake.replace("dim_product", views.product(), committed_at=CREATED_AT)
     lake.rename_column("dim_product", "price", "list_price", committed_at=EVOLVED_AT)
 

@@ -31,7 +31,7 @@ class StarViews:
             F.col("l_discount").alias("discount_applied"),
         )
 
-    def orders(self, between: tuple[DateLike, DateLike] | None = None) -> DataFrame:
+    def orders(self, between: tuple[DateLike | None, DateLike | None] | None = None) -> DataFrame:
         """Order id, date and customer; the range filters the stored timestamp, at the scan."""
         orders = self.table("orders")
         if between is not None:
@@ -42,7 +42,7 @@ class StarViews:
             F.col("o_custkey").alias("customer_id"),
         )
 
-    def sales(self, between: tuple[DateLike, DateLike] | None = None) -> DataFrame:
+    def sales(self, between: tuple[DateLike | None, DateLike | None] | None = None) -> DataFrame:
         """The fact. A line without its order stays, with NULL date and customer.
 
         With a range only lines of orders in it remain, so unmatched lines drop out.
@@ -65,12 +65,13 @@ class StarViews:
         )
 
     def customer(self) -> DataFrame:
-        name = F.split("c_name", "#")
+        # A name without the sign has an empty last name.
+        first, last = (F.split_part("c_name", F.lit("#"), F.lit(k)) for k in (1, 2))
         return self.table("customer").select(
             F.col("c_custkey").alias("customer_id"),
-            name[0].alias("first_name"),
-            name[1].alias("last_name"),
-            F.concat(F.lower(name[0]), F.lit("."), name[1], F.lit("@example.com")).alias("email"),
+            first.alias("first_name"),
+            last.alias("last_name"),
+            F.concat(F.lower(first), F.lit("."), last, F.lit("@example.com")).alias("email"),
             F.lit(None).cast("date").alias("signup_date"),
         )
 
@@ -94,7 +95,7 @@ class StarViews:
             F.col("s_suppkey").alias("store_id"),
             F.col("s_name").alias("store_name"),
             F.col("n_name").alias("location"),
-            F.concat_ws(" ", F.lit("Manager"), "r_name").alias("manager_name"),
+            F.concat(F.lit("Manager "), "r_name").alias("manager_name"),
         )
 
     def date(self) -> DataFrame:

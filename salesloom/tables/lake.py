@@ -71,7 +71,7 @@ class Lake:
         )
         partition = None
         if partition_by is not None:
-            partition_value(partition_by, granularity)
+            partition_value(partition_by, granularity, with_ids[partition_by].dataType.simpleString())
             field = with_ids[partition_by]
             own_name = granularity == "day" and isinstance(field.dataType, T.DateType)
             directory = partition_by if own_name else f"{partition_by}_{granularity}"
@@ -178,7 +178,7 @@ class Lake:
         name: str,
         snapshot_id: int | None = None,
         as_of: dt.datetime | None = None,
-        between: tuple[DateLike, DateLike] | None = None,
+        between: tuple[DateLike | None, DateLike | None] | None = None,
         on: str | None = None,
     ) -> DataFrame:
         """The table now, at a snapshot, or at a time (UTC, naive).
@@ -425,7 +425,8 @@ class Lake:
         settings = nullcontext()
         if part is not None:
             column = self._partition_column(state)
-            rows = rows.withColumns({part.directory: partition_value(column, part.granularity)})
+            kind = state.schema[column].dataType.simpleString()
+            rows = rows.withColumns({part.directory: partition_value(column, part.granularity, kind)})
             if part.directory != column and self._names_its_directory(state, state.schema[column]):
                 rows = rows.drop(column)
             # One shuffle brings the rows of a day together. Adaptive execution cuts
