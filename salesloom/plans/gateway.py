@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -10,7 +11,8 @@ from typing import Any
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salesloom.functions.cleaning import clean_nonfinite
 from salesloom.tables.lake import Lake
@@ -21,18 +23,27 @@ ALLOWED_FIRST_WORDS = ("select", "with", "show", "describe", "desc")
 FORBIDDEN_WORDS = (
     "insert", "update", "delete", "drop", "alter", "truncate", "merge", "create", "call",
 )
+# What the text of an error begins with.
+FAILED = "The query failed: "
 # Functions that run arbitrary Java code.
 FORBIDDEN_FUNCTIONS = ("reflect", "java_method", "try_reflect")
+# What the parsed plan of a query may consist of. Anything else, known or not, is refused:
+# script transformations, commands, writes, time travel by names that are no tables here.
+QUERY_NODES = frozenset(
+    "Project Filter Aggregate Join LateralJoin AsOfJoin Sort GlobalLimit LocalLimit Offset Distinct Union Intersect "
+    "Except Window WithWindowDefinition Generate Expand Pivot Unpivot Sample Deduplicate UnresolvedHaving UnresolvedHint "
+    "UnresolvedWith SubqueryAlias UnresolvedSubqueryColumnAliases UnresolvedInlineTable LocalRelation OneRowRelation "
+    "UnresolvedRelation UnresolvedTableValuedFunction UnresolvedTVFAliases PipeOperator Range".split()
+)
+TABLE_FUNCTIONS = frozenset("range explode explode_outer posexplode posexplode_outer inline inline_outer stack".split())
 # The name under which a snapshot is queried.
 SNAPSHOT_NAME = "historical_data"
 
 # Text that is not code: raw and plain strings, quoted names, comments.
-_QUOTED = re.compile(
-    r"""(?<!\w)[rR](?:'[^']*'|"[^"]*")"""
-    r"""|'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`(?:[^`]|``)*`"""
-    r"""|--[^\n]*|/\*(?!\+).*?\*/""",
-    re.DOTALL,
-)
+_STRINGS = r"""(?<!\w)[rR](?:'[^']*'|"[^"]*")|'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\""""
+_COMMENTS = r"""--[^\n]*|/\*(?!\+).*?\*/"""
+_NO_CODE = f"{_STRINGS}|{_COMMENTS}"
+_QUOTED = re.compile(rf"{_STRINGS}|`(?:[^`]|``)*`|{_COMMENTS}", re.DOTALL)
 
 
 class ReadOnlyViolation(ValueError):
@@ -62,10 +73,10 @@ def check_read_only(sql: str) -> str:
     code = code_of(statement).lower()
     first = re.match(r"[\s(]*(\w+)", code)
     if first is None or first[1] not in ALLOWED_FIRST_WORDS:
-        raise ReadOnlyViolation("Only SELECT, WITH, SHOW, and DESCRIBE statements are allowed.")
+        raise ReadOnlyViolation(f"A statement must begin with one of {', '.join(ALLOWED_FIRST_WORDS)}.")
     for word in FORBIDDEN_WORDS:
         if re.search(rf"\b{word}\b", code):
-            raise ReadOnlyViolation(f"{word.upper()} statements are not allowed.")
+            raise ReadOnlyViolation(f"The word {word.upper()} has no place in a statement that only reads.")
     for name in FORBIDDEN_FUNCTIONS:
         if re.search(rf"\b{name}\s*\(", code):
             raise ReadOnlyViolation(f"The function {name} is not allowed.")
@@ -91,6 +102,59 @@ def records(rows: DataFrame) -> Iterator[dict[str, Any]]:
         yield row.asDict(recursive=True)
 
 
+class PlanCheck:
+    """Walks a parsed plan, subqueries and common tables included, and refuses what doesn't only
+    read the given relations."""
+
+    def __init__(self, spark: SparkSession, relations: set[str]):
+        self.parser = spark._jsparkSession.sessionState().sqlParser()
+        loader = spark._jvm.java.lang.Thread.currentThread().getContextClassLoader()
+        name = "org.apache.spark.sql.catalyst.expressions.SubqueryExpression"
+        self.subquery = spark._jvm.java.lang.Class.forName(name, True, loader)
+        self.known = {name.lower() for name in relations}
+
+    def check(self, query: str) -> None:
+        self._plan(self.parser.parsePlan(query), frozenset())
+
+    def _plan(self, plan: Any, common: frozenset[str]) -> None:
+        kind = plan.getClass().getSimpleName().rstrip("$")
+        if kind not in QUERY_NODES:
+            raise ReadOnlyViolation(f"{kind} is not part of a query that only reads.")
+        if kind == "UnresolvedRelation":
+            parts = [part.lower() for part in _each(plan.multipartIdentifier())]
+            if len(parts) != 1 or parts[0] not in self.known | common:
+                raise ReadOnlyViolation(f"{'.'.join(parts)} is not a table here.")
+        if kind == "UnresolvedTableValuedFunction":
+            name = ".".join(_each(plan.name())).lower()
+            if name not in TABLE_FUNCTIONS:
+                raise ReadOnlyViolation(f"The table function {name} is not allowed.")
+        if kind == "UnresolvedWith":
+            for named in _each(plan.cteRelations()):
+                # A common table sees those before it, and itself where it is recursive.
+                common |= {named._1().lower()}
+                self._plan(named._2(), common)
+        for child in _each(plan.children()):
+            self._plan(child, common)
+        for expression in _each(plan.expressions()):
+            self._expression(expression, common)
+
+    def _expression(self, expression: Any, common: frozenset[str]) -> None:
+        kind = expression.getClass().getSimpleName()
+        if kind == "UnresolvedFunction":
+            name = list(_each(expression.nameParts()))[-1].lower()
+            if name in FORBIDDEN_FUNCTIONS:
+                raise ReadOnlyViolation(f"The function {name} is not allowed.")
+        if self.subquery.isInstance(expression):
+            self._plan(expression.plan(), common)
+        for child in _each(expression.children()):
+            self._expression(child, common)
+
+
+def _each(sequence: Any) -> Iterator[Any]:
+    for k in range(sequence.size()):
+        yield sequence.apply(k)
+
+
 class ReadOnlySql:
     """Tables are named plainly (`fact_sales`) or with a prefix (`local.db.fact_sales`).
 
@@ -105,15 +169,24 @@ class ReadOnlySql:
 
     def run(self, sql: str) -> DataFrame:
         """Rows of a statement on current data, with NaN and infinities as NULL."""
-        return self._execute(self._bind(check_read_only(sql)))
+        return self._execute(*self._bind(check_read_only(sql)))
 
     def run_or_error(self, sql: str) -> Outcome:
         """Like run, with Spark's errors as text. A refused statement still raises."""
         statement = check_read_only(sql)
         try:
-            return Outcome(self._execute(self._bind(statement)), None)
+            return Outcome(self._execute(*self._bind(statement)), None)
         except (PySparkException, SnapshotNotFound, TableNotFound) as error:
-            return Outcome(None, f"Error executing query: {error}")
+            return Outcome(None, f"{FAILED}{error}")
+
+    def run_at_or_error(self, snapshot_id: int | str, sql: str, table: str = "fact_sales") -> Outcome:
+        """Like run_at, with errors as text. A refused statement still raises."""
+        try:
+            return Outcome(self.run_at(snapshot_id, sql, table), None)
+        except ReadOnlyViolation:
+            raise
+        except (PySparkException, SnapshotNotFound, TableNotFound, ValueError) as error:
+            return Outcome(None, f"{FAILED}{error}")
 
     def stream(self, sql: str) -> Iterator[dict[str, Any]]:
         """Rows as dictionaries; an error of Spark, also a late one, comes as the last."""
@@ -124,7 +197,7 @@ class ReadOnlySql:
             else:
                 yield {"error": outcome.error}
         except (PySparkException, Py4JError) as error:
-            yield {"error": f"Error executing query: {error}"}
+            yield {"error": f"{FAILED}{error}"}
 
     def run_at(self, snapshot_id: int | str, sql: str, table: str = "fact_sales") -> DataFrame:
         """Rows of a statement on one table at a snapshot.
@@ -132,11 +205,12 @@ class ReadOnlySql:
         The table goes by `historical_data`; its live name means the snapshot too.
         Other tables are read as they are now.
         """
-        statement = check_read_only(sql)
+        statement = self._unquoted(check_read_only(sql), [table])
         view = self._view(table, version=int(snapshot_id))
         names = "|".join([SNAPSHOT_NAME, self._name_pattern(table)])
         pattern = re.compile(rf"(?<![\w.`])(?:{names})(?![\w`])", re.IGNORECASE)
-        return self._execute(self._bind(replace_in_code(statement, pattern, view)))
+        bound, views = self._bind(replace_in_code(statement, pattern, view))
+        return self._execute(bound, views | {view})
 
     def schema_text(self, tables: list[str]) -> dict[str, list[str] | str]:
         """Per table its columns as "name: type", or the text of an error."""
@@ -149,66 +223,97 @@ class ReadOnlySql:
                 columns.append(f"{row['column_name']}: {row['data_type']}")
         return texts
 
-    def _execute(self, statement: str) -> DataFrame:
-        if re.fullmatch(r"(?is)show\s+tables", code_of(statement).strip()):
-            return self.lake.tables()
+    def _execute(self, statement: str, views: set[str] = frozenset()) -> DataFrame:
+        prefixes = "|".join(re.escape(p) for p in self.prefixes)
+        listing = re.fullmatch(
+            rf"(?is)\s*show\s+tables(?:\s+(?:in|from)\s+(?:{prefixes}))?(?:\s+(?:like\s+)?'([^']*)')?\s*", statement
+        )
+        if listing:
+            tables = self.lake.tables()
+            if listing[1] is None:
+                return tables
+            names = "|".join(re.escape(p.strip()).replace(r"\*", ".*") for p in listing[1].split("|"))
+            return tables.where(F.col("tableName").rlike(f"(?i)^(?:{names})$"))
         if is_query(statement):
             # As a subquery the grammar admits nothing but a query.
             statement = f"SELECT * FROM (\n{statement}\n)"
+            PlanCheck(self.spark, set(views)).check(statement)
+        else:
+            described = re.fullmatch(r"(?is)\s*desc(?:ribe)?\s+(?:table\s+)?(?:extended\s+)?(\w+)\s*", statement)
+            if described is None or described[1] not in views:
+                raise ReadOnlyViolation("Only tables of this lake can be listed or described.")
         return clean_nonfinite(self.spark.sql(statement))
 
+    def _unquoted(self, statement: str, tables: list[str]) -> str:
+        """Quoted names of tables without their quotes; strings and comments stay."""
+        names = re.compile("|".join(rf"{self._name_pattern(t)}(?:\.(?:snapshots|files))?" for t in tables) or "(?!)", re.I)
+        part = r"(?:`[^`]+`|\w+)"
+        pieces = re.compile(rf"{_NO_CODE}|(?P<name>{part}(?:\.{part})*)", re.DOTALL)
+
+        def plain(found: re.Match[str]) -> str:
+            bare = (found["name"] or "").replace("`", "")
+            return bare if "`" in found[0] and bare and names.fullmatch(bare) else found[0]
+
+        return pieces.sub(plain, statement)
+
     def _name_pattern(self, table: str) -> str:
         prefixes = "|".join(re.escape(p) for p in self.prefixes)
         return rf"(?:(?:{prefixes})\.)?{re.escape(table)}"
 
-    def _bind(self, statement: str) -> str:
-        """Point the names of tables at views of the lake's tables."""
-        prefixes = "|".join(re.escape(p) for p in self.prefixes)
-        statement = replace_in_code(
-            statement,
-            re.compile(rf"(?i)^(\s*show\s+tables)\s+(?:in|from)\s+(?:{prefixes})\s*$"),
-            r"\1",
-        )
+    def _bind(self, statement: str) -> tuple[str, set[str]]:
+        """The statement with names of tables pointed at views, and these views."""
+        tables = [row["tableName"] for row in self.lake.tables().collect()]
+        statement = self._unquoted(statement, tables)
         code = code_of(statement).lower()
-        for row in self.lake.tables().collect():
-            table = row["tableName"]
+        views: set[str] = set()
+
+        def view(table: str, **what: Any) -> str:
+            views.add(name := self._view(table, **what))
+            return name
+
+        for table in tables:
             if table.lower() not in code:
                 continue
-            self.lake.read(table).createOrReplaceTempView(table)
             # The time of a TIMESTAMP clause is a string, so it is bound on the whole text.
             when = re.compile(
                 rf"(?i)(?<![\w.`'\"]){self._name_pattern(table)}\s+"
                 r"(?:FOR\s+)?(?:SYSTEM_)?(?:TIMESTAMP|TIME)\s+AS\s+OF\s+(?:TIMESTAMP\s+)?'([^']*)'"
             )
-            statement = when.sub(lambda m, t=table: self._view_at(t, m[1]), statement)
+            statement = when.sub(lambda m, t=table: view(t, version=self._version_at(t, m[1])), statement)
             version = re.compile(
                 rf"(?i)(?<![\w.`]){self._name_pattern(table)}\s+"
                 r"(?:FOR\s+)?(?:SYSTEM_)?VERSION\s+AS\s+OF\s+(\d+)"
             )
             statement = replace_in_code(
-                statement, version, lambda m, t=table: self._view(t, version=int(m[1]))
+                statement, version, lambda m, t=table: view(t, version=int(m[1]))
             )
             metadata = re.compile(
                 rf"(?i)(?<![\w.`]){self._name_pattern(table)}\.(snapshots|files)(?![\w`])"
             )
             statement = replace_in_code(
-                statement, metadata, lambda m, t=table: self._view(t, kind=m[1].lower())
+                statement, metadata, lambda m, t=table: view(t, kind=m[1].lower())
             )
             live = re.compile(rf"(?i)(?<![\w.`]){self._name_pattern(table)}(?![\w`])")
-            statement = replace_in_code(statement, live, table)
-        return statement
+            if live.search(code_of(statement)):
+                statement = replace_in_code(statement, live, view(table))
+        return statement, views
 
-    def _view_at(self, table: str, when: str) -> str:
-        state = self.lake.state(table, as_of=dt.datetime.fromisoformat(when))
-        return self._view(table, version=state.snapshot_id)
+    def _version_at(self, table: str, when: str) -> int | None:
+        return self.lake.state(table, as_of=dt.datetime.fromisoformat(when)).snapshot_id
 
-    def _view(self, table: str, version: int | None = None, kind: str | None = None) -> str:
-        """A view named after exactly what it shows, so calls in one session cannot mix up."""
+    def _view(self, table: str, version: int | None = None, kind: str = "rows") -> str:
+        """A view named after exactly what it shows: the lake, the log entry or snapshot, the kind.
+
+        So calls in one session, on one lake or several, never change what another one reads.
+        """
+        state = self.lake.state(table, version)
+        shown = f"e{state.entry}" if version is None else f"e{state.entry}_v{version}"
+        name = f"{table}__{hashlib.sha1(self.lake.root.encode()).hexdigest()[:12]}_{shown}_{kind}"
         if kind == "snapshots":
-            rows, name = self.lake.snapshots(table), f"{table}__snapshots"
+            rows = self.lake.snapshots(table)
         elif kind == "files":
-            rows, name = self.lake.files(table), f"{table}__files"
+            rows = self.lake.file_counts(table)
         else:
-            rows, name = self.lake.read(table, snapshot_id=version), f"{table}__v{version}"
+            rows = self.lake.read(table, snapshot_id=version)
         rows.createOrReplaceTempView(name)
         return name

@@ -73,10 +73,10 @@ def by_day(lake: Lake, views: StarViews) -> None:
     lake.append(SALES, views.sales(), committed_at=STAGES[0][2])
 
 
-def load_csv_folder(lake: Lake, folder: str, suffix: str = "") -> None:
+def load_csv_folder(lake: Lake, folder: str, suffix: str = "", exported: bool = False) -> None:
     """Refresh all tables from CSV files or folders named after them; sales by month."""
     typed = {
-        name: read_table(lake.spark, f"{folder}/{name}{suffix}", table)
+        name: read_table(lake.spark, f"{folder}/{name}{suffix}", table, exported)
         for name, table in TABLES.items()
     }
     refresh_all(typed, LakeSink(lake, {SALES: ("order_date", "month")}))
@@ -86,7 +86,7 @@ def through_csv(lake: Lake, views: StarViews) -> None:
     """Export every table to CSV and load the tables back from it."""
     folder = f"{lake.root}-csv"
     export_tables({**views.dimensions(), SALES: views.sales()}, folder, mode="overwrite")
-    load_csv_folder(lake, folder)
+    load_csv_folder(lake, folder, exported=True)
 
 
 LOADS: dict[str, Callable[[Lake, StarViews], None]] = {
@@ -136,4 +136,4 @@ def flawed_orders(spark: SparkSession, folder: str) -> DataFrame:
         path = work_dir(spark, "flawed-csv")
         write_csv(text, path)
         _done[key] = path
-    return read_strings(spark, _done[key])
+    return read_strings(spark, _done[key], exported=True)

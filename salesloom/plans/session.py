@@ -37,6 +37,8 @@ def tune(spark: SparkSession) -> SparkSession:
     """Runtime settings for reading versioned tables; safe to apply to any session."""
     # Columns are found by field id where a schema carries ids, else by name.
     spark.conf.set("spark.sql.parquet.fieldId.read.enabled", "true")
+    # Small writes into many directories: with Spark's 1 MB all days would queue behind one task.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
     # The default lists each directory in a task of its own: one task per day and
     # commit. A few waves over the cluster's cores list the same directories faster.
     waves = 4 * spark.sparkContext.defaultParallelism

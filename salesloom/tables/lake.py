@@ -12,7 +12,6 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Iterable
-from contextlib import nullcontext
 from dataclasses import asdict
 from typing import Any
 
@@ -22,7 +21,7 @@ from pyspark.sql import types as T
 
 from salesloom.functions.calendar import DateLike
 from salesloom.operators.partitions import partition_value, where_range
-from salesloom.plans.session import session_conf, tune
+from salesloom.plans.session import tune
 from salesloom.tables import log
 from salesloom.tables.log import FIELD_ID, Partition, TableState
 
@@ -63,6 +62,13 @@ class Lake:
                 raise ValueError(f"table {name} already exists")
         if isinstance(schema, str):
             schema = T.StructType.fromDDL(schema)
+        with_ids, partition = self._defined(name, schema, partition_by, granularity)
+        self._log(rows, name, "create", committed_at, log.encode_fields(with_ids), 0, partition)
+
+    def _defined(
+        self, name: str, schema: T.StructType, partition_by: str | None, granularity: str
+    ) -> tuple[T.StructType, Partition | None]:
+        """The schema with field ids, and the partition, of a table to be."""
         with_ids = T.StructType(
             [
                 T.StructField(f.name, f.dataType, True, {FIELD_ID: i})
@@ -78,7 +84,7 @@ class Lake:
             if not own_name and directory in schema.names:
                 raise ValueError(f"{directory} is taken by the partition of {name}")
             partition = Partition(field.metadata[FIELD_ID], directory, granularity)
-        self._log(rows, name, "create", committed_at, log.encode_fields(with_ids), 0, partition)
+        return with_ids, partition
 
     def drop(
         self, name: str, if_exists: bool = False, committed_at: dt.datetime | None = None
@@ -147,16 +153,15 @@ class Lake:
         granularity: str = "day",
         committed_at: dt.datetime | None = None,
     ) -> int:
-        """Create the table from the rows; one of that name is gone with its history."""
-        self.create(
-            name,
-            rows.schema,
-            partition_by,
-            granularity,
-            or_replace=True,
-            committed_at=committed_at,
-        )
-        return self.append(name, rows, committed_at)
+        """Create the table from the rows; one of that name is gone with its history.
+
+        Definition and rows become visible in one step, after the rows are written: until
+        then, and if writing fails, the old table stays.
+        """
+        entries = self._rows(name, may_be_new=True)
+        with_ids, partition = self._defined(name, rows.schema, partition_by, granularity)
+        state = log.new_state(entries, name, with_ids, partition)
+        return self._commit_to(entries, state, rows, "append", committed_at, {log.NEW_LIFE: "true"})
 
     # -- reads ------------------------------------------------------------
 
@@ -285,6 +290,16 @@ class Lake:
         state = self.state(name, snapshot_id)
         return self._listing(state, state.folders.values()).drop("directory")
 
+    def file_counts(self, name: str, snapshot_id: int | None = None) -> DataFrame:
+        """Data files with partition, number of rows, size and path. Only footers are read."""
+        state = self.state(name, snapshot_id)
+        scan = self._scan(state, state.folders.values())
+        part = F.lit(None).cast("date") if state.partition is None else F.col(state.partition.directory)
+        meta = F.col("_metadata")
+        return scan.select(
+            part.alias("partition"), meta["file_path"].alias("file_path"), meta["file_size"].alias("file_size")
+        ).groupBy("partition", "file_path", "file_size").agg(F.count("*").alias("record_count"))
+
     def pruning_report(
         self, name: str, low: DateLike, high: DateLike, snapshot_id: int | None = None
     ) -> DataFrame:
@@ -385,7 +400,18 @@ class Lake:
         self, name: str, rows: DataFrame, operation: str, committed_at: dt.datetime | None
     ) -> int:
         entries = self._rows(name)
-        state = log.state_of(entries, name)
+        return self._commit_to(entries, log.state_of(entries, name), rows, operation, committed_at)
+
+    def _commit_to(
+        self,
+        entries: list[Row],
+        state: TableState,
+        rows: DataFrame,
+        operation: str,
+        committed_at: dt.datetime | None,
+        extra: dict[str, str] | None = None,
+    ) -> int:
+        name = state.name
         if sorted(rows.columns) != sorted(state.schema.names):
             raise ValueError(
                 f"{name} has the columns {state.schema.names}, the rows have {rows.columns}"
@@ -404,6 +430,7 @@ class Lake:
         for key in ("records", "data-files", "files-size"):
             summary[f"total-{key}"] = str(totals.get(f"total-{key}", 0) + added[key])
         summary["changed-partition-count"] = summary.pop("added-partitions")
+        summary |= extra or {}
         self._log(
             entries,
             name,
@@ -422,7 +449,6 @@ class Lake:
     def _write(self, state: TableState, rows: DataFrame, folder: str) -> dict[str, int]:
         """Write the files of one commit and measure them."""
         part = state.partition
-        settings = nullcontext()
         if part is not None:
             column = self._partition_column(state)
             kind = state.schema[column].dataType.simpleString()
@@ -431,20 +457,17 @@ class Lake:
                 rows = rows.drop(column)
             # One shuffle brings the rows of a day together. Adaptive execution cuts
             # days above the advisory size into several tasks, so a hot day neither
-            # stalls the job nor lands in one file. Merging small shuffle partitions
-            # would not save a file, only queue many days behind one task.
+            # stalls the job nor lands in one file. Whether small shuffle partitions are
+            # merged is the session's choice: a setting changed here would change it for
+            # all queries that run meanwhile.
             rows = rows.hint("rebalance", part.directory)
-            settings = session_conf(
-                self.spark, spark__sql__adaptive__coalescePartitions__enabled="false"
-            )
         # Counted in the writing stage itself: no second pass, and a retried task counts once.
         counter = Observation(f"{state.name}-{folder}")
         counted = rows.observe(counter, F.count(F.lit(1)).alias("records"))
         writer = counted.write.mode("errorifexists").option("compression", "zstd")
         if part is not None:
             writer = writer.partitionBy(part.directory)
-        with settings:
-            writer.parquet(f"{self._data(state.name)}/{folder}")
+        writer.parquet(f"{self._data(state.name)}/{folder}")
         sizes = self._listing(state, [folder]).agg(
             F.count(F.lit(1)).alias("data_files"),
             F.coalesce(F.sum("file_size"), F.lit(0)).alias("files_size"),

@@ -88,6 +88,75 @@ def test_the_grammar_admits_only_a_query(spark, sql):
         spark.sql("DROP TABLE IF EXISTS target")
 
 
+@pytest.mark.parametrize(
+    "statement",
+    [
+        "SELECT TRANSFORM(order_id) USING 'cat' AS (x STRING) FROM fact_sales",
+        "SELECT * FROM (MAP order_id USING 'cat' AS (x) FROM fact_sales)",
+        "SELECT * FROM text.`/etc/hostname`",
+        "SELECT * FROM parquet.`/root/testdata/sf0.001/part.parquet`",
+        "SELECT (SELECT max(value) FROM text.`/etc/hostname`) AS a FROM fact_sales",
+        "SELECT 1 WHERE 1 IN (SELECT 1 FROM nowhere)",
+        "WITH x AS (SELECT TRANSFORM(order_id) USING 'cat' AS (y STRING) FROM fact_sales) SELECT * FROM x",
+        "SELECT * FROM fact_sales, LATERAL (SELECT * FROM text.`/etc/hostname`)",
+        "SELECT `reflect`('java.lang.System', 'lineSeparator')",
+        "SELECT * FROM IDENTIFIER('x')",
+        "SELECT * FROM sql_keywords()",
+        "DESCRIBE FUNCTION reflect",
+        "SHOW DATABASES",
+        "SHOW TABLES IN default",
+    ],
+)
+def test_only_tables_of_the_lake_are_read(sql, statement):
+    with pytest.raises(ReadOnlyViolation):
+        sql.run(statement)
+
+
+def test_common_tables_and_subqueries_are_fine(sql):
+    assert sql.run(
+        "WITH a AS (SELECT order_id FROM fact_sales), b AS (SELECT * FROM a) SELECT count(*) FROM b "
+        "WHERE order_id IN (SELECT order_id FROM a) AND EXISTS (SELECT 1 FROM dim_store)"
+    ).first()[0] > 0
+    assert sql.run("SELECT sum(id) AS s FROM range(4)").first()["s"] == 6
+
+
+def test_quoted_names_and_listing_patterns(sql):
+    n = sql.run("SELECT count(*) FROM fact_sales").first()[0]
+    assert sql.run("SELECT count(*) FROM `local`.`db`.`fact_sales`").first()[0] == n
+    assert sql.run("SELECT count(*) FROM local.db.`fact_sales`").first()[0] == n
+    assert sql.run("SELECT '`fact_sales`' AS a").first()["a"] == "`fact_sales`"
+    names = [r["tableName"] for r in sql.run("SHOW TABLES IN local.db LIKE 'dim_d*|fact*'").collect()]
+    assert names == ["dim_date", "fact_sales"]
+
+
+def test_files_have_their_number_of_rows(sql):
+    rows = sql.run("SELECT partition, record_count, file_path FROM local.db.fact_sales.files ORDER BY partition")
+    assert sum(r["record_count"] for r in rows.collect()) == sql.run("SELECT count(*) FROM fact_sales").first()[0]
+
+
+def test_lakes_do_not_mix(spark):
+    from salesloom.plans.session import work_dir
+    from salesloom.tables.lake import Lake
+
+    gates = []
+    for value in (1, 2):
+        lake = Lake(spark, work_dir(spark, "two"))
+        lake.replace("fact_sales", spark.range(1).selectExpr(f"{value}L AS a"))
+        gates.append(ReadOnlySql(lake))
+    frames = [gate.run("SELECT a FROM fact_sales") for gate in gates] + [g.run_at(1, "SELECT a FROM fact_sales") for g in gates]
+    assert [f.first()["a"] for f in frames] == [1, 2, 1, 2]
+    gates[0].lake.append("fact_sales", spark.range(1).selectExpr("5L AS a"))
+    assert frames[0].count() == 1 and gates[0].run("SELECT a FROM fact_sales").count() == 2
+
+
+def test_errors_of_snapshot_queries_as_text(sql):
+    assert "no snapshot 99" in sql.run_at_or_error(99, "SELECT 1 FROM fact_sales").error
+    assert sql.run_at_or_error("x", "SELECT 1 FROM fact_sales").error
+    assert sql.run_at_or_error(1, "SELECT nothing FROM fact_sales").error
+    with pytest.raises(ReadOnlyViolation):
+        sql.run_at_or_error(1, "DELETE FROM fact_sales")
+
+
 def test_preview_and_order(sql):
     assert sql.run("SELECT * FROM local.db.fact_sales LIMIT 5").count() == 5
     rows = sql.run("SELECT order_id FROM fact_sales ORDER BY order_id DESC LIMIT 3").collect()
@@ -144,7 +213,7 @@ def test_schema_text(sql):
 
 def test_errors_become_text_but_refusals_raise(sql):
     outcome = sql.run_or_error("SELECT nothing FROM local.db.fact_sales")
-    assert outcome.rows is None and outcome.error.startswith("Error executing query: ")
+    assert outcome.rows is None and outcome.error.startswith("The query failed: ")
     assert "VERSION" not in sql.run_or_error("SELECT 1 AS a").rows.columns
     missing = sql.run_or_error("SELECT * FROM fact_sales VERSION AS OF 99")
     assert "no snapshot 99" in missing.error
@@ -155,7 +224,7 @@ def test_errors_become_text_but_refusals_raise(sql):
 def test_streamed_rows_end_with_the_error(sql):
     assert list(sql.stream("SELECT 1 AS a")) == [{"a": 1}]
     (unknown,) = sql.stream("SELECT nothing FROM fact_sales")
-    assert unknown["error"].startswith("Error executing query: ")
+    assert unknown["error"].startswith("The query failed: ")
     late = list(sql.stream("SELECT 1 DIV (order_id - order_id) AS a FROM fact_sales"))
     assert "DIVIDE_BY_ZERO" in late[-1]["error"]
 
