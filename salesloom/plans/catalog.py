@@ -10,13 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.functions.cleaning import clean_nonfinite
+from salesloom.functions.text import typed
 from salesloom.operators import compare, generate, metrics, partitions, quality, star
 from salesloom.plans import loading
 from salesloom.plans.gateway import ReadOnlySql
 from salesloom.plans.loading import INSERTED_ORDER, SALES, STAGES, flawed_orders, loaded
 from salesloom.plans.questions import ask
+from salesloom.plans.session import work_dir
 from salesloom.schema import FACT_SALES, TABLES
+from salesloom.sources.csv import read_strings, write_csv
 from salesloom.sources.star_views import StarViews
+from salesloom.tables.lake import Lake
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -503,6 +507,16 @@ def csv_round_trip_stores(spark, folder):
     return loaded(spark, folder, "through_csv").read("dim_store")
 
 
+@query("SELECT conv_id, turn, role, text FROM conversations")
+def csv_text_round_trip(spark, folder):
+    """Texts with blanks, line breaks and quotes, written as CSV and read back."""
+    rows = StarViews(spark, folder).table("conversations").select("conv_id", "turn", "role", "text")
+    path = work_dir(spark, "csv-text")
+    write_csv(rows, path)
+    back = read_strings(spark, path, exported=True)
+    return back.select(*[typed(f.name, f.dataType) for f in rows.schema.fields])
+
+
 # -- partitions -----------------------------------------------------------
 
 
@@ -550,6 +564,32 @@ def pruned_months(spark, folder):
     )
 
 
+@query(
+    """SELECT event_id, epoch_us(ts) AS at_micros, event_type FROM events
+WHERE ts >= TIMESTAMP '2024-01-02 06:00:00' AND ts < TIMESTAMP '2024-01-05 18:30:00'"""
+)
+def pruned_timestamps(spark, folder):
+    """A range of a timestamp column that is partitioned by its day in UTC."""
+    lake = loaded(spark, folder, "by_hour")
+    between = ("2024-01-02T06:00:00Z", "2024-01-05T18:30:00Z")
+    rows = lake.read("events", between=between)
+    return rows.select("event_id", F.unix_micros("ts").alias("at_micros"), "event_type")
+
+
+@query(
+    _with(FACT)
+    + """SELECT order_date AS "partition", COUNT(*) AS record_count, CAST(1 AS BIGINT) AS files
+FROM fact GROUP BY order_date"""
+)
+def readonly_sql_files(spark, folder):
+    return ReadOnlySql(loaded(spark, folder, "by_day")).run(
+        """
+        SELECT partition, SUM(record_count) AS record_count, COUNT(file_path) AS files
+        FROM local.db.fact_sales.files GROUP BY partition ORDER BY partition
+        """
+    )
+
+
 # -- versions -------------------------------------------------------------
 
 STAGED = """
@@ -727,14 +767,25 @@ def _schema_history_sql() -> str:
         for schema, width in ((0, 7), (1, 8))
         for i, (name, kind) in enumerate(FACT_COLUMNS[:width])
     ]
-    return (
-        f"SELECT * FROM (VALUES {', '.join(rows)}) AS t(schema_id, ordinal, field_id, name, type)"
+    return _with(FACT, STAGED) + (
+        f"SELECT t.*, (SELECT COUNT(*) FROM staged WHERE (stage > 1) = (schema_id = 1)) AS rows_written "
+        f"FROM (VALUES {', '.join(rows)}) AS t(schema_id, ordinal, field_id, name, type)"
     )
 
 
 @query(_schema_history_sql())
 def schema_history(spark, folder):
-    return loaded(spark, folder, "staged").schema_history(SALES)
+    """Each schema of the table beside the rows written under it, counted in the rows themselves."""
+    lake = loaded(spark, folder, "staged")
+    versions = lake.snapshots(SALES).select("snapshot_id", "schema_id")
+    written = _stack(
+        [
+            rows.agg(F.lit(v).cast("bigint").alias("snapshot_id"), F.count(F.lit(1)).alias("n"))
+            for v, rows in ((1, lake.read(SALES, 1)), (2, lake.added_since(SALES, 1, 2)), (3, lake.added_since(SALES, 2, 3)))
+        ]
+    )
+    totals = versions.join(written, "snapshot_id").groupBy("schema_id").agg(F.sum("n").alias("rows_written"))
+    return lake.schema_history(SALES).join(totals, "schema_id", "left")
 
 
 @query(
@@ -745,6 +796,41 @@ def rename_by_field_id(spark, folder):
     return loaded(spark, folder, "edited").read("dim_product")
 
 
+@query(
+    """SELECT * FROM (
+  SELECT 1 AS step, 'created twice' AS what, TRUE AS "exists", COUNT(*) AS row_count FROM supplier
+  UNION ALL SELECT 2, 'dropped', FALSE, 0
+  UNION ALL SELECT 3, 'created anew', TRUE, COUNT(*) FROM supplier WHERE s_acctbal >= 0)"""
+)
+def table_life(spark, folder):
+    """Create if absent, drop, and create again with other rows under the same name."""
+    lake = Lake(spark, work_dir(spark, "life"))
+    rows = StarViews(spark, folder).table("supplier")
+    steps = []
+
+    def note(what: str) -> None:
+        there = lake.exists("suppliers")
+        count = lake.read("suppliers") if there else rows.limit(0)
+        steps.append(
+            count.agg(
+                F.lit(len(steps) + 1).alias("step"), F.lit(what).alias("what"), F.lit(there).alias("exists"),
+                F.count(F.lit(1)).alias("row_count"),
+            )
+        )
+
+    lake.create("suppliers", rows.schema)
+    lake.append("suppliers", rows)
+    lake.create("suppliers", "other int", if_not_exists=True)
+    note("created twice")
+    lake.drop("suppliers")
+    lake.drop("suppliers", if_exists=True)
+    note("dropped")
+    lake.create("suppliers", rows.schema)
+    lake.append("suppliers", rows.where("s_acctbal >= 0"))
+    note("created anew")
+    return _stack(steps)
+
+
 # -- SQL, listings and questions ------------------------------------------
 
 
@@ -775,12 +861,13 @@ def readonly_sql_version(spark, folder):
 
 @query(
     _with(FACT, STAGED)
-    + """SELECT CAST(v AS BIGINT) AS snapshot_id, 'append' AS operation
+    + """SELECT CAST(v AS BIGINT) AS snapshot_id, 'append' AS operation, COUNT(*) AS added
 FROM staged JOIN (VALUES (1), (2), (3)) AS versions(v) ON stage = v GROUP BY v"""
 )
 def readonly_sql_snapshots(spark, folder):
     return ReadOnlySql(loaded(spark, folder, "staged")).run(
-        "SELECT snapshot_id, operation FROM local.db.fact_sales.snapshots"
+        "SELECT snapshot_id, operation, CAST(summary['added-records'] AS BIGINT) AS added "
+        "FROM local.db.fact_sales.snapshots"
     )
 
 
@@ -796,30 +883,54 @@ def snapshot_sql(spark, folder):
 
 
 @query(
-    """SELECT 'db' AS namespace, t AS "tableName", FALSE AS "isTemporary"
-FROM (VALUES ('dim_customer'), ('dim_date'), ('dim_product'), ('dim_store'), ('fact_sales')) AS v(t)"""
+    _with(DATE)
+    + """SELECT 'db' AS namespace, t AS "tableName", FALSE AS "isTemporary", n AS row_count
+FROM (SELECT 'dim_customer' AS t, COUNT(*) AS n FROM customer UNION ALL SELECT 'dim_product', COUNT(*) FROM part
+      UNION ALL SELECT 'dim_store', COUNT(*) FROM supplier UNION ALL SELECT 'dim_date', COUNT(*) FROM dates
+      UNION ALL SELECT 'fact_sales', COUNT(*) FROM lineitem)"""
 )
 def table_listing(spark, folder):
-    return ReadOnlySql(loaded(spark, folder, "staged")).run("SHOW TABLES IN local.db")
+    """SHOW TABLES beside the rows of each table."""
+    lake = loaded(spark, folder, "staged")
+    counts = _stack(
+        [lake.read(name).agg(F.lit(name).alias("tableName"), F.count(F.lit(1)).alias("row_count")) for name in TABLES]
+    )
+    return ReadOnlySql(lake).run("SHOW TABLES IN local.db").join(counts, "tableName", "left")
+
+
+# The tables of the staged load in SQL.
+SOURCES = {
+    "dim_customer": "customers", "dim_product": "products", "dim_store": "stores", "dim_date": "dates", SALES: "staged",
+}
 
 
 def _schema_info_sql() -> str:
-    rows = [
-        f"('{table.name}', {i}, '{f.name}', '{f.dataType.simpleString()}')"
+    parts = [
+        f"SELECT '{table.name}' AS table_name, {i} AS ordinal, '{f.name}' AS column_name, "
+        f"'{f.dataType.simpleString()}' AS data_type, CAST(NULL AS VARCHAR) AS error, "
+        f"COUNT({f.name}) AS filled FROM {SOURCES[table.name]}"
         for table in TABLES.values()
         for i, f in enumerate(
             (loading.with_discount() if table.name == SALES else table.schema).fields, start=1
         )
     ]
-    return (
-        "SELECT *, CAST(NULL AS VARCHAR) AS error "
-        f"FROM (VALUES {', '.join(rows)}) AS t(table_name, ordinal, column_name, data_type)"
-    )
+    return _with(FACT, STAGED, CUSTOMER, PRODUCT, STORE, DATE) + " UNION ALL ".join(parts)
 
 
 @query(_schema_info_sql())
 def schema_info(spark, folder):
-    return loaded(spark, folder, "staged").schema_info(list(TABLES))
+    """Columns and types beside the number of values in each column."""
+    lake = loaded(spark, folder, "staged")
+    filled = []
+    for name in TABLES:
+        rows = lake.read(name)
+        counts = rows.agg(*[F.count(F.col(c)).alias(c) for c in rows.columns])
+        filled.append(
+            counts.select(F.lit(name).alias("table_name"), F.explode(
+                F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("filled")) for c in rows.columns])
+            ).alias("c")).select("table_name", "c.*")
+        )
+    return lake.schema_info(list(TABLES)).join(_stack(filled), ["table_name", "column_name"], "left")
 
 
 @query(

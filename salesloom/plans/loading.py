@@ -73,6 +73,14 @@ def by_day(lake: Lake, views: StarViews) -> None:
     lake.append(SALES, views.sales(), committed_at=STAGES[0][2])
 
 
+def by_hour(lake: Lake, views: StarViews) -> None:
+    """All events, by the day of their time."""
+    events = views.table("events")
+    # The stored times have no zone; they are times in UTC.
+    moment = F.timestamp_micros(F.unix_micros(F.to_timestamp_ltz(F.concat(F.col("ts").cast("string"), F.lit("Z")))))
+    lake.replace("events", events.withColumn("ts", moment), "ts")
+
+
 def load_csv_folder(lake: Lake, folder: str, suffix: str = "", exported: bool = False) -> None:
     """Refresh all tables from CSV files or folders named after them; sales by month."""
     typed = {
@@ -93,6 +101,7 @@ LOADS: dict[str, Callable[[Lake, StarViews], None]] = {
     "staged": staged,
     "edited": edited,
     "by_day": by_day,
+    "by_hour": by_hour,
     "through_csv": through_csv,
 }
 _done: dict[tuple[str, str, str], Lake] = {}
