@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.functions.text import rejected
-from salesloom.operators.rollup import row_count
+from salesloom.operators.rollup import SALE_ROWS, is_pre_aggregated, row_count
 from salesloom.schema import TableDef
 
 
@@ -62,15 +62,49 @@ def fk_summary(
 
 
 def fk_report(
-    fact: DataFrame, dimensions: dict[str, DataFrame], table: TableDef
+    fact: DataFrame,
+    dimensions: dict[str, DataFrame],
+    table: TableDef,
+    more: dict[str, tuple[str, str]] | None = None,
 ) -> DataFrame:
-    """The summary of each foreign key of the table whose column and dimension are given."""
-    parts = [
-        fk_summary(fact, fact_key, dimensions[dim], dim_key, dim)
-        for fact_key, (dim, dim_key) in table.foreign_keys.items()
-        if dim in dimensions and fact_key in fact.columns
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """The summary of each foreign key of the table whose column and dimension are given.
+
+    `more` names further keys as table.foreign_keys does: column -> (dimension, its key). The
+    fact is read once: its keys become rows of (key, value), which are counted before they are
+    shuffled, so a value in a third of the rows is one row of each task. Values are compared as
+    text.
+    """
+    keys = {
+        key: place
+        for key, place in {**table.foreign_keys, **(more or {})}.items()
+        if place[0] in dimensions and key in fact.columns
+    }
+    pair = lambda key, value: F.struct(
+        F.lit(key).alias("fact_key"), F.col(value).cast("string").alias("key_value")
+    )
+    weight = [SALE_ROWS] if is_pre_aggregated(fact) else []
+    used = fact.select(F.explode(F.array(*[pair(key, key) for key in keys])).alias("k"), *weight).select("k.*", *weight)
+    used = used.where("key_value IS NOT NULL").groupBy("fact_key", "key_value").agg(row_count(fact).alias("row_count"))
+    known = reduce(
+        DataFrame.unionByName,
+        [dimensions[dim].select(pair(key, dim_key).alias("k")).select("k.*") for key, (dim, dim_key) in keys.items()],
+    )
+    found = used.join(known, ["fact_key", "key_value"], "left_anti").groupBy("fact_key").agg(
+        F.count(F.lit(1)).alias("orphan_keys"), F.sum("row_count").alias("orphan_rows")
+    )
+    listed = F.array(*[F.struct(F.lit(k).alias("fact_key"), F.lit(dim).alias("dimension")) for k, (dim, _) in keys.items()])
+    zero = F.lit(0).cast("bigint")
+    return (
+        fact.sparkSession.range(1)
+        .select(F.inline(listed))
+        .join(found, "fact_key", "left")
+        .select(
+            "fact_key",
+            "dimension",
+            F.coalesce("orphan_keys", zero).alias("orphan_keys"),
+            F.coalesce("orphan_rows", zero).alias("orphan_rows"),
+        )
+    )
 
 
 def load_profile(sales: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesloom.functions.calendar import DateLike
+from salesloom.operators.compare import row_changes
 from salesloom.operators.partitions import partition_value, where_range
 from salesloom.plans.session import tune
 from salesloom.tables import log
@@ -218,6 +219,20 @@ class Lake:
         later = [path for version, path in new.folders.items() if version not in old.folders]
         return self._scan(new, later).select(*new.schema.names)
 
+    def changes(self, name: str, old: int, new: int | None = None) -> DataFrame:
+        """Rows whose number of copies differs between two snapshots, as `row_changes` has them.
+
+        Folders that both snapshots show cancel out and are not opened: between two appends only
+        the later commits are read.
+        """
+        before, after = self.state(name, old), self.state(name, new)
+        only = lambda a, b: [path for version, path in a.folders.items() if version not in b.folders]
+        # Both sides in the later schema: a column added in between is NULL in older rows.
+        return row_changes(
+            self._scan(after, only(after, before)).select(*after.schema.names),
+            self._scan(after, only(before, after)).select(*after.schema.names),
+        )
+
     def scan_with_files(self, name: str, snapshot_id: int | None = None) -> DataFrame:
         """The table with its partition directory column, for reports on files."""
         state = self.state(name, snapshot_id)

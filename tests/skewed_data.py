@@ -6,7 +6,7 @@ from pathlib import Path
 
 import duckdb
 
-COPIED = "region nation supplier customer events documents embeddings pages benchmark labels conversations"
+COPIED = "region events documents embeddings pages benchmark labels conversations"
 
 LINEITEM = """
 SELECT * EXCLUDE (n) REPLACE (
@@ -30,6 +30,18 @@ SELECT * REPLACE (
   )
 FROM '{folder}/orders.parquet'
 """
+CUSTOMER = """
+SELECT * REPLACE (CASE WHEN c_custkey % 5 = 0 THEN 'Nameless' WHEN c_custkey % 7 = 0 THEN NULL ELSE c_name END AS c_name)
+FROM '{folder}/customer.parquet' WHERE c_custkey % 11 <> 0
+"""
+SUPPLIER = """
+SELECT * REPLACE (CASE WHEN s_suppkey % 4 = 0 THEN 99 WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_nationkey END AS s_nationkey)
+FROM '{folder}/supplier.parquet'
+"""
+NATION = """
+SELECT * REPLACE (CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE n_regionkey END AS n_regionkey)
+FROM '{folder}/nation.parquet'
+"""
 REPEATED_PARTS = """
 SELECT * FROM '{folder}/part.parquet'
 UNION ALL SELECT * FROM '{folder}/part.parquet' WHERE p_partkey IN (3, 7)
@@ -41,6 +53,9 @@ def write_skewed(folder: str, target: Path) -> str:
     selects = {name: f"SELECT * FROM '{folder}/{name}.parquet'" for name in COPIED.split()}
     selects["lineitem"] = LINEITEM.format(folder=folder)
     selects["orders"] = ORDERS.format(folder=folder)
+    selects["customer"] = CUSTOMER.format(folder=folder)
+    selects["supplier"] = SUPPLIER.format(folder=folder)
+    selects["nation"] = NATION.format(folder=folder)
     selects["part"] = REPEATED_PARTS.format(folder=folder)
     for name, select in selects.items():
         # Several row groups, so that even these few rows are read by several tasks.

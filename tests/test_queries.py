@@ -8,9 +8,11 @@ import pytest
 from oracle_check import SAME_TYPE, connect, differences
 
 import __spark_entry__ as contract
+from salesloom.plans import catalog
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+# The queries of other folders have tests beside them.
+QUERIES = catalog.queries()
+SQL = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")

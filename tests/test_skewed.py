@@ -7,14 +7,9 @@ from oracle_check import connect, differences
 from skewed_data import write_skewed
 
 import __spark_entry__ as contract
+from salesloom.plans import catalog
 
-NAMES = """
-top_products top_products_named sales_by_store daily_sales date_range sales_on_day
-sales_of_one_order top_products_last_month orders_last_weekend discount_summary star_join
-revenue_by_category revenue_by_location sales_by_month customer_activity
-customers_without_sales pk_violations fk_orphans load_profile rejected_rows csv_round_trip
-current_table asof_count row_changes evolved_nulls snapshot_history generated_sales
-""".split()
+NAMES = sorted(name for name, entry in catalog.ENTRIES.items() if entry.sql is not None)
 
 
 @pytest.fixture(scope="module")
