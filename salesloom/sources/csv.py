@@ -1,8 +1,7 @@
 """CSV with a header: typed reading, and export that loses nothing.
 
-Export keeps blanks at the ends of texts, tells empty texts from NULL by a mark for NULL, and
-keeps line breaks inside quotes. A text that is the mark itself can't be told from NULL, so
-exporting one is an error. Read such files back with `exported=True`.
+Export keeps blanks at the ends of texts and line breaks inside quotes, writes NULL as nothing and
+an empty text as a pair of quotes. Read such files back with `exported=True`.
 
 A record with a line break can only be found by reading a file from its start: with
 `exported=True` a file is one task, so an export should be many files.
@@ -12,22 +11,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from salesloom.functions.text import typed
 from salesloom.schema import TableDef
 
 # Quotes are doubled inside quoted fields, as spreadsheet and dataframe tools write them.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
-NULL_MARK = "\\N"
 # What export writes, and reading it back takes.
-KEEPING = {
-    "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false",
-    "nullValue": NULL_MARK,
-    "emptyValue": "",
-    "quoteAll": "true",
-}
+KEEPING = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# Stands for an empty text between Spark's parser, which takes both for NULL, and the reader below.
+EMPTY_MARK = "\x01empty\x01"
 
 
 def read_strings(spark: SparkSession, path: str, exported: bool = False, **options: str) -> DataFrame:
@@ -37,9 +30,11 @@ def read_strings(spark: SparkSession, path: str, exported: bool = False, **optio
     as dataframe tools write it, and records end at line breaks, so that large files split.
     """
     reader = spark.read.options(**CSV_OPTIONS).options(enforceSchema="false")
-    if exported:
-        reader = reader.options(**KEEPING, multiLine="true", lineSep="\n")
-    return reader.options(**options).csv(path)
+    if not exported:
+        return reader.options(**options).csv(path)
+    found = reader.options(**KEEPING, multiLine="true", lineSep="\n", emptyValue=EMPTY_MARK, **options).csv(path)
+    column = lambda name: F.col(f"`{name}`")
+    return found.select(*[F.when(column(c) == EMPTY_MARK, "").otherwise(column(c)).alias(c) for c in found.columns])
 
 
 def conform(strings: DataFrame, table: TableDef) -> DataFrame:
@@ -58,13 +53,7 @@ def read_table(
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One folder of CSV files, each with the header and without a row index."""
-    problem = F.lit(f"a text is {NULL_MARK}, which stands for NULL here")
-    checked = {
-        f.name: F.when(F.col(f"`{f.name}`") == NULL_MARK, F.raise_error(problem)).otherwise(F.col(f"`{f.name}`"))
-        for f in df.schema.fields
-        if isinstance(f.dataType, T.StringType)
-    }
-    df.withColumns(checked).write.options(**CSV_OPTIONS, **KEEPING).mode(mode).csv(path)
+    df.write.options(**CSV_OPTIONS, **KEEPING).mode(mode).csv(path)
 
 
 def export_tables(frames: dict[str, DataFrame], folder: str, mode: str = "errorifexists") -> None:

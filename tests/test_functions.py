@@ -164,3 +164,27 @@ def test_range_on_a_timestamp_keeps_its_bounds(spark):
         "month", "month",
     )
     assert kept.count() == 2
+
+
+def test_amounts_finer_than_cents_are_an_error(spark):
+    from salesloom.functions.money import cents, from_cents
+
+    total = lambda values, **k: spark.createDataFrame([(v,) for v in values], "v double").select(
+        from_cents(F.sum(cents(F.col("v"), **k)), **k)
+    ).first()[0]
+    for value in (0.004, 0.125):
+        with pytest.raises(Exception, match="more than 2 decimals"):
+            total([value] * 3)
+    assert total([0.125] * 1000, decimals=3) == 125.0
+    assert total([0.29, 1.1, 19.99, 123456789.01]) == 123456810.39
+    assert total([float("nan"), None, 1.5]) == 1.5
+
+
+def test_whole_numbers_may_have_a_zero_fraction(spark):
+    from pyspark.sql import types as T
+
+    from salesloom.functions.text import rejected, typed
+
+    frame = spark.createDataFrame([("5.0",), ("-7.",), ("5.5",), ("x",), (None,), (" 8 ",)], "a string")
+    rows = frame.select(typed("a", T.LongType()), rejected("a", T.LongType()).alias("bad")).collect()
+    assert [tuple(r) for r in rows] == [(5, False), (-7, False), (None, True), (None, True), (None, False), (8, False)]

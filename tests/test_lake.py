@@ -285,3 +285,47 @@ def test_a_hot_day_is_split_and_kept_whole(spark, lake):
     assert lake.read("sales").where(F.col("order_date") == D1).count() == 100_000
     assert lake.snapshots("sales").first()["summary"]["added-records"] == "300000"
     assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"
+
+
+def test_a_lost_attempt_does_not_block_the_log(spark, sales, tmp_path):
+    from pathlib import Path
+
+    from salesloom.tables import log
+
+    entry = log.table_rows(spark, sales.root, "sales")[-1]["entry"] + 1
+    Path(f"{sales.root}/_log/table_name=sales/entry={entry}/attempt=lost/_temporary/0").mkdir(parents=True)
+    sales.append("sales", rows(spark, (4, D3, 40.0)))
+    assert ids(sales.read("sales")) == [1, 2, 3, 4]
+
+
+def test_a_failed_replace_keeps_the_table(spark, sales):
+    failing = rows(spark, (4, D3, 40.0)).withColumn("order_id", F.raise_error(F.lit("broken")).cast("bigint"))
+    with pytest.raises(Exception, match="broken"):
+        sales.replace("sales", failing)
+    assert ids(sales.read("sales")) == [1, 2, 3]
+    sales.replace("sales", rows(spark, (7, D3, 40.0)))
+    assert ids(sales.read("sales")) == [7] and sales.snapshots("sales").count() == 1
+
+
+def test_changes_read_only_what_differs(spark, sales):
+    before = sales.state("sales").snapshot_id
+    sales.append("sales", rows(spark, (4, D3, 40.0)))
+    found = sales.changes("sales", before)
+    assert [(r["order_id"], r["copies"]) for r in found.collect()] == [(4, 1)]
+    old = set(sales.read("sales", before).inputFiles())
+    assert not old & set(found.inputFiles())
+
+
+@pytest.mark.parametrize("granularity", ["day", "month"])
+def test_timestamp_partitions_do_not_follow_the_session_zone(spark, lake, granularity):
+    from salesloom.plans.session import session_conf
+
+    moments = [f"2024-03-{d:02d}T{h:02d}:30:00Z" for d in (1, 15, 31) for h in (0, 5, 12, 23)]
+    frame = spark.createDataFrame([(m,) for m in moments], "m string").select(F.to_timestamp("m").alias("at"))
+    for n, writer in enumerate(("UTC", "Asia/Tokyo", "America/Los_Angeles")):
+        with session_conf(spark, spark__sql__session__timeZone=writer):
+            lake.replace(f"t{n}", frame, "at", granularity)
+        for reader in ("UTC", "Asia/Tokyo", "America/Los_Angeles"):
+            with session_conf(spark, spark__sql__session__timeZone=reader):
+                found = lake.read(f"t{n}", between=("2024-03-15T05:00:00Z", "2024-03-31T23:00:00Z"))
+                assert found.count() == 6

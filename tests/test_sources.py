@@ -169,3 +169,37 @@ def test_work_folder_is_the_shared_one(spark):
     assert first != second
     if shared:
         assert first.startswith(shared)
+
+
+def test_exported_texts_come_back_as_they_were(spark):
+    texts = ["  lead", "tail  ", "", None, "two\nlines", 'say "hi", ok', "a\r\nb", "a\rb", 'back\\slash\\"', "\t", '"', "\\N"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    path = work_dir(spark, "csv-exact")
+    write_csv(frame, path)
+    back = read_strings(spark, path, exported=True).collect()
+    assert sorted((int(r["id"]), r["t"]) for r in back) == list(enumerate(texts))
+
+
+def test_star_views_of_odd_names(spark, tmp_path):
+    from salesloom.sources.star_views import StarViews
+
+    tables = {
+        "customer": ("c_custkey long, c_name string", [(1, "Customer#1"), (2, "Nameless"), (3, None)]),
+        "supplier": ("s_suppkey long, s_name string, s_nationkey long", [(1, "S", 1), (2, "T", None)]),
+        "nation": ("n_nationkey long, n_name string, n_regionkey long", [(1, "N", 9)]),
+        "region": ("r_regionkey long, r_name string", [(1, "R")]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    views = StarViews(spark, str(tmp_path))
+    names = {r["customer_id"]: (r["first_name"], r["last_name"]) for r in views.customer().collect()}
+    assert names == {1: ("Customer", "1"), 2: ("Nameless", ""), 3: (None, None)}
+    assert {r["manager_name"] for r in views.store().collect()} == {None}
+
+
+def test_generated_keys_reach_large_bounds(spark):
+    ids = spark.range(200_000)
+    big = ids.select(generate.hashed(F.col("id"), 2, 10**8).alias("k")).agg(F.max("k"), F.min("k")).first()
+    assert 99_900_000 < big[0] < 10**8 and big[1] < 100_000
+    two = spark.range(2).select((F.col("id") * 2**31).alias("id"))
+    assert two.select(generate.hashed(F.col("id"), 1, 2**40)).distinct().count() == 2
