@@ -36,7 +36,7 @@ WIDTH = 35
 KGRAM = 8
 
 BLOCKS = "doc_id long, text_key long, start int, n int, occurrences int, anchor long, content long"
-WINDOWS = "anchor long, content long, n int, offset int, window long"
+WINDOWS = "anchor long, content long, position int, window long, single boolean"
 RESULT = (
     "doc_id long, text_key long, n_words long, n_removed long, kept_sha256 string, kept string, "
     "factors array<struct<start:int,length:int,ref_doc_id:long,ref_start:int>>"
@@ -137,9 +137,9 @@ def _windows(documents: DataFrame, width: int) -> DataFrame:
                 [
                     rows.field("anchor").take(which),
                     rows.field("content").take(which),
-                    rows.field("n").take(which),
                     pa.array(offset.astype(np.int32)),
                     pa.array(as_signed(rolling(hashes, width)[at])) if len(at) else pa.array([], pa.int64()),
+                    rows.field("single").take(which),
                 ],
                 names=[field.split()[0] for field in WINDOWS.split(", ")],
             )
@@ -161,69 +161,90 @@ def repeats(spark: SparkSession, documents: DataFrame, width: int = WIDTH) -> Da
     shared = all_blocks.groupBy("anchor").agg(F.sum("occurrences").alias("seen")).where("seen > 1").select("anchor")
     all_blocks.join(shared, "anchor").write.options(**kept).parquet(f"{folder}/candidates")
     candidates = spark.read.schema(BLOCKS).parquet(f"{folder}/candidates")
+    discard(spark, f"{folder}/blocks")
 
+    # Equal contents are equal blocks: the hash of a content covers its length too.
     place = F.struct("doc_id", "start", "text_key")
-    candidates.groupBy("anchor", "content", "n").agg(
+    candidates.groupBy("anchor", "content").agg(
         F.count("*").alias("copies"),
+        F.first("n").alias("n"),
         F.max("occurrences").alias("occurrences"),
         F.min(place).alias("low"),
         F.max(place).alias("high"),
     ).write.options(**kept).parquet(f"{folder}/contents")
     contents = spark.read.parquet(f"{folder}/contents")
 
-    # Boundaries: anchors with different blocks, or with repeats inside a block.
+    # Boundaries: anchors with a block that has no equal, but has others with its anchor, or
+    # its anchor twice.
     uneven = (
         contents.groupBy("anchor")
-        .agg(F.count("*").alias("different"), F.max("occurrences").alias("occurrences"))
-        .where("different > 1 OR occurrences > 1")
+        .agg(
+            F.count("*").alias("different"),
+            F.min("copies").alias("copies"),
+            F.max(F.when(F.col("copies") == 1, F.col("occurrences"))).alias("occurrences"),
+        )
+        .where("copies = 1 AND (different > 1 OR occurrences > 1)")
         .select("anchor")
     )
     wanted = (
         contents.join(uneven, "anchor", "left_semi")
         .groupBy(F.col("low.doc_id").alias("doc_id"), F.col("low.text_key").alias("text_key"))
-        .agg(F.collect_list(F.struct(F.col("low.start").alias("start"), "n", "anchor", "content")).alias("wanted"))
+        .agg(
+            F.collect_list(
+                F.struct(F.col("low.start").alias("start"), "n", "anchor", "content", (F.col("copies") == 1).alias("single"))
+            ).alias("wanted")
+        )
     )
     same = [documents["doc_id"].eqNullSafe(wanted["doc_id"]), documents["text_key"] == wanted["text_key"]]
     listed = documents.join(wanted, same).select(documents["text"], wanted["wanted"])
     # A row that stands there twice gives its windows twice, but then its blocks have copies too.
     _windows(listed, width).write.options(**kept).parquet(f"{folder}/windows")
     windows = spark.read.schema(WINDOWS).parquet(f"{folder}/windows")
-
-    own = windows.join(contents.select("anchor", "content", "n", "copies", "low", "high"), ["anchor", "content", "n"])
-    moved = lambda name: F.struct(
-        F.col(f"{name}.doc_id").alias("doc_id"), (F.col(f"{name}.start") + F.col("offset")).alias("start")
-    )
+    other = F.struct("content", "position")
     again = (
-        own.groupBy("anchor", "window")
-        .agg(F.sum("copies").alias("times"), F.min(moved("low")).alias("low"), F.max(moved("high")).alias("high"))
+        windows.groupBy("anchor", "window")
+        .agg(F.count("*").alias("times"), F.min(other).alias("low"), F.max(other).alias("high"))
         .where("times > 1")
     )
-    # Of blocks that are no factor as a whole, the windows that repeat.
-    inside = (
-        own.where("copies = 1")
-        .select("anchor", "content", "n", "offset", "window")
-        .join(again.select("anchor", "window", "low", "high"), ["anchor", "window"])
-        .select("anchor", "content", "n", F.col("offset"), F.lit(1).alias("run"), "low", "high")
-    )
-    whole = contents.where("copies > 1").select(
-        "anchor", "content", "n", F.lit(0).alias("offset"), F.col("n").alias("run"),
-        F.struct("low.doc_id", "low.start").alias("low"), F.struct("high.doc_id", "high.start").alias("high"),
+    # Of blocks that are no factor as a whole, the windows that repeat, with another place.
+    inside = windows.where("single").join(again, ["anchor", "window"])
+    own = (F.col("low.content") == F.col("content")) & (F.col("low.position") == F.col("position"))
+    inside = inside.select(
+        "anchor", "content", "position", F.when(own, F.col("high")).otherwise(F.col("low")).alias("other")
+    ).select("anchor", "content", "position", F.col("other.content").alias("there"), F.col("other.position").alias("shift"))
+    places = contents.select("anchor", F.col("content").alias("there"), "low")
+    inside = inside.join(places, ["anchor", "there"]).select(
+        "anchor", "content", "position", F.lit(1).alias("run"), F.col("low.doc_id").alias("ref_doc_id"),
+        (F.col("low.start") + F.col("shift")).alias("ref_start"),
     )
-    found = candidates.select("doc_id", "text_key", "start", "n", "anchor", "content").join(
-        inside.unionByName(whole), ["anchor", "content", "n"]
+    inside = inside.groupBy("anchor", "content").agg(
+        F.collect_list(F.struct("position", "run", "ref_doc_id", "ref_start")).alias("repeated")
     )
-    begins = (F.col("start") + F.col("offset")).alias("start")
-    # The reference is another place than the factor's own: the first one, or else the last.
-    self_ = F.col("low.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("low.start") == F.col("start") + F.col("offset"))
-    ref = F.when(self_, F.col("high")).otherwise(F.col("low"))
-    return (
-        found.select(
+    single = (
+        candidates.join(inside, ["anchor", "content"])
+        .select("doc_id", "text_key", "start", F.explode("repeated").alias("r"))
+        .select(
             "doc_id", "text_key",
-            F.struct(begins, F.col("run").alias("n"), ref["doc_id"].alias("ref_doc_id"), ref["start"].alias("ref_start")).alias("part"),
+            F.struct((F.col("start") + F.col("r.position")).alias("start"), F.col("r.run").alias("n"), "r.ref_doc_id", "r.ref_start").alias("part"),
         )
-        .groupBy("doc_id", "text_key")
-        .agg(F.collect_set("part").alias("parts"))
     )
+    # The reference of a whole block is its first place, or for that one its last.
+    whole = candidates.join(
+        contents.where("copies > 1").select("anchor", "content", "low", "high"), ["anchor", "content"]
+    )
+    first = F.col("low.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("low.start") == F.col("start"))
+    ref = F.when(first, F.col("high")).otherwise(F.col("low"))
+    whole = whole.select(
+        "doc_id", "text_key",
+        F.struct("start", "n", ref["doc_id"].alias("ref_doc_id"), ref["start"].alias("ref_start")).alias("part"),
+    )
+    return single.unionByName(whole).groupBy("doc_id", "text_key").agg(F.collect_set("part").alias("parts"))
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Deletes an intermediate of this operator that no later step reads."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def factored(
