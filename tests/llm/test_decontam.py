@@ -35,7 +35,7 @@ def test_leaks(shipped, limit):
     items = shipped.createDataFrame(ITEMS, "item_id long, text string")
     rows = decontam.leaks(frames.clashing(docs), items.selectExpr("*", "1 item", "2 window"), limit).collect()
     found = {(r["doc_id"], r["item_id"]) for r in rows}
-    assert found == {(1, 1), (2, 1), (5, 5), (None, 5)}
+    assert found == {(1, 1), (2, 1), (3, 1), (5, 5), (None, 5)}  # one slot of seven may differ
     by = {(r["doc_id"], r["item_id"]): r for r in rows}
     assert by[1, 1]["exact"] and not by[2, 1]["exact"] and by[2, 1]["changed_slots"] >= 5
     assert by[5, 5]["n_words"] >= 29
@@ -65,7 +65,7 @@ def test_clean_documents_stay(shipped):
                 patch.setattr(decontam, "MAX_WINDOWS", limit)
             out = decontam.without_leaks(docs, items)
             assert out.columns == docs.columns
-            assert sorted(r["doc_id"] for r in out.collect()) == [3, 4, 6, 7, 8, 9]
+            assert sorted(r["doc_id"] for r in out.collect()) == [4, 6, 7, 8, 9]
 
 
 def test_empty_tables(shipped):

@@ -90,11 +90,16 @@ def test_probabilities_add_up(shipped):
     np.testing.assert_allclose(total, 1.0, rtol=1e-9)
 
 
-def test_scores_follow_the_language(spark, sf_dir):
-    from salesloom.llm.queries import QUERIES
-
-    found = QUERIES["op8_lm_score"](spark, sf_dir).where("held_out").selectExpr("sum(score)", "sum(base_score)", "count(*)").first()
-    assert found[2] > 20 and found[0] > 1.15 * found[1]
+def test_contexts_help_on_held_out_texts(spark, sf_dir):
+    from salesloom.llm.langid import held_out
+    from salesloom.llm.queries import table
+
+    rows = table(spark, sf_dir, "documents").select("text", held_out("doc_id", 5, 1).alias("held"))
+    asked = pst.lower_ascii(pst.strings(rows.where("held").select("text").toArrow().column(0).combine_chunks()))
+    training = rows.where("NOT held")
+    tree, root = pst.fit(spark, training), pst.fit(spark, training, gain=1e18)
+    assert len(asked) > 20
+    assert pst.log10_probability(asked, tree).sum() > 0.6 * pst.log10_probability(asked, root).sum()
 
 
 def test_empty_table(shipped):
