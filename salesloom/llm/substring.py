@@ -206,6 +206,9 @@ def repeats(spark: SparkSession, documents: DataFrame, width: int = WIDTH) -> Da
         .agg(F.count("*").alias("times"), F.min(other).alias("low"), F.max(other).alias("high"))
         .where("times > 1")
     )
+    # Written first, so that the join below can split a window that very many blocks hold.
+    again.write.options(**kept).parquet(f"{folder}/again")
+    again = spark.read.schema(again.schema).parquet(f"{folder}/again")
     # Of blocks that are no factor as a whole, the windows that repeat, with another place.
     inside = windows.where("single").join(again, ["anchor", "window"])
     own = (F.col("low.content") == F.col("content")) & (F.col("low.position") == F.col("position"))
