@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -173,6 +174,13 @@ def as_signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
+@lru_cache(maxsize=1)
+def _is_letter() -> np.ndarray:
+    """Of every code point; made once in a worker."""
+    kinds = (unicodedata.category(chr(point)) for point in range(0x110000))
+    return np.fromiter((kind[0] == "L" for kind in kinds), dtype=bool, count=0x110000)
+
+
 class Letters:
     """Characters of texts as small codes: 0 for anything but letters, else one per letter.
 
@@ -182,10 +190,7 @@ class Letters:
 
     def __init__(self, alphabet: str):
         self.alphabet = alphabet
-        self.table = np.zeros(0x110000, dtype=np.uint8)
-        for point in range(0x110000):
-            if unicodedata.category(chr(point))[0] == "L":
-                self.table[point] = len(alphabet) + 1
+        self.table = np.where(_is_letter(), np.uint8(len(alphabet) + 1), np.uint8(0))
         for code, letter in enumerate(alphabet, 1):
             self.table[ord(letter)] = code
             upper = letter.upper()
