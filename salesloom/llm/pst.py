@@ -17,13 +17,15 @@ they occur in, and come back to the slice with their count in the whole corpus.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.llm.langid import held_out
@@ -109,42 +111,42 @@ class Model:
 
 def fit(spark: SparkSession, training: DataFrame, depth: int = DEPTH, gain: float = GAIN) -> Model:
     """The tree of all texts in `training` (text). No text gives an even distribution."""
+    return built(learned(spark, training, depth, gain))
+
+
+def learned(spark: SparkSession, training: DataFrame, depth: int = DEPTH, gain: float = GAIN) -> pa.Table:
+    """Rows (length, context, symbol, n) of the kept contexts; of a context without counts n is 0."""
     folder = work_dir(spark, "pst")
-    levels, grams_ = {}, counted(training, depth)
+    packed = {"compression": "zstd"}
+    # log(257) bounds the divergence, so contexts below this count gain too little.
+    least = max(1, math.ceil(gain / math.log(SYMBOLS)))
+    levels: dict[int, DataFrame] = {}
+    grams_ = counted(training, depth)
     for length in range(depth, -1, -1):
-        if length < depth:  # marginals: the oldest code goes
-            mask = (1 << (BITS * (length + 1))) - 1
-            grams_ = (
-                levels[length + 1].groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n"))
-            )
-        grams_.write.option("compression", "zstd").parquet(f"{folder}/level={length}")
-        levels[length] = spark.read.schema("gram long, n long").parquet(f"{folder}/level={length}")
-    level = lambda k: levels[k].select(
-        F.shiftright("gram", BITS).alias("context"), F.col("gram").bitwiseAND(F.lit((1 << BITS) - 1)).alias("symbol"), "n"
-    )
+        grams_.write.options(**packed).parquet(f"{folder}/grams={length}")
+        grams_ = spark.read.schema("gram long, n long").parquet(f"{folder}/grams={length}")
+        # A context has SYMBOLS next symbols at most, so its list is bounded.
+        grouped = grams_.groupBy(F.shiftright("gram", BITS).alias("context")).agg(
+            F.sum("n").alias("total"),
+            F.collect_list(F.struct(F.col("gram").bitwiseAND(F.lit((1 << BITS) - 1)).alias("symbol"), "n")).alias("next"),
+        )
+        grouped.where(F.col("total") >= (least if length else 0)).write.options(**packed).parquet(f"{folder}/level={length}")
+        levels[length] = spark.read.schema(grouped.schema).parquet(f"{folder}/level={length}")
+        if length:  # marginals: the oldest code goes
+            mask = (1 << (BITS * length)) - 1
+            grams_ = grams_.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n"))
     kept = None
     for length in range(1, depth + 1):
-        own = level(length)
-        totals = own.groupBy("context").agg(F.sum("n").alias("total"))
-        short = level(length - 1)
-        short = short.join(
-            short.groupBy("context").agg(F.sum("n").alias("short_total")), "context"
-        ).select(F.col("context").alias("short"), "symbol", F.col("n").alias("short_n"), "short_total")
         mask = (1 << (BITS * (length - 1))) - 1
-        gains = (
-            own.join(totals.where(F.col("total") * 6 >= gain), "context")  # log(257) bounds the divergence
-            .withColumn("short", F.col("context").bitwiseAND(F.lit(mask)))
-            .join(short, ["short", "symbol"])
-            .groupBy("context")
-            .agg(
-                F.sum(
-                    F.col("n") * F.log(F.col("n") * F.col("short_total") / (F.col("total") * F.col("short_n")))
-                ).alias("gain")
-            )
-            .where(F.col("gain") >= gain)
-            .select(F.lit(length).alias("length"), "context", "gain")
+        own = levels[length].withColumn("short", F.col("context").bitwiseAND(F.lit(mask)))
+        shorter = levels[length - 1].select(
+            F.col("context").alias("short"), F.col("total").alias("short_total"), F.map_from_entries("next").alias("shorter")
         )
+        joined = own.join(shorter, "short")
+        gains = joined.select(F.lit(length).alias("length"), "context", _gain().alias("gain")).where(F.col("gain") >= gain)
         kept = gains if kept is None else kept.unionByName(gains)
+    if kept is None:
+        kept = spark.createDataFrame([], "length int, context long, gain double")
     best = kept.orderBy(F.desc("gain"), "length", "context").limit(MAX_CONTEXTS).select("length", "context")
     wanted = {(0, 0)}
     for length, context in best.toPandas().itertuples(index=False):
@@ -152,16 +154,43 @@ def fit(spark: SparkSession, training: DataFrame, depth: int = DEPTH, gain: floa
     chosen = spark.createDataFrame(sorted(wanted), "length int, context long")
     rows = None
     for length in range(depth + 1):
-        part = level(length).join(
+        part = levels[length].join(
             F.broadcast(chosen.where(F.col("length") == length)), "context", "left_semi"
-        ).select(F.lit(length).alias("length"), "context", "symbol", "n")
+        ).select(F.lit(length).alias("length"), "context", F.inline("next"))
         rows = part if rows is None else rows.unionByName(part)
-    return built(wanted, rows.toArrow())
+    found = rows.toArrow()
+    root = pa.table({"length": [0], "context": [0], "symbol": [END], "n": [0]}).cast(found.schema)
+    return pa.concat_tables([found, root])
+
+
+def _gain() -> Column:
+    """Nats by which the counts in `next` are likelier under their own distribution than the shorter one's."""
+
+    def nats(x: Column) -> Column:
+        ratio = x["n"] * F.col("short_total") / (F.col("total") * F.element_at("shorter", x["symbol"]))
+        return x["n"] * F.log(ratio)
+
+    return F.aggregate(F.transform("next", nats), F.lit(0.0), lambda a, b: a + b)
+
 
+@lru_cache(maxsize=1)
+def unpacked(packed: bytes) -> Model:
+    """The model of `packed_rows`, built once in a worker: its tables are much larger than its counts."""
+    with pa.ipc.open_stream(packed) as stream:
+        return built(stream.read_all())
 
-def built(states: set[tuple[int, int]], rows: pa.Table) -> Model:
+
+def packed_rows(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def built(rows: pa.Table) -> Model:
     """The automaton of the kept contexts (length, packed codes) and their counts."""
-    order = sorted(states)  # shorter contexts first, so that a state's suffix comes before it
+    # Shorter contexts first, so that a state's suffix comes before it.
+    order = sorted(set(zip(rows.column("length").to_pylist(), rows.column("context").to_pylist(), strict=True)))
     number = {state: k for k, state in enumerate(order)}
     symbols = rows.column("symbol").to_numpy()
     seen = np.union1d(symbols, [END, START]).astype(np.int64)
@@ -169,34 +198,34 @@ def built(states: set[tuple[int, int]], rows: pa.Table) -> Model:
     classes[seen] = np.arange(len(seen))
     classes[PAD] = len(seen) + 1
     width = len(seen) + 2
-    counts = np.zeros((len(order), width))
-    owners = [number[k] for k in zip(rows.column("length").to_pylist(), rows.column("context").to_pylist(), strict=True)]
-    counts[owners, classes[symbols]] = rows.column("n").to_numpy()
-    chances = np.empty_like(counts)
-    moves = np.empty((len(order), width), dtype=np.int64)
-    for state, (length, context) in enumerate(order):
-        total = counts[state].sum()
-        if length == 0:
-            chances[state] = (counts[state] + UNSEEN) / (total + UNSEEN * SYMBOLS)
-        else:
-            suffix = number[length - 1, context & ((1 << (BITS * (length - 1))) - 1)]
-            chances[state] = (counts[state] + BACKOFF * chances[suffix]) / (total + BACKOFF)
+    one_key = lambda length, context: (np.asarray(length, dtype=np.int64) << 56) | context
+    keys = np.array([one_key(*state) for state in order], dtype=np.int64)
+    owners = np.searchsorted(keys, one_key(rows.column("length").to_numpy(), rows.column("context").to_numpy()))
+    # Counts become chances, and these their logarithms, in one array.
+    scores = np.zeros((len(order), width))
+    np.add.at(scores, (owners, classes[symbols]), rows.column("n").to_numpy())
+    moves = np.full((len(order), width), -1, dtype=np.int32)
     # After symbol c a state s goes on to the longest kept suffix of (s, c): that is (s, c)
     # itself where it is kept, else where the suffix of s goes.
-    grown = np.full((len(order), width), -1, dtype=np.int64)
     for target, (length, context) in enumerate(order):
         before = number.get((length - 1, context >> BITS)) if length else None
         if before is not None:
-            grown[before, classes[context & ((1 << BITS) - 1)]] = target
-    moves[0] = np.maximum(grown[0], 0)
-    for state, (length, context) in enumerate(order[1:], 1):
-        suffix = number[length - 1, context & ((1 << (BITS * (length - 1))) - 1)]
-        moves[state] = np.where(grown[state] >= 0, grown[state], moves[suffix])
+            moves[before, classes[context & ((1 << BITS) - 1)]] = target
+    for state, (length, context) in enumerate(order):
+        total = scores[state].sum()
+        if length == 0:
+            scores[state] = (scores[state] + UNSEEN) / (total + UNSEEN * SYMBOLS)
+            moves[state] = np.maximum(moves[state], 0)
+        else:
+            suffix = number[length - 1, context & ((1 << (BITS * (length - 1))) - 1)]
+            scores[state] = (scores[state] + BACKOFF * scores[suffix]) / (total + BACKOFF)
+            moves[state] = np.where(moves[state] >= 0, moves[state], moves[suffix])
     moves[:, width - 1] = np.arange(len(order))
-    scores = np.log10(chances)
+    moves *= width
+    np.log10(scores, out=scores)
     scores[:, classes[START]] = 0.0
     scores[:, width - 1] = 0.0
-    return Model(width, classes, (moves * width).astype(np.int32).ravel(), scores.ravel())
+    return Model(width, classes, moves.ravel(), scores.ravel())
 
 
 def log10_probability(texts: pa.Array, model: Model, depth: int = DEPTH) -> np.ndarray:
@@ -216,7 +245,7 @@ def log10_probability(texts: pa.Array, model: Model, depth: int = DEPTH) -> np.n
 
 
 SLICES = (
-    "slice string, doc_ids binary, id_known binary, held_out binary, bounds binary, word_ids binary, "
+    "slice long, doc_ids binary, id_known binary, held_out binary, bounds binary, word_ids binary, "
     "vocabulary binary, train_counts binary, scores binary"
 )
 RESULT = (
@@ -247,10 +276,10 @@ def sliced(documents: DataFrame, model) -> DataFrame:
                 words.ids.astype(np.int32),
                 words.vocabulary_hashes(),
                 np.bincount(words.ids[trains], minlength=len(words.vocabulary)).astype(np.int64),
-                log10_probability(texts, model.value),
+                log10_probability(texts, unpacked(model.value)),
             ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([uuid.uuid4().hex]), *(pa.array([c.tobytes()], pa.binary()) for c in columns)],
+                [pa.array([uuid.uuid4().int >> 65]), *(pa.array([c.tobytes()], pa.binary()) for c in columns)],
                 names=[field.split()[0] for field in SLICES.split(", ")],
             )
 
@@ -269,7 +298,7 @@ def word_uses(parts: DataFrame) -> DataFrame:
                     names=["slice", "word", "n"],
                 )
 
-    return parts.select("slice", "vocabulary", "train_counts").mapInArrow(run, "slice string, word long, n long")
+    return parts.select("slice", "vocabulary", "train_counts").mapInArrow(run, "slice long, word long, n long")
 
 
 def base_scored(parts: DataFrame, known: DataFrame, texts: int, words: int, distinct: int) -> DataFrame:
@@ -330,7 +359,8 @@ def score(spark: SparkSession, documents: DataFrame) -> DataFrame:
     folder = work_dir(spark, "lm-score")
     rows = documents.select("doc_id", "text", held_out("doc_id", 5, 1).alias("held_out"))
     training = rows.where(~F.col("held_out"))
-    model = spark.sparkContext.broadcast(fit(spark, training))  # MAX_CONTEXTS bound its size
+    # At most MAX_CONTEXTS contexts with their suffixes, and 257 counts of each.
+    model = spark.sparkContext.broadcast(packed_rows(learned(spark, training)))
     packed = {"compression": "zstd"}
     sliced(rows, model).write.options(**packed).parquet(f"{folder}/slices")
     parts = spark.read.schema(SLICES).parquet(f"{folder}/slices")
