@@ -47,7 +47,9 @@ END, START, PAD = 256, 257, 258
 SYMBOLS = 257  # bytes and the end can come next
 BITS = 9
 #: Distinct grams that a task merges before it sends them on.
-MERGE = 1 << 21
+MERGE = 1 << 20
+#: Bytes of text whose codes are held at once: each byte takes up to 40 bytes of arrays.
+CODE_BYTES = 2 << 20
 
 
 def byte_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -84,7 +86,7 @@ def counted(training: DataFrame, depth: int = DEPTH) -> DataFrame:
             keys, places = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
             return keys, np.bincount(places, weights=np.concatenate([n for _, n in held])).astype(np.int64)
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", CODE_BYTES):
             codes, bounds = byte_codes(lower_ascii(strings(batch.column("text"))))
             held.append(np.unique(grams(codes, bounds, depth), return_counts=True))
             size += len(held[-1][0])
@@ -230,6 +232,12 @@ def built(rows: pa.Table) -> Model:
 
 def log10_probability(texts: pa.Array, model: Model, depth: int = DEPTH) -> np.ndarray:
     """Of each text and its end, by the longest kept suffix of what came before each byte."""
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    parts = [_log10_probability(part.column("text"), model, depth) for part in slices([batch], "text", CODE_BYTES)]
+    return np.concatenate(parts) if parts else np.empty(0)
+
+
+def _log10_probability(texts: pa.Array, model: Model, depth: int) -> np.ndarray:
     codes, bounds = byte_codes(texts)
     segments = Segments(
         model.classes[codes], bounds, pad=model.classes[PAD], lead=depth, start=model.classes[START], length=SEGMENT
