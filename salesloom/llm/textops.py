@@ -60,8 +60,13 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 
 def strings(column: pa.Array) -> pa.Array:
-    """A string column with nulls as empty texts and 64-bit offsets."""
-    return pc.fill_null(column.cast(pa.large_string()), "")
+    """A string column with nulls as empty texts and 64-bit offsets, in buffers of its own.
+
+    A part of a batch shares the whole's buffers, which some Arrow functions on strings misread
+    (`ascii_lower` keeps offsets that don't fit what it returns), so the texts are copied.
+    """
+    texts = pc.fill_null(column.cast(pa.large_string()), "")
+    return texts.take(pa.array(np.arange(len(texts))))
 
 
 def lower_ascii(texts: pa.Array) -> pa.Array:
