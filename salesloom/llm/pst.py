@@ -7,21 +7,24 @@ GAIN nats. Kept contexts bring their suffixes along, so each state is a suffix o
 A state's distribution is smoothed by the state one byte shorter, down to a root that gives
 every byte and the end of a text some mass: probabilities of all texts add up to one.
 
-A text is scored by the longest kept suffix of what came before each byte. The states form an
-automaton; texts are walked through it in segments, which start DEPTH bytes early to find
-their state, so a cut changes nothing.
-
-Beside it stands a base score from word counts. Words travel once for each slice of documents
-they occur in, and come back to the slice with their count in the whole corpus.
+A text is scored by the longest kept suffix of what came before each byte. The tree is a table
+and only the divergence test bounds it. Contexts travel once for each slice of documents they
+occur in, and those of the tree come back to the slice with their counts. A filter of fixed size
+tells most others apart before they travel; it never loses one of the tree. A tree that fits one
+process can also be made an automaton (`fit`), through which texts are walked in segments that
+start DEPTH bytes early to find their state, so a cut changes nothing.
+
+Beside it stands a base score from word counts. Words travel in the same way, and come back
+with their count in the whole corpus.
 """
 
 from __future__ import annotations
 
+import gc
 import math
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +33,13 @@ from pyspark.sql import functions as F
 
 from salesloom.llm.langid import held_out
 from salesloom.llm.lockstep import SEGMENT, Segments
-from salesloom.llm.textops import Words, lower_ascii, slices, strings
+from salesloom.llm.substring import discard
+from salesloom.llm.textops import Words, as_signed, lower_ascii, mixed, slices, strings
 from salesloom.plans.session import work_dir
 
 DEPTH = 6
 #: Nats that a context must explain beyond its suffix.
 GAIN = 20.0
-#: Size of the model: contexts kept at most, those of the largest gain first.
-MAX_CONTEXTS = 60_000
 #: Weight of the shorter context in a distribution, in counts.
 BACKOFF = 2.0
 #: Mass of a symbol never seen, in counts of the root.
@@ -46,24 +48,35 @@ UNSEEN = 0.5
 END, START, PAD = 256, 257, 258
 SYMBOLS = 257  # bytes and the end can come next
 BITS = 9
+SYMBOL = (1 << BITS) - 1
+KEY_BITS = 56  # a context's length stands above its codes
 #: Distinct grams that a task merges before it sends them on.
 MERGE = 1 << 20
 #: Bytes of text whose codes are held at once: each byte takes up to 40 bytes of arrays.
 CODE_BYTES = 2 << 20
+#: Bytes of text of a slice that contexts and words travel for.
+SLICE_BYTES = 8 << 20
+#: Bits of the filter of contexts; more contexts let more others pass and lose none.
+FILTER_BITS = 26
 
 
 def byte_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of each text and its end, as codes, with the bounds of texts."""
-    values = texts.cast(pa.large_binary()).to_pylist()
-    raw = np.frombuffer(b"".join(values), dtype=np.uint8)
-    offsets = np.concatenate(([0], np.cumsum([len(x) for x in values], dtype=np.int64)))
-    bounds = offsets + np.arange(len(texts) + 1)
+    raw, offsets = joined_bytes(texts)
+    bounds = offsets + np.arange(len(offsets))
     codes = np.full(bounds[-1], END, dtype=np.int16)
     places = np.arange(len(raw)) + np.repeat(np.arange(len(texts)), np.diff(offsets))
     codes[places] = raw
     return codes, bounds
 
 
+def joined_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts in a row, with the bounds of texts."""
+    values = texts.cast(pa.large_binary()).to_pylist()
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in values], dtype=np.int64)))
+    return np.frombuffer(b"".join(values), dtype=np.uint8), offsets
+
+
 def grams(codes: np.ndarray, bounds: np.ndarray, depth: int) -> np.ndarray:
     """A packed number for each code and the `depth` codes before it, START before a text."""
     texts = len(bounds) - 1
@@ -113,11 +126,15 @@ class Model:
 
 def fit(spark: SparkSession, training: DataFrame, depth: int = DEPTH, gain: float = GAIN) -> Model:
     """The tree of all texts in `training` (text). No text gives an even distribution."""
-    return built(learned(spark, training, depth, gain))
+    rows = learned(spark, training, depth, gain).select("key", F.explode("next").alias("run")).toArrow()
+    keys, runs = rows.column("key").to_numpy(), rows.column("run").to_numpy()
+    columns = {"length": keys >> KEY_BITS, "context": keys & ((1 << KEY_BITS) - 1), "symbol": runs & SYMBOL, "n": runs >> BITS}
+    root = {"length": 0, "context": 0, "symbol": END, "n": 0}
+    return built(pa.table({name: np.append(column, root[name]) for name, column in columns.items()}))
 
 
-def learned(spark: SparkSession, training: DataFrame, depth: int = DEPTH, gain: float = GAIN) -> pa.Table:
-    """Rows (length, context, symbol, n) of the kept contexts; of a context without counts n is 0."""
+def learned(spark: SparkSession, training: DataFrame, depth: int = DEPTH, gain: float = GAIN) -> DataFrame:
+    """key, next: the kept contexts (length << KEY_BITS | codes), each with its runs (n << BITS | symbol)."""
     folder = work_dir(spark, "pst")
     packed = {"compression": "zstd"}
     # log(257) bounds the divergence, so contexts below this count gain too little.
@@ -149,20 +166,33 @@ def learned(spark: SparkSession, training: DataFrame, depth: int = DEPTH, gain:
         kept = gains if kept is None else kept.unionByName(gains)
     if kept is None:
         kept = spark.createDataFrame([], "length int, context long, gain double")
-    best = kept.orderBy(F.desc("gain"), "length", "context").limit(MAX_CONTEXTS).select("length", "context")
-    wanted = {(0, 0)}
-    for length, context in best.toPandas().itertuples(index=False):
-        wanted |= {(k, context & ((1 << (BITS * k)) - 1)) for k in range(length + 1)}
-    chosen = spark.createDataFrame(sorted(wanted), "length int, context long")
+    # Kept contexts bring their suffixes along, the empty one among them.
+    one_key = lambda k, context: F.shiftleft(k.cast("long"), KEY_BITS).bitwiseOR(context)
+    suffixes = F.transform(
+        F.sequence(F.lit(0), F.col("length")), lambda k: one_key(k, F.col("context").bitwiseAND(_mask(k, depth)))
+    )
+    root = spark.range(1).select(F.lit(0).cast("long").alias("key"))
+    chosen = kept.select(F.explode(suffixes).alias("key")).unionByName(root).distinct()
+    chosen.write.options(**packed).parquet(f"{folder}/chosen")
+    chosen = spark.read.schema("key long").parquet(f"{folder}/chosen")
+    runs = F.transform("next", lambda x: F.shiftleft(x["n"], BITS).bitwiseOR(x["symbol"]))
     rows = None
     for length in range(depth + 1):
-        part = levels[length].join(
-            F.broadcast(chosen.where(F.col("length") == length)), "context", "left_semi"
-        ).select(F.lit(length).alias("length"), "context", F.inline("next"))
+        part = levels[length].select(F.col("context").bitwiseOR(F.lit(length << KEY_BITS)).alias("key"), runs.alias("next"))
+        here = chosen.where(F.shiftright("key", KEY_BITS) == length)
+        part = part.join(here, "key", "left_semi")
         rows = part if rows is None else rows.unionByName(part)
-    found = rows.toArrow()
-    root = pa.table({"length": [0], "context": [0], "symbol": [END], "n": [0]}).cast(found.schema)
-    return pa.concat_tables([found, root])
+    rows.write.options(**packed).parquet(f"{folder}/tree")
+    for length in range(depth + 1):  # nothing reads them again
+        discard(spark, f"{folder}/grams={length}")
+        discard(spark, f"{folder}/level={length}")
+    return spark.read.schema("key long, next array<long>").parquet(f"{folder}/tree")
+
+
+def _mask(length: Column, depth: int) -> Column:
+    """The bits of the last `length` codes."""
+    masks = F.array(*(F.lit((1 << (BITS * k)) - 1).cast("long") for k in range(depth + 1)))
+    return F.element_at(masks, length + 1)
 
 
 def _gain() -> Column:
@@ -175,20 +205,6 @@ def _gain() -> Column:
     return F.aggregate(F.transform("next", nats), F.lit(0.0), lambda a, b: a + b)
 
 
-@lru_cache(maxsize=1)
-def unpacked(packed: bytes) -> Model:
-    """The model of `packed_rows`, built once in a worker: its tables are much larger than its counts."""
-    with pa.ipc.open_stream(packed) as stream:
-        return built(stream.read_all())
-
-
-def packed_rows(rows: pa.Table) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
-        stream.write_table(rows)
-    return sink.getvalue().to_pybytes()
-
-
 def built(rows: pa.Table) -> Model:
     """The automaton of the kept contexts (length, packed codes) and their counts."""
     # Shorter contexts first, so that a state's suffix comes before it.
@@ -252,9 +268,87 @@ def _log10_probability(texts: pa.Array, model: Model, depth: int) -> np.ndarray:
     return segments.per_run(total)
 
 
+def _filter_places(keys: np.ndarray) -> np.ndarray:
+    return (mixed(keys) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def context_filter(tree: DataFrame) -> np.ndarray:
+    """A bit for the hash of each context of the tree, in 64-bit words; the size is fixed."""
+    size = 1 << (FILTER_BITS - 6)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = np.zeros(size, dtype=np.uint64)
+        for batch in batches:
+            at = _filter_places(batch.column("key").to_numpy())
+            np.bitwise_or.at(words, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+        used = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(as_signed(words[used]))], names=["word", "bits"])
+
+    parts = tree.select("key").mapInArrow(run, "word long, bits long")
+    found = parts.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # at most `size` rows
+    words = np.zeros(size, dtype=np.uint64)
+    words[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return words
+
+
+def tree_contexts(packed: np.ndarray, words: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+    """Keys of the contexts in `packed` runs that may be in the tree, each once."""
+    alive = np.unique(packed >> BITS)
+    found = [np.zeros(1, dtype=np.int64)]
+    for length in range(1, depth + 1):  # a context stands in the tree only with its suffixes
+        keys = (length << KEY_BITS) | (alive & ((1 << (BITS * length)) - 1))
+        at = _filter_places(keys)
+        passed = (words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+        alive = alive[passed]
+        found.append(np.unique(keys[passed]))
+    return np.concatenate(found)
+
+
+def _gram_parts(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Packed runs of the texts, of CODE_BYTES at once, with their bounds."""
+    for part in slices([pa.RecordBatch.from_arrays([texts], names=["text"])], "text", CODE_BYTES):
+        codes, bounds = byte_codes(strings(part.column("text")))
+        yield grams(codes, bounds, DEPTH), bounds
+
+
+def run_scores(packed: np.ndarray, keys: np.ndarray, owner: np.ndarray, runs: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+    """log10 of the probability of each of `packed` runs.
+
+    keys: contexts of the tree, all that occur in `packed`; runs: n << BITS | symbol of the context keys[owner].
+    """
+    if not (keys == 0).any():  # nothing was learned
+        keys = np.append(keys, 0)
+    order = np.argsort(keys)
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    keys, owner = keys[order], rank[owner]
+    counts = (runs >> BITS).astype(float)
+    totals = np.bincount(owner, weights=counts, minlength=len(keys))
+    pairs = (owner << BITS) | (runs & SYMBOL)
+    order = np.argsort(pairs)
+    pairs, counts = np.append(pairs[order], np.iinfo(np.int64).max), np.append(counts[order], 0.0)
+
+    def count(at: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        wanted = (at << BITS) | symbols
+        place = np.searchsorted(pairs, wanted)
+        return np.where(pairs[place] == wanted, counts[place], 0.0)
+
+    own, places = np.unique(packed, return_inverse=True)
+    symbols = own & SYMBOL
+    chance = (count(np.zeros(len(own), dtype=np.int64), symbols) + UNSEEN) / (totals[0] + UNSEEN * SYMBOLS)
+    alive = np.arange(len(own))
+    for length in range(1, depth + 1):
+        wanted = (length << KEY_BITS) | ((own[alive] >> BITS) & ((1 << (BITS * length)) - 1))
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        there = keys[at] == wanted
+        alive, at = alive[there], at[there]
+        chance[alive] = (count(at, symbols[alive]) + BACKOFF * chance[alive]) / (totals[at] + BACKOFF)
+    return np.log10(chance)[places]
+
+
 SLICES = (
-    "slice long, doc_ids binary, id_known binary, held_out binary, bounds binary, word_ids binary, "
-    "vocabulary binary, train_counts binary, scores binary"
+    "slice long, doc_ids binary, id_known binary, held_out binary, texts binary, offsets binary, "
+    "vocabulary binary, train_counts binary, contexts binary"
 )
 RESULT = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
@@ -262,29 +356,30 @@ RESULT = (
 )
 
 
-def sliced(documents: DataFrame, model) -> DataFrame:
-    """One row for each slice of documents: tree scores, words by number, vocabulary as hashes.
+def sliced(documents: DataFrame, words) -> DataFrame:
+    """One row for each slice of documents: texts, vocabulary as hashes, contexts that pass the filter.
 
     A word is known by a 64-bit hash of its bytes. Under 10**9 different words the chance that
     any two of them share one is below 3 %, and such a pair would add up their counts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             texts = lower_ascii(strings(batch.column("text")))
-            words = Words(texts)
+            own = Words(texts)
             held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-            trains = np.repeat(~held, words.counts)
+            trains = np.repeat(~held, own.counts)
             doc_ids = batch.column("doc_id")
+            raw, offsets = joined_bytes(texts)
             columns = [
                 doc_ids.fill_null(0).to_numpy(),
                 doc_ids.is_valid().to_numpy(zero_copy_only=False),
                 held,
-                words.bounds,
-                words.ids.astype(np.int32),
-                words.vocabulary_hashes(),
-                np.bincount(words.ids[trains], minlength=len(words.vocabulary)).astype(np.int64),
-                log10_probability(texts, unpacked(model.value)),
+                raw,
+                offsets,
+                own.vocabulary_hashes(),
+                np.bincount(own.ids[trains], minlength=len(own.vocabulary)).astype(np.int64),
+                np.unique(np.concatenate([tree_contexts(part, words.value) for part, _ in _gram_parts(texts)])),
             ]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([uuid.uuid4().int >> 65]), *(pa.array([c.tobytes()], pa.binary()) for c in columns)],
@@ -309,8 +404,20 @@ def word_uses(parts: DataFrame) -> DataFrame:
     return parts.select("slice", "vocabulary", "train_counts").mapInArrow(run, "slice long, word long, n long")
 
 
-def base_scored(parts: DataFrame, known: DataFrame, texts: int, words: int, distinct: int) -> DataFrame:
-    """The result rows of all slices, with the corpus counts of their own words beside them."""
+def context_uses(parts: DataFrame) -> DataFrame:
+    """slice, key: each context of each slice once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, keys in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                keys = np.frombuffer(keys, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), name)), pa.array(keys)], names=["slice", "key"])
+
+    return parts.select("slice", "contexts").mapInArrow(run, "slice long, key long")
+
+
+def scored(parts: DataFrame, known: DataFrame, tree: DataFrame, texts: int, words: int, distinct: int) -> DataFrame:
+    """The result rows of all slices, with the corpus counts of their own words and contexts beside them."""
     tokens, types = words + texts, distinct + (texts > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,13 +426,24 @@ def base_scored(parts: DataFrame, known: DataFrame, texts: int, words: int, dist
                 raw = {name: batch.column(name)[k] for name in batch.schema.names}
                 array = lambda name, kind: np.frombuffer(raw[name].as_buffer(), dtype=kind)  # noqa: B023, E731
                 doc_ids, held = array("doc_ids", np.int64), array("held_out", bool)
-                bounds, ids, own = array("bounds", np.int64), array("word_ids", np.int32), array("vocabulary", np.int64)
+                offsets, own = array("offsets", np.int64), array("vocabulary", np.int64)
+                lines = pa.Array.from_buffers(
+                    pa.large_string(), len(held), [None, pa.py_buffer(offsets), raw["texts"].as_buffer()]
+                )
+                split = Words(lines)  # the same numbers as when the vocabulary was written
+                bounds, ids = split.bounds, split.ids
                 counts = np.zeros(len(own), dtype=np.int64)
                 if raw["known"].is_valid:
                     pairs = raw["known"].values
                     order = np.argsort(own)
                     found = pairs.field("word").to_numpy()
                     counts[order[np.searchsorted(own, found, sorter=order)]] = pairs.field("c").to_numpy()
+                nodes, tree = raw["nodes"].values, [np.empty(0, dtype=np.int64)] * 3
+                if nodes is not None:
+                    following = nodes.field("next")
+                    owner = np.repeat(np.arange(len(nodes)), following.value_lengths().to_numpy())
+                    tree = [nodes.field("key").to_numpy(), owner, following.flatten().to_numpy()]
+                scores = [_run_sums(run_scores(part, *tree), ends) for part, ends in _gram_parts(lines)]
                 below = np.log10(tokens + 0.5 * (types + 1))
                 value = np.append(np.log10(counts + 0.5) - below, 0.0)
                 seen = np.append(counts > 0, False)
@@ -339,14 +457,13 @@ def base_scored(parts: DataFrame, known: DataFrame, texts: int, words: int, dist
                         pa.array(np.diff(hits[bounds]) + (texts > 0)),
                         pa.array(np.full(len(held), tokens, dtype=np.int64)),
                         pa.array(_run_sums(value[ids], bounds) + end),
-                        pa.array(array("scores", float)),
+                        pa.array(np.concatenate(scores)),
                     ],
                     names=[field.split()[0] for field in RESULT.split(", ")],
                 )
 
-    joined = parts.select(
-        "slice", "doc_ids", "id_known", "held_out", "bounds", "word_ids", "vocabulary", "scores"
-    ).join(known, "slice", "left")
+    joined = parts.select("slice", "doc_ids", "id_known", "held_out", "texts", "offsets", "vocabulary")
+    joined = joined.join(known, "slice", "left").join(tree, "slice", "left")
     return joined.mapInArrow(run, RESULT)
 
 
@@ -367,10 +484,12 @@ def score(spark: SparkSession, documents: DataFrame) -> DataFrame:
     folder = work_dir(spark, "lm-score")
     rows = documents.select("doc_id", "text", held_out("doc_id", 5, 1).alias("held_out"))
     training = rows.where(~F.col("held_out"))
-    # At most MAX_CONTEXTS contexts with their suffixes, and 257 counts of each.
-    model = spark.sparkContext.broadcast(packed_rows(learned(spark, training)))
+    tree = learned(spark, training)
+    gc.collect()  # drops the frames above, so that Spark's cleaner finds their shuffle files
+    spark.sparkContext._jvm.System.gc()
+    words = spark.sparkContext.broadcast(context_filter(tree))  # 2 ** (FILTER_BITS - 3) bytes
     packed = {"compression": "zstd"}
-    sliced(rows, model).write.options(**packed).parquet(f"{folder}/slices")
+    sliced(rows, words).write.options(**packed).parquet(f"{folder}/slices")
     parts = spark.read.schema(SLICES).parquet(f"{folder}/slices")
     uses = word_uses(parts)
     # A word has one row a slice at most, so even the most frequent one is a small share.
@@ -382,5 +501,9 @@ def score(spark: SparkSession, documents: DataFrame) -> DataFrame:
         .groupBy("slice")
         .agg(F.collect_list(F.struct("word", "c")).alias("known"))
     )
+    # A context has one row a slice at most, too.
+    nodes = (
+        context_uses(parts).join(tree, "key").groupBy("slice").agg(F.collect_list(F.struct("key", "next")).alias("nodes"))
+    )
     size = totals.agg(F.count("*").alias("distinct"), F.coalesce(F.sum("c"), F.lit(0)).alias("words")).first()
-    return base_scored(parts, known, training.count(), int(size["words"]), int(size["distinct"]))
+    return scored(parts, known, nodes, training.count(), int(size["words"]), int(size["distinct"]))

@@ -106,3 +106,28 @@ def test_empty_table(shipped):
     assert pst.score(shipped, frames.none(shipped)).count() == 0
     only = frames.documents(shipped).where("doc_id IS NULL OR text IS NULL")
     assert pst.score(shipped, only).count() == only.count()
+
+
+def test_only_the_divergence_test_bounds_the_tree(shipped, monkeypatch):
+    """Scores are those of all contexts that pass, also above a number that once was a cap."""
+    monkeypatch.setattr(pst, "MAX_CONTEXTS", 3, raising=False)
+    monkeypatch.setattr(pst, "SLICE_BYTES", 400, raising=False)
+    rows = [(k, frames.text(k % 7, 30) + (" the cat sat on the mat" * (k % 4))) for k in range(40)]
+    rows += [(None, "The CAT"), (90, None), (91, "zebra é")]
+    raw = lambda t: (t or "").lower().encode()
+    held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1
+    train = [raw(t) for i, t in rows if not held(i)]
+    counts, _ = brute_model(train, {()}, pst.DEPTH)
+    states = {()}
+    for context, own in counts.items():
+        if context:
+            short = counts[context[1:]]
+            gained = sum(n * math.log(n * short.total() / (own.total() * short[x])) for x, n in own.items())
+            if gained >= pst.GAIN:
+                states |= {context[k:] for k in range(len(context) + 1)}
+    assert len(states) > 20
+    _, score = brute_model(train, states, pst.DEPTH)
+    frame = shipped.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["score"] for r in pst.score(shipped, frame).collect()}
+    for i, t in rows:
+        assert math.isclose(found[i], score(raw(t)), rel_tol=1e-9), i
