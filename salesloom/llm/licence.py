@@ -1,11 +1,12 @@
 """License scan with a positional index of rare license words; DataFrame functions only.
 
 The words of all license templates form a small vocabulary. One pass over all files counts in
-how many each of them occurs. A file is then looked up by its rarest license words only: each
-place of such a word votes, for every template position of that word, for a template at the
-place where it would have to begin. Votes for the same beginning come from words in the right
-relative positions. A template counts where enough of its rare words agree on one beginning and
-its mandatory key phrase stands in the file.
+how many each of them occurs. In every file that holds a template's mandatory key phrase the template
+is looked up by the rarest of its own words there, however frequent they are: each place of such a word
+votes, for every position it has in the template, for a template at the place where it would
+have to begin. Votes for the same beginning come from words in the right relative positions. A
+template counts where enough of its looked-up words agree on one beginning. A file's result
+depends on other files by the choice of words only.
 
 Beside the method stand base labels: places where a license's name stands word for word.
 """
@@ -67,9 +68,7 @@ TEMPLATES = [
     ),
 ]
 
-#: A license word is rare where it stands in at most this share of the files.
-RARE = 0.05
-#: Rarest license words by which a file is looked up.
+#: Rarest words of a template, of those that stand in the file, by which it is looked up.
 LOOKED_UP = 12
 #: Share of a template's looked-up words that must agree on one beginning.
 AGREEING = 0.8
@@ -123,65 +122,55 @@ def base(words: Column, n_words: Column) -> dict[str, Column]:
 
 
 def rarest_first(files: DataFrame) -> list[str]:
-    """The rare license words of a corpus (column words), by ascending number of files.
+    """The license words of a corpus (column words), by ascending number of files.
 
     All files count. What comes to the driver is a number for each word of the templates.
     """
     known = F.array(*(F.lit(word) for word in vocabulary()))
     hits = files.select(F.explode(F.array_intersect(known, F.split("words", " "))).alias("word"))
     counts = {row["word"]: row["n"] for row in hits.groupBy("word").agg(F.count("*").alias("n")).collect()}
-    limit = RARE * files.count()
-    return sorted((w for w in vocabulary() if 0 < counts.get(w, 0) <= max(1, limit)), key=lambda w: (counts[w], w))
+    return sorted(vocabulary(), key=lambda w: (counts.get(w, 0), w))
 
 
-def postings(words: list[str]) -> list[tuple[str, int, int]]:
-    """(word, template, position) of each of `words` in each template."""
-    wanted = set(words)
-    return [
-        (word, number, place)
-        for number, (_, _, text) in enumerate(TEMPLATES)
-        for place, word in enumerate(text.split())
-        if word in wanted
-    ]
-
-
-def matched(files: DataFrame, rare: list[str]) -> DataFrame:
+def matched(files: DataFrame, rarest: list[str]) -> DataFrame:
     """doc_id, text_hash, method (labels), agreement: of files with a template, each once.
 
-    files: doc_id, text_hash, words.
+    files: doc_id, text_hash, words. A file's words are exploded only where a key phrase stands.
     """
-    spark = files.sparkSession
-    index = spark.createDataFrame(postings(rare), "word string, template int, place int")
-    ordered = F.array(*(F.lit(word) for word in rare)) if rare else F.array().cast("array<string>")
-    looked_up = F.slice(F.array_intersect(ordered, F.split("words", " ")), 1, LOOKED_UP)
-    candidates = files.withColumn("rarest", looked_up).where(F.size("rarest") > 0)
-    places = (
-        candidates.select("doc_id", "text_hash", "rarest", F.posexplode(F.split(F.trim("words"), " ")).alias("at", "word"))
-        .where(F.expr("array_contains(rarest, word)"))
-        .select("doc_id", "text_hash", "word", "at")
-    )
+    texts = [text.split() for _, _, text in TEMPLATES]
+    index = [(word, n, place) for n, words in enumerate(texts) for place, word in enumerate(words)]
+    index = files.sparkSession.createDataFrame(index, "word string, template int, place int")
+
+    def listed(words: list[str]) -> Column:
+        return F.array(*(F.lit(word) for word in words))
+
+    def looked_up(n: int) -> Column:
+        """Template n with its rarest words among those of the file, and their places in it."""
+        ordered = listed([word for word in rarest if word in texts[n]])
+        chosen = F.slice(F.array_intersect(ordered, F.split("words", " ")), 1, LOOKED_UP)
+        could = F.size(F.filter(listed(texts[n]), lambda w: F.array_contains(chosen, w)))
+        found = F.contains("words", F.lit(f" {TEMPLATES[n][1]} "))
+        return F.when(found, F.struct(F.lit(n).alias("template"), chosen.alias("chosen"), could.alias("could")))
+
+    held = F.array_compact(F.array(*(looked_up(n) for n in range(len(TEMPLATES)))))
+    any_phrase = reduce(lambda a, b: a | b, (F.contains("words", F.lit(f" {phrase} ")) for _, phrase, _ in TEMPLATES))
+    candidates = files.where(any_phrase).withColumn("held", held)
+    places = candidates.select(
+        "doc_id", "text_hash", "held", F.posexplode(F.split(F.trim("words"), " ")).alias("at", "word")
+    ).where(F.array_contains(listed(vocabulary()), F.col("word")))
+    label = F.element_at(listed([label for label, _, _ in TEMPLATES]), F.col("template") + 1)
     # The index has a row for each word of the templates: a fixed, small number.
-    votes = (
+    return (
         places.join(F.broadcast(index), "word")
-        .groupBy("doc_id", "text_hash", "template", (F.col("at") - F.col("place")).alias("begins"))
+        .withColumn("own", F.expr("filter(held, x -> x.template = template AND array_contains(x.chosen, word))"))
+        .where(F.size("own") > 0)
+        .withColumn("could", F.get("own", F.lit(0))["could"])
+        .groupBy("doc_id", "text_hash", "template", "could", (F.col("at") - F.col("place")).alias("begins"))
         .agg(F.count_distinct("place").alias("votes"))
-        .groupBy("doc_id", "text_hash", "template")
-        .agg(F.max("votes").alias("votes"))
-    )
-    wanted = F.create_map(*(F.lit(x) for n in range(len(TEMPLATES)) for x in (n, TEMPLATES[n][2])))
-    phrase = F.create_map(*(F.lit(x) for n in range(len(TEMPLATES)) for x in (n, f" {TEMPLATES[n][1]} ")))
-    label = F.create_map(*(F.lit(x) for n in range(len(TEMPLATES)) for x in (n, TEMPLATES[n][0])))
-    # Of a template's places, those with a word by which this file is looked up can agree.
-    could = F.size(F.filter(F.split(wanted[F.col("template")], " "), lambda w: F.array_contains(F.col("rarest"), w)))
-    texts = candidates.dropDuplicates(["doc_id", "text_hash"])
-    same = [texts["text_hash"] == votes["text_hash"], texts["doc_id"].eqNullSafe(votes["doc_id"])]
-    return (
-        texts.join(votes, same)
-        .select(texts["doc_id"], texts["text_hash"], "words", "rarest", "template", "votes")
-        .withColumn("agreement", F.col("votes") / could)
-        .where((F.col("agreement") >= AGREEING) & F.contains("words", phrase[F.col("template")]))
+        .withColumn("agreement", F.col("votes") / F.col("could"))
+        .where(F.col("agreement") >= AGREEING)
         .groupBy("doc_id", "text_hash")
-        .agg(F.collect_set(label[F.col("template")]).alias("method"), F.max("agreement").alias("agreement"))
+        .agg(F.collect_set(label).alias("method"), F.max("agreement").alias("agreement"))
     )
 
 

@@ -63,3 +63,15 @@ def test_templates_are_found_and_need_their_phrase(spark):
 def test_empty_table(spark):
     assert licence.scan(frames.none(spark)).count() == 0
     assert licence.scan(frames.documents(spark)).count() == len(frames.rows())
+
+
+def test_frequent_notices_are_found(spark):
+    """A notice in all files, in two of two, and a file with several texts: each is found by its own words."""
+    bsd = next(text for label, _, text in licence.TEMPLATES if label == "bsd")
+    for copies in (2, 60):
+        rows = [(k, f"head {k} {bsd} tail; licensed under CC BY-NC 4.0") for k in range(copies)]
+        found = licence.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert [r["labels"] for r in found] == ["bsd,cc-by-nc"] * copies
+    whole = " ; ".join(text for _, _, text in licence.TEMPLATES)
+    (row,) = licence.scan(spark.createDataFrame([(1, whole)], "doc_id long, text string")).collect()
+    assert set(row["labels"].split(",")) == {label for label, _, _ in licence.TEMPLATES}
