@@ -4,7 +4,11 @@ Texts are reduced to templates: numbers, names and units become typed placeholde
 words lose case and punctuation. Windows of a template that occur both in a document and in a
 benchmark item line the two up. Where a long enough run of windows lies on one line, the values
 in the placeholders are compared: a re-parameterised question replaces each value by one other
-value throughout, so the slots of a true match are consistent.
+value throughout, so the slots of a true match are consistent. Equal values need no such proof.
+
+A capitalised word that begins a sentence may be a name or not. Windows are therefore made three
+times: of templates, of templates where such words are names, and of plain words in lower case;
+a place lines up where any of them meet. Items below the window meet as a whole, word for word.
 
 The windows of the benchmark are sent to all tasks if they are at most MAX_WINDOWS. A larger
 benchmark meets the documents in a hash join of windows, and only the pairs found there are
@@ -63,6 +67,7 @@ class Templates:
     """Template words of a slice of texts; words of punctuation alone are left out.
 
     values: a hash of the bare word in lower case. shapes: the same, or that of a placeholder.
+    wide: shapes where a capitalised word that begins a sentence is a name, too.
     places: the number of the word in its text. bounds[i]:bounds[i + 1] are text i's.
     """
 
@@ -70,6 +75,7 @@ class Templates:
     shapes: np.ndarray
     places: np.ndarray
     bounds: np.ndarray
+    wide: np.ndarray
 
     @classmethod
     def of(cls, texts: pa.Array) -> Templates:
@@ -97,17 +103,36 @@ class Templates:
         firsts = words.bounds[:-1]
         starts[firsts[firsts < len(ids)]] = True
         shapes = np.where(titled[ids] & ~starts, np.uint64(_NAME), shape[ids])
+        wide = np.where(titled[ids], np.uint64(_NAME), shape[ids])
         keep = bare[ids] if len(ids) else np.empty(0, dtype=bool)
         places = np.arange(len(ids)) - np.repeat(words.bounds[:-1], words.counts)
         before = np.concatenate(([0], np.cumsum(keep)))
-        return cls(value[ids][keep], shapes[keep], places[keep], before[words.bounds])
-
-    def windows(self, width: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all windows of `width` words within a text, and their places."""
-        hashes = rolling(self.shapes, width)
+        return cls(value[ids][keep], shapes[keep], places[keep], before[words.bounds], wide[keep])
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all windows of WINDOW words within a text, each form once, and their places."""
+        at = self._within(WINDOW)
+        first = rolling(self.shapes, WINDOW)[at]
+        wide, plain = rolling(self.wide, WINDOW)[at], rolling(self.values, WINDOW)[at]
+        parts = [(first, at)]
+        for own, new in ((wide, wide != first), (plain, (plain != first) & (plain != wide))):
+            parts.append((own[new], at[new]))
+        return np.concatenate([h for h, _ in parts]), np.concatenate([x for _, x in parts])
+
+    def runs(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all runs of `width` plain words within a text, and their places."""
+        at = self._within(width)
+        return rolling(self.values, width)[at], at
+
+    def short(self) -> np.ndarray:
+        """Numbers of the texts with words, but fewer than WINDOW."""
+        counts = np.diff(self.bounds)
+        return np.flatnonzero((counts > 0) & (counts < WINDOW))
+
+    def _within(self, width: int) -> np.ndarray:
         owner = self.owners()
-        at = np.flatnonzero(owner[: len(hashes)] == owner[width - 1 :]) if len(hashes) else np.empty(0, dtype=np.int64)
-        return hashes[at] if len(hashes) else hashes, at
+        n = max(0, len(owner) - width + 1)
+        return np.flatnonzero(owner[:n] == owner[width - 1 : width - 1 + n])
 
     def owners(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
@@ -128,6 +153,12 @@ class Benchmark:
         self.maybe = np.zeros(1 << 20, dtype=bool)
         self.maybe[(hashes >> np.uint64(44)).astype(np.int64)] = True
         self.owner = self.items.owners()
+        # Items below the window: width, then the hash of all their words, with the items' numbers.
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for k in self.items.short().tolist():
+            first, last = self.items.bounds[k : k + 2].tolist()
+            whole = int(rolling(self.items.values[first:last], last - first)[0])
+            self.short.setdefault(last - first, {}).setdefault(whole, []).append(k)
 
 
 def compare(doc_ids: pa.Array, texts: pa.Array, bench: Benchmark) -> list[tuple]:
@@ -141,12 +172,13 @@ def compare(doc_ids: pa.Array, texts: pa.Array, bench: Benchmark) -> list[tuple]
     doc_at = np.repeat(at, number)
     inside = np.arange(len(doc_at)) - np.repeat(np.cumsum(number) - number, number)
     item_at = bench.at[np.repeat(low, number) + inside]
-    if not len(doc_at):
-        return []
     doc, item = docs.owners()[doc_at], bench.owner[item_at]
     line = doc_at - item_at
     order = np.lexsort((doc_at, line, item, doc))
     doc, item, line, doc_at = doc[order], item[order], line[order], doc_at[order]
+    once = np.ones(len(doc), dtype=bool)  # several forms of a window may meet at one place
+    once[1:] = (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(line) != 0) | (np.diff(doc_at) != 0)
+    doc, item, line, doc_at = doc[once], item[once], line[once], doc_at[once]
     new = np.ones(len(doc), dtype=bool)
     new[1:] = (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(line) != 0) | (np.diff(doc_at) != 1)
     starts = np.flatnonzero(new)
@@ -160,21 +192,46 @@ def compare(doc_ids: pa.Array, texts: pa.Array, bench: Benchmark) -> list[tuple]
             continue
         there = first - int(line[starts[k]])
         slots = _slots(docs, first, bench.items, there, words)
-        if slots is None:
-            continue
+        if slots is None:  # part of the run may still be a copy
+            ahead, words = _equal_run(docs.values[first : first + words] == bench.items.values[there : there + words])
+            if words < min(RUN, int(item_words[k]) - 1) or key in best and best[key][3] >= words:
+                continue
+            first, there = first + ahead, there + ahead
+            slots = int((docs.shapes[first : first + words] != docs.values[first : first + words]).sum()), 0
         exact = bool((docs.values[first : first + words] == bench.items.values[there : there + words]).all())
         best[key] = (
             doc_ids[key[0]].as_py(), bench.item_ids[key[1]], int(docs.places[first]), words, int(item_words[k]), *slots, exact,
         )
+    owner = docs.owners()
+    for width, wholes in bench.short.items():
+        hashes, at = docs.runs(width)
+        for k in np.flatnonzero(np.isin(hashes, np.fromiter(wholes, dtype=np.uint64, count=len(wholes)))).tolist():
+            first = int(at[k])
+            for number in wholes[int(hashes[k])]:
+                key = int(owner[first]), number
+                own = docs.shapes[first : first + width] != docs.values[first : first + width]
+                best.setdefault(key, (
+                    doc_ids[key[0]].as_py(), bench.item_ids[number], int(docs.places[first]), width, width, int(own.sum()), 0, True,
+                ))
     return [best[key] for key in sorted(best)]
 
 
+def _equal_run(same: np.ndarray) -> tuple[int, int]:
+    """Start and length of the longest run of true values."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], same.astype(np.int8), [0]))))
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    if not len(starts):
+        return 0, 0
+    longest = int(lengths.argmax())
+    return int(starts[longest]), int(lengths[longest])
+
+
 def _slots(docs: Templates, first: int, items: Templates, there: int, words: int) -> tuple[int, int] | None:
     """Slots of a run and how many changed their value; None where the run is no true match."""
     shapes = docs.shapes[first : first + words]
     ours, theirs = docs.values[first : first + words], items.values[there : there + words]
-    slot = np.flatnonzero(shapes != ours)
-    if words - len(slot) < LITERAL * words:
+    slot = np.flatnonzero((shapes != ours) | (ours != theirs))
+    if words - len(slot) < LITERAL * words and (ours != theirs).any():
         return None
     pairs = Counter(zip(theirs[slot].tolist(), ours[slot].tolist(), strict=True))
     usual: dict[int, int] = {}
@@ -196,7 +253,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, max_windows: int = MAX_WIN
     """PAIRS: each document that holds an item or a long part of it, with the item.
 
     documents: doc_id, text; benchmark: item_id, text; other columns are dropped. Null and empty
-    texts match nothing, nor do items shorter than WINDOW words. A repeated document has its
+    texts match nothing. Items shorter than WINDOW words match as a whole, word for word. A repeated document has its
     rows once each; of repeated items each has its row. `exact` means that no value changed.
     """
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -218,10 +275,19 @@ def leaks(documents: DataFrame, benchmark: DataFrame, max_windows: int = MAX_WIN
 def _joined(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The same with a hash join of windows in place of a benchmark in every task."""
 
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            own = Templates.of(strings(batch.column("text")))
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.diff(own.bounds)[own.short()]))], names=["width"])
+
+    # Lengths of items below the window: WINDOW - 1 numbers at most.
+    widths = [row["width"] for row in items.select("text").mapInArrow(counts, "width long").distinct().collect()]
+
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             own = Templates.of(strings(batch.column("text")))
-            hashes, at = own.windows()
+            parts = [own.windows(), *(own.runs(width) for width in widths)]
+            hashes, at = (np.concatenate(x) for x in zip(*parts, strict=True))
             keys = np.unique(np.rec.fromarrays([own.owners()[at], hashes]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").take(pa.array(keys["f0"])), pa.array(as_signed(np.ascontiguousarray(keys["f1"])))],

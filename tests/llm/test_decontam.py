@@ -82,3 +82,24 @@ def test_all_passages_are_found(spark, sf_dir):
     docs = [(r["doc_id"], flat(r["text"])) for r in table(spark, sf_dir, "documents").collect()]
     inside = {(d, i) for d, t in docs for i, x in items if x in t}
     assert {(r["doc_id"], r["item_id"]) for r in QUERIES["op9_decontamination"](spark, sf_dir).collect()} == inside
+
+
+NUMBERS = "Find the mean of 3 7 9 12 15 18 21 24 30 33 40"
+APPLES = "{0} has {2} apples. {0} gives {3} apples to {1}. How many apples does {0} have?"
+
+
+@pytest.mark.parametrize("limit", [decontam.MAX_WINDOWS, 1])
+def test_copies_of_numbers_names_at_sentences_and_short_items(shipped, limit):
+    items = [(1, NUMBERS), (2, APPLES.format("Anna", "Peter", 12, 5)), (3, "What is two plus two?")]
+    docs = [
+        (1, "We read: " + NUMBERS + " and so on"),
+        (2, "Well. " + APPLES.format("Maria", "John", 31, 8) + " Bye."),
+        (3, APPLES.format("Anna", "Peter", 12, 5).lower()),
+        (4, "They ask: what is two plus two? It is four."),
+        (5, "Find the mean of 4 8 10 13 16 19 22 25 31 34 41"),
+        (6, "What is two plus three?"),
+    ]
+    docs = shipped.createDataFrame(docs, "doc_id long, text string")
+    items = shipped.createDataFrame(items, "item_id long, text string")
+    rows = decontam.leaks(docs, items, limit).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["exact"]) for r in rows) == [(1, 1, True), (2, 2, False), (3, 2, True), (4, 3, True)]
