@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesloom.llm.textops import Words, as_signed, rolling, slices, strings
+from salesloom.llm.textops import Words, as_signed, fresh, rolling, slices, strings
 
 #: Words of a window, and words that must agree in a row (or all of a shorter item but one).
 WINDOW = 6
@@ -249,13 +249,14 @@ def _pairs(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
 
-def leaks(documents: DataFrame, benchmark: DataFrame, max_windows: int = MAX_WINDOWS) -> DataFrame:
+def leaks(documents: DataFrame, benchmark: DataFrame, max_windows: int | None = None) -> DataFrame:
     """PAIRS: each document that holds an item or a long part of it, with the item.
 
     documents: doc_id, text; benchmark: item_id, text; other columns are dropped. Null and empty
     texts match nothing. Items shorter than WINDOW words match as a whole, word for word. A repeated document has its
     rows once each; of repeated items each has its row. `exact` means that no value changed.
     """
+    max_windows = MAX_WINDOWS if max_windows is None else max_windows
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
     # Words bound the windows; a sum over the benchmark is cheap beside reading the documents.
@@ -317,12 +318,20 @@ def _joined(documents: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def without_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """`documents`, all columns, without the documents that hold part of the benchmark."""
+def without_leaks(documents: DataFrame, benchmark: DataFrame, max_windows: int | None = None) -> DataFrame:
+    """`documents`, all columns, without the rows whose text holds part of the benchmark.
+
+    Each row is judged by its own text, also among rows that share an id or have none.
+    """
+    max_windows = MAX_WINDOWS if max_windows is None else max_windows
     rows = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
-    if (rows.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0) > MAX_WINDOWS:
-        found = leaks(documents, benchmark).select("doc_id").distinct()
-        return documents.join(found, documents["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+    if (rows.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0) > max_windows:
+        # A key made of id and text stands for the row, as in `_joined`.
+        key = fresh(documents.columns, "row_key")
+        keyed = documents.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), "text"))
+        found = leaks(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark, max_windows)
+        found = found.select(F.col("doc_id").alias(key)).distinct()
+        return keyed.join(found, key, "left_anti").select(*documents.columns)
     rows = rows.toArrow()
     bench = Benchmark(rows.column("item_id").to_pylist(), Templates.of(strings(rows.column("text").combine_chunks())))
     shared = documents.sparkSession.sparkContext.broadcast(bench)

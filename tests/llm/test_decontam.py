@@ -103,3 +103,17 @@ def test_copies_of_numbers_names_at_sentences_and_short_items(shipped, limit):
     items = shipped.createDataFrame(items, "item_id long, text string")
     rows = decontam.leaks(docs, items, limit).collect()
     assert sorted((r["doc_id"], r["item_id"], r["exact"]) for r in rows) == [(1, 1, True), (2, 2, False), (3, 2, True), (4, 3, True)]
+
+
+@pytest.mark.parametrize("limit", [decontam.MAX_WINDOWS, 1])
+def test_rows_are_judged_by_their_own_text(shipped, limit, monkeypatch):
+    """A clean row stays beside a leaking one with the same id, or with no id either."""
+    monkeypatch.setattr(decontam, "MAX_WINDOWS", limit)
+    leak = ITEMS[4][1]
+    rows = [(None, leak), (None, frames.text(60, 40)), (7, leak), (7, frames.text(61, 40)), (8, None), (None, None)]
+    docs = frames.clashing(shipped.createDataFrame(rows, "doc_id long, text string"))
+    out = decontam.without_leaks(docs, shipped.createDataFrame(ITEMS, "item_id long, text string"))
+    assert out.columns == docs.columns
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in out.collect()) == sorted(
+        (str(i), str(t)) for i, t in rows if t != leak
+    )
