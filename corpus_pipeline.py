@@ -50,9 +50,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 1024 ids."""
+    """The pieces of all documents in sequences of 1024 ids, with their ids."""
     ship(spark)
-    return packing.pack_documents(docs, with_ids=False)
+    return packing.pack_documents(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [

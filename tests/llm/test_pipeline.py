@@ -97,3 +97,8 @@ def test_nothing_else_imports_the_folder():
         for node in ast.walk(ast.parse(path.read_text())):
             names = [node.module or ""] if isinstance(node, ast.ImportFrom) else [a.name for a in getattr(node, "names", [])]
             assert not any("llm" in name.split(".") for name in names if isinstance(node, ast.Import | ast.ImportFrom)), path
+
+
+def test_the_packed_stage_returns_its_ids(shipped, sf_dir):
+    rows = corpus_pipeline.packed(shipped, frames.documents(shipped), sf_dir).collect()
+    assert rows and all(len(r["ids"]) == r["length"] for r in rows)
