@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesloom.llm import decontam, jaccard, langid, licence, packing, pst, quality, substring, topk, warc
+from salesloom.llm import decontam, fim, jaccard, langid, licence, packing, pst, quality, substring, topk, warc
 from salesloom.llm.shipping import ship
 from salesloom.llm.sql import SQL as SQL
 
@@ -70,6 +71,20 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in its fill-in-the-middle form, and rebuilt from it, by their digests."""
+    found = fim.restored(fim.transform(table(spark, sf_dir, "documents")))
+    return found.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -83,5 +98,6 @@ QUERIES: dict[str, Query] = {
         op8_lm_score,
         op9_decontamination,
         op10_jaccard_join,
+        op11_fim,
     )
 }

@@ -58,9 +58,29 @@ least AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM least LEFT JOIN size USING (doc_id)
 """
 
+OP11 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+w AS (SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS w,
+             list_transform(range(4), lambda k: ('0x' || substr(h, 1 + 8 * k, 8))::BIGINT) AS h FROM d),
+c AS (SELECT doc_id, text, w, len(w)::BIGINT AS n, least(h[1] % (len(w) + 1), h[2] % (len(w) + 1)) AS a,
+             greatest(h[1] % (len(w) + 1), h[2] % (len(w) + 1)) AS b,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                    OR h[3] % 100 >= 90 THEN 'plain'
+                  WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM w),
+p AS (SELECT doc_id, text, n, form, array_to_string(w[1 : a], '') AS p, array_to_string(w[a + 1 : b], '') AS m,
+             array_to_string(w[b + 1 : n], '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
 SQL: dict[str, str] = {
     "op1_substring_dedup": OP1,
     "op6_warc": OP6,
     "op7_topk": OP7,
     "op10_jaccard_join": OP10,
+    "op11_fim": OP11,
 }
