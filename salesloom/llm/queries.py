@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import decontam, fim, jaccard, langid, licence, packing, pst, quality, substring, topk, warc
+from salesloom.llm import decontam, fim, hardneg, jaccard, langid, licence, packing, pst, quality, substring, topk, warc
 from salesloom.llm.shipping import ship
 from salesloom.llm.sql import SQL as SQL
 
@@ -85,6 +85,12 @@ def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to 3 hard negatives for each of up to 5 positives of every 50th vector; some labels are moved."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(spark, table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -99,5 +105,6 @@ QUERIES: dict[str, Query] = {
         op9_decontamination,
         op10_jaccard_join,
         op11_fim,
+        op13_hard_negatives,
     )
 }
