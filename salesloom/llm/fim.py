@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.textops import slices, strings
+from salesloom.llm.textops import Bits, slices, strings
 
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 PLAIN, PSM, SPM = "plain", "psm", "spm"
@@ -37,22 +37,6 @@ LEVELS = 3
 SCHEMA = "doc_id long, n long, form string, prefix_chars long, middle_chars long, output string"
 
 
-class Bits:
-    """A bit for each place, and how many are set before a place."""
-
-    def __init__(self, bits: np.ndarray):
-        padded = np.zeros((len(bits) // 64 + 1) * 64, dtype=np.uint8)
-        padded[: len(bits)] = bits
-        self.words = np.packbits(padded, bitorder="little").view("<u8")
-        self.before = np.zeros(len(self.words) + 1, dtype=np.int64)
-        np.cumsum(np.bitwise_count(self.words), out=self.before[1:])
-
-    def rank(self, places: np.ndarray) -> np.ndarray:
-        word = places >> 6
-        below = (np.uint64(1) << (places & 63).astype(np.uint64)) - np.uint64(1)
-        return self.before[word] + np.bitwise_count(self.words[word] & below)
-
-
 class WaveletMatrix:
     """Counts of symbols below 2**levels before any place of a sequence.
 

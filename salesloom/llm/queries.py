@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import decontam, fim, hardneg, jaccard, langid, licence, packing, pst, quality, substring, topk, warc
+from salesloom.llm import decontam, fim, hardneg, jaccard, langid, licence, packing, pst, quality, secrets, substring, topk, warc
 from salesloom.llm.shipping import ship
 from salesloom.llm.sql import SQL as SQL
 
@@ -85,6 +85,22 @@ def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: matches of the patterns, and runs whose format was inferred."""
+    found = secrets.scan(spark, table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.KINDS))
+    said = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in secrets.KINDS],
+        F.sha2(said(base), 256).alias("base_sha256"),
+        said("spans").alias("spans"),
+    )
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Up to 3 hard negatives for each of up to 5 positives of every 50th vector; some labels are moved."""
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -105,6 +121,7 @@ QUERIES: dict[str, Query] = {
         op9_decontamination,
         op10_jaccard_join,
         op11_fim,
+        op12_secrets,
         op13_hard_negatives,
     )
 }
