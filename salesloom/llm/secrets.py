@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from salesloom.llm.lockstep import SEGMENT, Segments
 from salesloom.llm.textops import Bits, slices, strings
+from salesloom.plans.session import work_dir
 
 # Kinds of secrets, their patterns, and the least characters of what they match.
 ASSIGN, ACCESS, HEX = "assign", "access", "hex"
@@ -372,7 +373,7 @@ def _pattern_matches(texts: pa.Array) -> Iterator[tuple[int, int, int, int, int]
                     yield k, KINDS.index(ACCESS), match.start(), match.end(), match.start()
 
 
-def examples(documents: DataFrame, most: int = EXAMPLES) -> DataFrame:
+def examples(spark: SparkSession, documents: DataFrame, most: int = EXAMPLES) -> DataFrame:
     """SAMPLE: of each kind, and of ordinary words, the `most` different values of smallest hash.
 
     Values are credentials (of an assignment, what is assigned) and free runs of credential
@@ -408,18 +409,22 @@ def examples(documents: DataFrame, most: int = EXAMPLES) -> DataFrame:
         columns = list(zip(*rows, strict=True)) or [()] * 3
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
-    sample = documents.select("text").mapInArrow(run, SAMPLE).distinct()
-    # First within shards of the hash, so that no task gets the samples of all others.
-    for shards in (256, 1):
-        order = Window.partitionBy("kind", F.col("place") % shards).orderBy("place", "value")
-        sample = sample.withColumn("n", F.row_number().over(order)).where(F.col("n") <= most).drop("n")
-    return sample
+    documents.select("text").mapInArrow(run, SAMPLE).distinct().write.parquet(folder := work_dir(spark, "secret-examples"))
+    sample = spark.read.schema(SAMPLE).parquet(folder)
+    # A histogram of the hashes tells below which the smallest lie, so no task gets what all others found.
+    sample = sample.withColumn("step", F.floor(F.log2(F.col("place") + 1.0) * 16))
+    below = Window.partitionBy("kind").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    steps = sample.groupBy("kind", "step").agg(F.count("*").alias("n"))
+    low = steps.withColumn("before", F.coalesce(F.sum("n").over(below), F.lit(0))).where(F.col("before") < most)
+    order = Window.partitionBy("kind").orderBy("place", "value")
+    few = sample.join(low.select("kind", "step"), ["kind", "step"], "left_semi")
+    return few.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most).select("kind", "place", "value")
 
 
-def fit(documents: DataFrame) -> Formats:
+def fit(spark: SparkSession, documents: DataFrame) -> Formats:
     """Formats of the credentials in the documents: EXAMPLES a kind at most come to the driver."""
     found: dict[str, list[str]] = {}
-    for row in examples(documents).collect():
+    for row in examples(spark, documents).collect():
         found.setdefault(row.kind, []).append(row.value)
     return learned(found)
 
@@ -433,7 +438,7 @@ def scan(spark: SparkSession, documents: DataFrame, formats: Formats | None = No
     null text is empty and has no spans; repeated rows get equal rows; empty tables none. `formats`
     is learned from the documents themselves unless given.
     """
-    formats = formats or fit(documents)
+    formats = formats or fit(spark, documents)
     # The model is bounded: a kept state was reached by two examples at least.
     sent = spark.sparkContext.broadcast(formats)
 

@@ -150,7 +150,7 @@ def test_walk_in_step_equals_a_walk_by_symbol():
 def test_a_crowded_task_keeps_the_smallest_hashes(shipped):
     rows = [(k, f"token={k:012d}z") for k in range(200)] * 2
     frame = shipped.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    got = secrets.examples(frame, 7).where("kind = 'assign'").collect()
+    got = secrets.examples(shipped, frame, 7).where("kind = 'assign'").collect()
     values = sorted((f"{k:012d}z" for k in range(200)), key=lambda v: secrets._place(v.encode()))[:7]
     assert sorted(r.value for r in got) == sorted(values)
 
