@@ -41,6 +41,8 @@ BLOCK_ROWS = 1_024
 DEALT = 64
 #: Pairs of a pack and a shelf that are sent to a Python worker at once.
 BATCH_PAIRS = "16"
+#: Hits that a task holds, to merge those of all its pairs, before it sends any.
+HELD_HITS = 500_000
 #: Bits of the key by which near anchors are sorted together.
 KEY_BITS = 16
 #: Relative slack of bounds, above the rounding of double arithmetic.
@@ -292,6 +294,7 @@ def _hits(asked: DataFrame, shelves: DataFrame, same_label: bool, k: int) -> Dat
     joined = pairs.join(left, "tree").join(shelves.select("shelf", "vec_ids", "vecs"), "shelf").drop("tree", "shelf")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.empty((4, 0), dtype=np.int64)
         for batch in batches:
             for i in range(batch.num_rows):
                 dim, ids, anchors, parents, edges, windows, vec_ids, vecs = (c[i].as_py() for c in batch.columns)
@@ -307,14 +310,32 @@ def _hits(asked: DataFrame, shelves: DataFrame, same_label: bool, k: int) -> Dat
                     _wide(vecs, len(vec_ids), dim),
                     k,
                 )
-                named = [(windows[x]["anchor_id"], windows[x]["window"]) for x in w]
-                yield _batch([[a for a, _ in named], [n for _, n in named], c.tolist(), score.tolist()], HITS)
+                names = np.array([(x["anchor_id"], x["window"]) for x in windows], dtype=np.int64)[w]
+                held = np.hstack((held, np.vstack((names.T, c, score))))
+                if held.shape[1] >= HELD_HITS:
+                    held = _best(held, k)
+                if held.shape[1] >= HELD_HITS:
+                    yield _batch(held.tolist(), HITS)
+                    held = held[:, :0]
+        yield _batch(_best(held, k).tolist(), HITS)
 
     return joined.mapInArrow(run, HITS)
 
 
+def _best(hits: np.ndarray, k: int) -> np.ndarray:
+    """The k first hits (anchor, window, row, score) of each window; equal rows and scores count once."""
+    hits = hits[:, np.lexsort((hits[2], -hits[3], hits[1], hits[0]))]
+    new = np.ones(hits.shape[1], dtype=bool)
+    new[1:] = (hits[:, 1:] != hits[:, :-1]).any(0)
+    hits = hits[:, new]
+    begins = np.ones(hits.shape[1], dtype=bool)
+    begins[1:] = (hits[:2, 1:] != hits[:2, :-1]).any(0)
+    places = np.arange(hits.shape[1])
+    return hits[:, places - np.maximum.accumulate(np.where(begins, places, 0)) < k]
+
+
 def _first(hits: DataFrame, k: int) -> DataFrame:
-    """The k first hits of each window, ranked from 1; a shelf gives at most k of them."""
+    """The k first hits of each window, ranked from 1; a task gives at most k of them for most windows."""
     order = Window.partitionBy("anchor_id", "window").orderBy(F.desc("score"), "vec_id")
     ranked = hits.dropDuplicates(["anchor_id", "window", "vec_id", "score"]).withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= k)

@@ -92,6 +92,16 @@ def test_large_scores_are_exact(shipped):
     assert found(shipped, rows) == expected(rows) != []
 
 
+def test_a_task_merges_the_hits_of_its_pairs():
+    chance = np.random.default_rng(5)
+    hits = chance.integers(0, 4, (4, 500))
+    best = {tuple(x) for x in hardneg._best(hits, 3).T.tolist()}
+    rows = {tuple(x) for x in hits.T.tolist()}
+    for key in {r[:2] for r in rows}:
+        own = sorted((-s, i) for a, w, i, s in rows if (a, w) == key)[:3]
+        assert {(-s, i) for a, w, i, s in best if (a, w) == key} == set(own)
+
+
 def test_empty_and_lonely(shipped):
     assert found(shipped, []) == []
     assert found(shipped, [(0, 1, [1.0])]) == []
