@@ -8,7 +8,7 @@ key before joining, so the join sees one row per key whatever the skew.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.operators.metrics import top_products
@@ -28,6 +28,16 @@ def star_join(
     )
 
 
+def on_days(sales: DataFrame, date: DataFrame, condition: Column) -> DataFrame:
+    """Sales of the days whose calendar attributes meet the condition.
+
+    The days are few, so Spark broadcasts them, and where the sales are stored by day it reads the
+    folders of just those days: which ones is found out while the query runs.
+    """
+    days = date.where(condition).select(F.col("date_key").alias("_day"))
+    return sales.join(days, sales["order_date"] == days["_day"], "left_semi")
+
+
 def revenue_by(
     sales: DataFrame, dimension: DataFrame, fact_key: str, dim_key: str, attributes: list[str]
 ) -> DataFrame:

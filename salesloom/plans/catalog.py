@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -14,7 +15,15 @@ from salesloom.functions.text import typed
 from salesloom.operators import compare, generate, metrics, partitions, quality, star
 from salesloom.plans import loading
 from salesloom.plans.gateway import ReadOnlySql
-from salesloom.plans.loading import INSERTED_ORDER, SALES, STAGES, flawed_orders, loaded
+from salesloom.plans.loading import (
+    INSERTED_ORDER,
+    INSERTED_ROW,
+    SALES,
+    STAGES,
+    flawed_orders,
+    loaded,
+    with_discount,
+)
 from salesloom.plans.questions import ask
 from salesloom.plans.session import work_dir
 from salesloom.schema import FACT_SALES, TABLES
@@ -53,7 +62,11 @@ def oracle_sql() -> dict[str, str]:
 # The anchor of relative periods: the day of the last orders.
 ANCHOR = "2001-08-01"
 DAY, NEXT_DAY = "2000-01-01", "2000-01-02"
-ORDER_IDS = [13, 42, 999999]
+ORDER_IDS = [7, 123, 1_000_003]
+EDITED_ORDER = 21
+
+# The inserted row in SQL.
+INSERTED_SQL = ", ".join(f"DATE '{v}'" if isinstance(v, dt.date) else str(v) for v in INSERTED_ROW)
 
 # The star schema in SQL, for the equivalents below.
 FACT = """
@@ -144,6 +157,12 @@ def daily_sales(spark, folder):
     return metrics.daily_sales(StarViews(spark, folder).sales())
 
 
+@query(_with(FACT) + "SELECT order_date, COUNT(*) AS sales FROM fact GROUP BY order_date")
+def daily_sales_colocated(spark, folder):
+    """Lines and orders stored by order: they are joined without an exchange."""
+    return metrics.daily_sales(loading.colocated(spark, folder).sales())
+
+
 @query(_with(FACT) + "SELECT COUNT(DISTINCT order_date) AS distinct_days FROM fact")
 def distinct_days(spark, folder):
     return metrics.distinct_days(StarViews(spark, folder).sales())
@@ -223,6 +242,45 @@ def star_join(spark, folder):
     )
 
 
+@query(
+    _with(FACT, CUSTOMER, PRODUCT, STORE, DATE)
+    + """SELECT f.*, product_name, category, price, store_name, location, manager_name,
+       day, month, year, day_of_week, first_name, last_name, email, signup_date
+FROM fact f JOIN products USING (product_id) JOIN stores USING (store_id)
+     JOIN dates ON order_date = date_key JOIN customers USING (customer_id)"""
+)
+def star_join_colocated(spark, folder):
+    views = loading.colocated(spark, folder)
+    return star.star_join(
+        views.sales(), views.customer(), views.product(), views.store(), views.date()
+    )
+
+
+@query(
+    _with(FACT, DATE)
+    + f"""SELECT store_id, {REVENUE} AS revenue FROM fact JOIN dates ON order_date = date_key
+WHERE day_of_week = 'Sunday' GROUP BY store_id"""
+)
+def sunday_sales_by_store(spark, folder):
+    """A filter on an attribute of the calendar opens the folders of the Sundays only."""
+    lake = loaded(spark, folder, "by_day")
+    sundays = star.on_days(lake.read(SALES), lake.read("dim_date"), F.col("day_of_week") == "Sunday")
+    return metrics.sales_by_store(sundays)
+
+
+@query(
+    _with(FACT, DATE)
+    + f"""SELECT year, month, {MEASURES} FROM fact JOIN dates ON order_date = date_key
+WHERE month = 12 AND day > 23 GROUP BY year, month"""
+)
+def december_sales(spark, folder):
+    """Sales after the 23rd of December of each year, from the folders of those days."""
+    lake = loaded(spark, folder, "by_day")
+    dates = lake.read("dim_date")
+    late = star.on_days(lake.read(SALES), dates, (F.col("month") == 12) & (F.col("day") > 23))
+    return star.sales_by_calendar(late, dates, ["year", "month"])
+
+
 @query(
     _with(FACT, PRODUCT)
     + f"SELECT category, {MEASURES} FROM fact JOIN products USING (product_id) GROUP BY category"
@@ -515,6 +573,16 @@ def csv_round_trip_stores(spark, folder):
     return loaded(spark, folder, "through_csv").read("dim_store")
 
 
+@query("SELECT conv_id, turn, role, text FROM conversations")
+def csv_blocks_round_trip(spark, folder):
+    """The same, with records found block by block, as in files too large for a task."""
+    rows = StarViews(spark, folder).table("conversations").select("conv_id", "turn", "role", "text")
+    path = work_dir(spark, "csv-blocks-text")
+    write_csv(rows, path)
+    back = read_strings(spark, path, exported=True, split_from=0)
+    return back.select(*[typed(f.name, f.dataType) for f in rows.schema.fields])
+
+
 @query("SELECT conv_id, turn, role, text FROM conversations")
 def csv_text_round_trip(spark, folder):
     """Texts with blanks, line breaks and quotes, written as CSV and read back."""
@@ -539,11 +607,22 @@ def files_per_day(spark, folder):
     "FROM fact GROUP BY order_date"
 )
 def file_record_counts(spark, folder):
+    """Rows from the footers, files from the listing: no row group is opened."""
     lake = loaded(spark, folder, "by_day")
-    report = partitions.files_report(lake.scan_with_files(SALES), "order_date")
-    return report.groupBy("partition").agg(
-        F.sum("record_count").alias("record_count"), F.count(F.lit(1)).alias("files")
-    )
+    rows, files = lake.partition_stats(SALES), partitions.files_per_partition(lake.files(SALES))
+    same = rows["partition"].eqNullSafe(files["partition"])
+    return rows.join(files, same).select(rows["partition"], "record_count", "files")
+
+
+@query(
+    _with(FACT)
+    + """SELECT order_date AS partition, COUNT(*) AS record_count, MIN(product_id) AS least_product_id,
+       MAX(product_id) AS largest_product_id, MIN(quantity) AS least_quantity, MAX(quantity) AS largest_quantity
+FROM fact GROUP BY order_date"""
+)
+def partition_ranges(spark, folder):
+    """Least and largest values of each day, from footers."""
+    return loaded(spark, folder, "by_day").partition_stats(SALES, ["product_id", "quantity"])
 
 
 @query(
@@ -682,10 +761,10 @@ def rows_added(spark, folder):
 
 @query(
     _with(FACT)
-    + """SELECT order_id, order_date, customer_id, product_id, store_id, quantity, total_amount,
+    + f"""SELECT order_id, order_date, customer_id, product_id, store_id, quantity, total_amount,
        discount_applied, CAST(-COUNT(*) AS BIGINT) AS copies
 FROM (SELECT * FROM fact WHERE order_date IS NULL OR order_date < DATE '2000-01-01'
-      UNION ALL SELECT -1, DATE '2026-10-01', 1, 1, 1, 2, 200.0, 15.0)
+      UNION ALL SELECT {INSERTED_SQL})
 GROUP BY ALL"""
 )
 def row_changes(spark, folder):
@@ -695,12 +774,38 @@ def row_changes(spark, folder):
 
 @query(
     _with(FACT)
-    + """SELECT * FROM fact WHERE order_id IN (13)
-UNION ALL SELECT -1, DATE '2026-10-01', 1, 1, 1, 2, 200.0, 15.0"""
+    + f"""SELECT order_id, order_date, customer_id, product_id, store_id, quantity, total_amount,
+       discount_applied, CAST(-COUNT(*) AS BIGINT) AS copies
+FROM (SELECT * FROM fact WHERE order_date IS NULL OR order_date < DATE '2000-01-01'
+      UNION ALL SELECT {INSERTED_SQL})
+GROUP BY ALL"""
+)
+def changes_of_overwrite(spark, folder):
+    """An overwrite keeps most days: months with equal fingerprints are not shuffled."""
+    return loaded(spark, folder, "edited").changes(SALES, 2, 3)
+
+
+@query(
+    _with(FACT)
+    + """SELECT order_date AS day, COUNT(*) AS row_count FROM fact GROUP BY order_date"""
+)
+def day_fingerprints(spark, folder):
+    """Days of the by-day table whose fingerprints equal those of the source rows."""
+    stored = compare.fingerprints(loaded(spark, folder, "by_day").read(SALES), "order_date")
+    source = compare.fingerprints(StarViews(spark, folder).sales(), "order_date", with_discount().names)
+    return stored.join(
+        source, [stored[c].eqNullSafe(source[c]) for c in stored.columns], "left_semi"
+    ).select(F.col("order_date").alias("day"), "row_count")
+
+
+@query(
+    _with(FACT)
+    + f"""SELECT * FROM fact WHERE order_id IN ({EDITED_ORDER})
+UNION ALL SELECT {INSERTED_SQL}"""
 )
 def inserted_row(spark, folder):
     lake = loaded(spark, folder, "edited")
-    return metrics.sales_of_orders(lake.read(SALES, snapshot_id=2), [13, INSERTED_ORDER])
+    return metrics.sales_of_orders(lake.read(SALES, snapshot_id=2), [EDITED_ORDER, INSERTED_ORDER])
 
 
 @query(

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from salesloom.plans.session import work_dir
 from salesloom.schema import DISCOUNT_COLUMN, FACT_SALES, TABLES, columns
+from salesloom.sources.colocated import CoLocatedViews
 from salesloom.sources.csv import export_tables, read_strings, read_table, write_csv
 from salesloom.sources.refresh import LakeSink, refresh_all
 from salesloom.sources.star_views import StarViews
@@ -34,7 +35,7 @@ EVOLVED_AT = dt.datetime(2026, 1, 15, 12)
 
 # The row that the edited load inserts: an order id that no source row has.
 INSERTED_ORDER = -1
-INSERTED_ROW = (INSERTED_ORDER, dt.date(2026, 10, 1), 1, 1, 1, 2, 200.0, 15.0)
+INSERTED_ROW = (INSERTED_ORDER, dt.date(2027, 3, 14), 3, 5, 2, 7, 351.75, 0.25)
 KEPT_FROM = "2000-01-01"
 
 
@@ -71,6 +72,7 @@ def by_day(lake: Lake, views: StarViews) -> None:
     """All sales in one append, one partition per day."""
     lake.create(SALES, with_discount(), "order_date", committed_at=CREATED_AT)
     lake.append(SALES, views.sales(), committed_at=STAGES[0][2])
+    lake.replace("dim_date", views.date(), committed_at=CREATED_AT)
 
 
 def by_hour(lake: Lake, views: StarViews) -> None:
@@ -117,6 +119,16 @@ def loaded(spark: SparkSession, folder: str, load: str) -> Lake:
     return _done[key]
 
 
+def colocated(spark: SparkSession, folder: str, buckets: int = 16) -> CoLocatedViews:
+    """The star views of a source folder, over lines and orders stored by order."""
+    key = (spark.sparkContext.applicationId, folder, "colocated")
+    if key not in _done:
+        path = work_dir(spark, "colocated")
+        layout = path.rsplit("/", 1)[1].replace("-", "_")
+        _done[key] = CoLocatedViews.write(StarViews(spark, folder), layout, path, buckets)
+    return _done[key]
+
+
 def flawed_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Sales as CSV text in which ids of pending orders and quantities over 40 do not parse."""
     key = (spark.sparkContext.applicationId, folder, "flawed")

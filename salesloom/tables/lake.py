@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesloom.functions.calendar import DateLike
-from salesloom.operators.compare import row_changes
+from salesloom.operators.compare import row_changes, row_changes_within
+from salesloom.operators.footers import partition_stats
 from salesloom.operators.partitions import partition_value, where_range
 from salesloom.plans.session import tune
 from salesloom.tables import log
@@ -228,10 +229,15 @@ class Lake:
         before, after = self.state(name, old), self.state(name, new)
         only = lambda a, b: [path for version, path in a.folders.items() if version not in b.folders]
         # Both sides in the later schema: a column added in between is NULL in older rows.
-        return row_changes(
-            self._scan(after, only(after, before)).select(*after.schema.names),
-            self._scan(after, only(before, after)).select(*after.schema.names),
-        )
+        added, gone = self._scan(after, only(after, before)), self._scan(after, only(before, after))
+        part, names = after.partition, after.schema.names
+        if part is None or before.folders.keys() <= after.folders.keys():
+            return row_changes(added.select(*names), gone.select(*names))
+        # After an overwrite both sides hold rows, most of them often equal: days or months with
+        # equal fingerprints leave before any row of them is shuffled.
+        hidden = part.directory in added.columns and part.directory not in names
+        by = part.directory if hidden else self._partition_column(after)
+        return row_changes_within(added, gone, by).select(*names, "copies")
 
     def scan_with_files(self, name: str, snapshot_id: int | None = None) -> DataFrame:
         """The table with its partition directory column, for reports on files."""
@@ -315,6 +321,36 @@ class Lake:
             part.alias("partition"), meta["file_path"].alias("file_path"), meta["file_size"].alias("file_size")
         ).groupBy("partition", "file_path", "file_size").agg(F.count("*").alias("record_count"))
 
+    def partition_stats(
+        self, name: str, columns: list[str] | None = None, snapshot_id: int | None = None
+    ) -> DataFrame:
+        """Per partition: record_count, and least and largest value of `columns`, from footers alone.
+
+        A column must have its present name in all visible commits: footers know no field ids.
+        """
+        state = self.state(name, snapshot_id)
+        part = state.partition
+        stored = [f for f in state.schema.fields if not self._names_its_directory(state, f)]
+        for field in (f for f in stored if f.name in (columns or [])):
+            for row in log.last_life(self._rows(name), name):
+                if row["folder"] in state.folders.values() and not any(
+                    f["name"] == field.name and f["field_id"] == field.metadata[FIELD_ID] for f in row["fields"]
+                ):
+                    raise ValueError(f"{name}.{field.name} has not been in all commits under this name")
+        keys = [] if part is None else [T.StructField(part.directory, T.DateType())]
+        schema = T.StructType([*stored, *keys, T.StructField(COMMIT, T.StringType())])
+        paths = [f"{self._data(name)}/{folder}" for folder in state.folders.values()]
+        stats = partition_stats(
+            self.spark, paths, self._data(name), schema, [k.name for k in keys] + [COMMIT], columns
+        )
+        by = F.lit(None).cast("date") if part is None else F.col(part.directory)
+        merged = [
+            (F.min(f"least_{c}").alias(f"least_{c}"), F.max(f"largest_{c}").alias(f"largest_{c}")) for c in columns or []
+        ]
+        return stats.groupBy(by.alias("partition")).agg(
+            F.sum("record_count").alias("record_count"), *[end for pair in merged for end in pair]
+        )
+
     def pruning_report(
         self, name: str, low: DateLike, high: DateLike, snapshot_id: int | None = None
     ) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from salesloom.operators import generate, quality
 from salesloom.plans.session import work_dir
 from salesloom.schema import DIM_DATE, DIM_PRODUCT, FACT_SALES, LOAD_ORDER, TABLES
+from salesloom.sources import records
 from salesloom.sources.csv import read_strings, read_table, write_csv
 from salesloom.sources.refresh import JdbcSink, LakeSink, refresh_all
 
@@ -180,6 +182,86 @@ def test_exported_texts_come_back_as_they_were(spark):
     assert sorted((int(r["id"]), r["t"]) for r in back) == list(enumerate(texts))
 
 
+ODD_TEXTS = ["  lead", "tail  ", "", None, "two\nlines", 'say "hi", ok', "a\r\nb", "a\rb", 'back\\slash\\"', "\t", '"', "\\N"]
+ODD_TEXTS += ["\n\n\n", '"\n"', "x\n", "\ny", 'é"\n"中', "id,t", "plain"]
+
+
+@pytest.fixture()
+def small_blocks(spark):
+    """Files cut into blocks of few bytes, so that records lie across them."""
+
+    def cut(size: str):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+    yield cut
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("size", ["40", "333", "4000", "128m"])
+def test_records_are_found_block_by_block(spark, small_blocks, size):
+    chance = random.Random(1)
+    rows = [(k, chance.choice(ODD_TEXTS), chance.choice(ODD_TEXTS)) for k in range(300)]
+    rows += [(300, "long\n" * 200, '"\n' * 100)]
+    frame = spark.createDataFrame(rows, "id int, t string, first0 string")
+    path = work_dir(spark, "csv-blocks-test")
+    write_csv(frame.coalesce(2), path)
+    small_blocks(size)
+    back = read_strings(spark, path, exported=True, split_from=0)
+    if size != "128m":
+        assert back.select(F.spark_partition_id().alias("p")).distinct().count() > 8
+    assert sorted((int(r.id), r.t, r.first0) for r in back.collect()) == sorted(rows)
+
+
+def test_records_that_never_cross_need_no_survey_of_quotes(spark, small_blocks, tmp_path):
+    text_file(tmp_path, "plain.csv", "id,t\n" + "".join(f'{k},"a ""b"" {k}"\n' for k in range(200)))
+    small_blocks("100")
+    known = records.survey(spark, str(tmp_path / "plain.csv"))
+    assert not known.broken and not known.crossing
+    back = read_strings(spark, str(tmp_path / "plain.csv"), exported=True, split_from=0)
+    assert "MapInArrow" not in back._jdf.queryExecution().executedPlan().toString()
+    assert sorted((int(r.id), r.t) for r in back.collect()) == [(k, f'a "b" {k}') for k in range(200)]
+
+
+def test_a_survey_of_other_blocks_is_refused(spark, small_blocks):
+    frame = spark.createDataFrame([(k, "two\nlines") for k in range(100)], "id int, t string")
+    path = work_dir(spark, "csv-cut")
+    write_csv(frame, path)
+    small_blocks("60")
+    back = read_strings(spark, path, exported=True, split_from=0)
+    small_blocks("45")
+    with pytest.raises(Exception, match="other blocks"):
+        back.collect()
+
+
+def test_a_header_that_differs_is_refused_block_by_block(spark, small_blocks, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    text_file(folder, "a.csv", 'a,b\n1,"x\ny"\n')
+    text_file(folder, "b.csv", 'b,a\n1,"x\ny"\n')
+    with pytest.raises(Exception, match="header"):
+        read_strings(spark, str(folder), exported=True, split_from=0).collect()
+
+
+def test_an_open_field_ends_with_its_file(spark, small_blocks, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    text_file(folder, "a.csv", 'a,b\n1,"x\ny\nz')
+    text_file(folder, "b.csv", 'a,b\n2,"v\nw"\n')
+    small_blocks("5")
+    back = read_strings(spark, str(folder), exported=True, split_from=0)
+    assert sorted((r.a, r.b.strip('"')) for r in back.collect()) == [("1", "x\ny\nz"), ("2", "v\nw")]
+
+
+def test_an_export_is_many_files(spark):
+    frame = spark.range(0, 1000, 1, 1).selectExpr("id", "'x' AS t")
+    path = work_dir(spark, "csv-many")
+    write_csv(frame, path, rows_per_file=100)
+    assert len(spark.read.text(path).inputFiles()) >= 10
+    assert read_strings(spark, path, exported=True).count() == 1000
+
+
 def test_star_views_of_odd_names(spark, tmp_path):
     from salesloom.sources.star_views import StarViews
 
