@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from salesloom.functions.text import rejected
+from salesloom.functions.text import parsed
 from salesloom.operators.rollup import SALE_ROWS, is_pre_aggregated, row_count
+from salesloom.plans.session import work_dir
 from salesloom.schema import TableDef
 
 
@@ -69,42 +72,37 @@ def fk_report(
 ) -> DataFrame:
     """The summary of each foreign key of the table whose column and dimension are given.
 
-    `more` names further keys as table.foreign_keys does: column -> (dimension, its key). The
-    fact is read once: its keys become rows of (key, value), which are counted before they are
-    shuffled, so a value in a third of the rows is one row of each task. Values are compared as
-    text.
+    `more` names further keys as table.foreign_keys does: column -> (dimension, its key). The fact is
+    read once: grouping sets fold it to one row per key and value in each task, before anything is
+    shuffled, so a value in a third of the rows is one row of each task. Keys keep their types. The
+    folded keys are written, a folder for each key, and each is compared with its own dimension.
     """
     keys = {
         key: place
         for key, place in {**table.foreign_keys, **(more or {})}.items()
         if place[0] in dimensions and key in fact.columns
     }
-    pair = lambda key, value: F.struct(
-        F.lit(key).alias("fact_key"), F.col(value).cast("string").alias("key_value")
-    )
-    weight = [SALE_ROWS] if is_pre_aggregated(fact) else []
-    used = fact.select(F.explode(F.array(*[pair(key, key) for key in keys])).alias("k"), *weight).select("k.*", *weight)
-    used = used.where("key_value IS NOT NULL").groupBy("fact_key", "key_value").agg(row_count(fact).alias("row_count"))
-    known = reduce(
-        DataFrame.unionByName,
-        [dimensions[dim].select(pair(key, dim_key).alias("k")).select("k.*") for key, (dim, dim_key) in keys.items()],
-    )
-    found = used.join(known, ["fact_key", "key_value"], "left_anti").groupBy("fact_key").agg(
-        F.count(F.lit(1)).alias("orphan_keys"), F.sum("row_count").alias("orphan_rows")
-    )
-    listed = F.array(*[F.struct(F.lit(k).alias("fact_key"), F.lit(dim).alias("dimension")) for k, (dim, _) in keys.items()])
-    zero = F.lit(0).cast("bigint")
-    return (
-        fact.sparkSession.range(1)
-        .select(F.inline(listed))
-        .join(found, "fact_key", "left")
-        .select(
-            "fact_key",
-            "dimension",
-            F.coalesce("orphan_keys", zero).alias("orphan_keys"),
-            F.coalesce("orphan_rows", zero).alias("orphan_rows"),
+    names = list(keys)
+    sets = [[F.col(name)] for name in names]
+    used = fact.groupingSets(sets, *names).agg(F.grouping_id().alias("_set"), row_count(fact).alias("row_count"))
+    used.write.partitionBy("_set").parquet(folder := work_dir(fact.sparkSession, "fk-keys"))
+    used = fact.sparkSession.read.schema(used.schema).parquet(folder)
+    # In the set of the k-th key all other keys are folded: their bits are set.
+    every = (1 << len(names)) - 1
+    found = []
+    for k, (key, (dim, dim_key)) in enumerate(keys.items()):
+        own = used.where(F.col("_set") == every - (1 << (len(names) - 1 - k))).where(F.col(key).isNotNull())
+        known = dimensions[dim].select(F.col(dim_key).alias(key))
+        orphans = own.select(key, "row_count").join(known, key, "left_anti")
+        found.append(
+            orphans.agg(
+                F.lit(key).alias("fact_key"),
+                F.lit(dim).alias("dimension"),
+                F.count(F.lit(1)).alias("orphan_keys"),
+                F.coalesce(F.sum("row_count"), F.lit(0).cast("bigint")).alias("orphan_rows"),
+            )
         )
-    )
+    return reduce(DataFrame.unionByName, found)
 
 
 def load_profile(sales: DataFrame) -> DataFrame:
@@ -117,30 +115,88 @@ def load_profile(sales: DataFrame) -> DataFrame:
     )
 
 
-def cast_rejects(strings: DataFrame, table: TableDef) -> DataFrame:
-    """Per column: number of texts that are present but do not parse as the column's type."""
+def parsed_once(strings: DataFrame, table: TableDef) -> DataFrame:
+    """The strings with `typed`, the table's columns in their types, and `rejected_columns`.
+
+    Each text is parsed once: a text that is present and gives no value is a reject. Both come out of
+    one generator, which Spark computes once a row, so values and rejects can be written from one pass.
+    """
     fields = table.schema.fields
-    counts = strings.agg(
-        *[F.count_if(rejected(f.name, f.dataType)).alias(f.name) for f in fields]
+    missing = [f.name for f in fields if f.name not in strings.columns]
+    if missing:
+        raise ValueError(f"{table.name}: columns {missing} are missing from the source")
+    values = F.struct(*[parsed(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in fields])
+    once = strings.select("*", F.inline(F.array(F.struct(values.alias("typed")))))
+    failed = F.array_compact(
+        F.array(
+            *[F.when(F.col(f"`{f.name}`").isNotNull() & F.col("typed")[f.name].isNull(), F.lit(f.name)) for f in fields]
+        )
     )
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.lit(f.dataType.simpleString()).alias("target_type"),
-                F.col(f.name).alias("rejects"),
-            )
-            for f in fields
-        ]
+    return once.withColumn("rejected_columns", failed)
+
+
+def _entries(fields: list[T.StructField]) -> Column:
+    """One row per column, from counts named after the columns."""
+    return F.inline(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(f.name).alias("column_name"),
+                    F.lit(f.dataType.simpleString()).alias("target_type"),
+                    F.col(f"`{f.name}`").alias("rejects"),
+                )
+                for f in fields
+            ]
+        )
     )
-    return counts.select(F.inline(entries))
+
+
+def _counts(fields: list[T.StructField]) -> list[Column]:
+    return [F.count_if(F.array_contains("rejected_columns", f.name)).alias(f.name) for f in fields]
+
+
+def cast_rejects(strings: DataFrame, table: TableDef) -> DataFrame:
+    """Per column: number of texts that are present but do not parse as the column's type."""
+    fields = table.schema.fields
+    return parsed_once(strings, table).agg(*_counts(fields)).select(_entries(fields))
 
 
 def rejected_rows(strings: DataFrame, table: TableDef) -> DataFrame:
     """Source rows with at least one such text, and the names of the columns concerned."""
-    failed = F.array_compact(
-        F.array(
-            *[F.when(rejected(f.name, f.dataType), F.lit(f.name)) for f in table.schema.fields]
-        )
+    return parsed_once(strings, table).where(F.size("rejected_columns") > 0).drop("typed")
+
+
+def load_with_rejects(
+    strings: DataFrame, table: TableDef, path: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Loads a source in one pass: its typed rows, its rejected rows, and the rejects of each column.
+
+    The source is read and parsed once. Rows go to two folders below `path`: all of them with their
+    values, where a reject is NULL, by whether they have any; those that do also keep their texts.
+    Counts are taken by the writing stage, so no second read is needed, and a retried task counts once.
+    """
+    fields = table.schema.fields
+    spark = strings.sparkSession
+    counter = Observation(f"{table.name}-rejects-{uuid.uuid4().hex[:12]}")
+    source = F.struct(*[F.col(f"`{c}`") for c in strings.columns])
+    rows = parsed_once(strings, table).observe(counter, F.count(F.lit(1)).alias("rows loaded"), *_counts(fields))
+    flawed = F.size("rejected_columns") > 0
+    stored = rows.select(
+        "typed",
+        F.when(flawed, source).alias("source"),
+        F.when(flawed, F.col("rejected_columns")).alias("rejected_columns"),
+        flawed.alias("flawed"),
+    )
+    stored.write.partitionBy("flawed").parquet(path)
+    kept = T.StructType([f for f in stored.schema.fields if f.name != "flawed"] + [T.StructField("flawed", T.BooleanType())])
+    written = spark.read.schema(kept).parquet(path)
+    found = counter.get
+    counts = spark.createDataFrame(
+        [(f.name, f.dataType.simpleString(), int(found[f.name])) for f in fields],
+        "column_name string, target_type string, rejects bigint",
+    )
+    return (
+        written.select("typed.*"),
+        written.where("flawed").select("source.*", "rejected_columns"),
+        counts,
     )
-    return strings.withColumn("rejected_columns", failed).where(F.size("rejected_columns") > 0)

@@ -481,7 +481,20 @@ UNION ALL SELECT 'store_id', 'bigint', 0
 UNION ALL SELECT 'total_amount', 'double', 0"""
 )
 def cast_rejects(spark, folder):
-    return quality.cast_rejects(flawed_orders(spark, folder), FACT_SALES)
+    """Counted while the rows were loaded: the source is not read again."""
+    _, _, counts = loading.loaded_with_rejects(spark, folder)
+    return counts
+
+
+@query(
+    """SELECT 'order_id' AS column_name, COUNT(*) FILTER (WHERE o_orderstatus = 'P') AS rejects
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+UNION ALL SELECT 'quantity', COUNT(*) FILTER (WHERE l_quantity > 40) FROM lineitem"""
+)
+def cast_rejects_of_source(spark, folder):
+    """Counted on the source itself, without a load."""
+    counts = quality.cast_rejects(flawed_orders(spark, folder), FACT_SALES)
+    return counts.where("rejects > 0 OR column_name IN ('order_id', 'quantity')").select("column_name", "rejects")
 
 
 @query(
@@ -495,12 +508,25 @@ FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
 WHERE o_orderstatus = 'P' OR l_quantity > 40"""
 )
 def rejected_rows(spark, folder):
-    rows = quality.rejected_rows(flawed_orders(spark, folder), FACT_SALES)
-    return rows.select(
+    """From the folder of a load that has written values and rejects in one pass."""
+    _, rejects, _ = loading.loaded_with_rejects(spark, folder)
+    return rejects.select(
         "order_id", "quantity", F.concat_ws(",", "rejected_columns").alias("rejected_columns")
     )
 
 
+@query(
+    """SELECT COUNT(*) AS row_count, COUNT(*) FILTER (WHERE o_orderstatus IS DISTINCT FROM 'P') AS with_order_id,
+       CAST(SUM(CASE WHEN l_quantity <= 40 THEN CAST(l_quantity AS BIGINT) END) AS BIGINT) AS units
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey"""
+)
+def loaded_despite_rejects(spark, folder):
+    rows, _, _ = loading.loaded_with_rejects(spark, folder)
+    return rows.agg(
+        F.count("*").alias("row_count"), F.count("order_id").alias("with_order_id"), F.sum("quantity").alias("units")
+    )
+
+
 @query(
     """SELECT l_orderkey AS order_id, l_linenumber AS line, l_partkey AS product_id,
        CASE WHEN l_discount > 0 AND l_tax > 0 THEN l_extendedprice / l_discount END AS ratio,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesloom.operators import quality
 from salesloom.plans.session import work_dir
 from salesloom.schema import DISCOUNT_COLUMN, FACT_SALES, TABLES, columns
 from salesloom.sources.colocated import CoLocatedViews
@@ -158,3 +159,12 @@ def flawed_orders(spark: SparkSession, folder: str) -> DataFrame:
         write_csv(text, path)
         _done[key] = path
     return read_strings(spark, _done[key], exported=True)
+
+
+def loaded_with_rejects(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The flawed sales as loaded: typed rows, rejected rows, and counts of rejects by column."""
+    key = (spark.sparkContext.applicationId, folder, "rejects")
+    if key not in _done:
+        path = work_dir(spark, "rejects")
+        _done[key] = quality.load_with_rejects(flawed_orders(spark, folder), FACT_SALES, path)
+    return _done[key]

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesloom.operators import generate, quality
-from salesloom.plans.session import work_dir
+from salesloom.plans.session import session_conf, work_dir
 from salesloom.schema import DIM_DATE, DIM_PRODUCT, FACT_SALES, LOAD_ORDER, TABLES
 from salesloom.sources import records
 from salesloom.sources.csv import read_strings, read_table, write_csv
@@ -165,6 +165,44 @@ def test_key_checks_find_what_is_planted(spark):
     assert [tuple(r) for r in orphans] == [(99, 2)]
 
 
+def test_foreign_keys_keep_their_types_and_read_the_fact_once(spark):
+    day = dt.date(2026, 1, 5)
+    rows = [(1, day, 10, 5, 1, 1, 1.0), (2, day, 99, 5, None, 1, 1.0), (3, None, 99, 6, 2, 1, 1.0), (4, dt.date(2027, 1, 1), None, 5, 1, 1, 1.0)]
+    fact = spark.createDataFrame(rows, FACT_SALES.schema)
+    dims = {
+        "dim_customer": spark.createDataFrame([(10,)], "customer_id bigint"),
+        "dim_product": spark.createDataFrame([(5,)], "product_id int"),
+        "dim_store": spark.createDataFrame([(1,), (2,)], "store_id bigint"),
+        "dim_date": spark.createDataFrame([(day,)], "date_key date"),
+    }
+    found = {r.fact_key: (r.dimension, r.orphan_keys, r.orphan_rows) for r in quality.fk_report(fact, dims, FACT_SALES).collect()}
+    assert found == {
+        "order_date": ("dim_date", 1, 1), "customer_id": ("dim_customer", 1, 2),
+        "product_id": ("dim_product", 1, 1), "store_id": ("dim_store", 0, 0),
+    }
+    assert quality.fk_report(fact.limit(0), dims, FACT_SALES).agg(F.sum("orphan_rows")).first()[0] == 0
+
+
+def test_a_load_writes_values_and_rejects_in_one_pass(spark, tmp_path):
+    path = text_file(tmp_path, "p.csv", "product_id,product_name,category,price,more\n1,a,b,1.5,x\none,c,,cheap,y\n,d,e,2,z\n3,,,nope,\n")
+    strings = read_strings(spark, path)
+    rows, rejects, counts = quality.load_with_rejects(strings, DIM_PRODUCT, work_dir(spark, "one-pass"))
+    key = lambda r: [(v is not None, v) for v in r]
+    assert rows.schema.simpleString() == DIM_PRODUCT.schema.simpleString()
+    assert sorted(rows.collect(), key=key) == sorted(read_table(spark, path, DIM_PRODUCT).collect(), key=key)
+    assert sorted(tuple(r) for r in rejects.collect()) == [
+        ("3", None, None, "nope", None, ["price"]), ("one", "c", None, "cheap", "y", ["product_id", "price"])
+    ]
+    assert {r.column_name: r.rejects for r in counts.collect()} == {"product_id": 1, "product_name": 0, "category": 0, "price": 2}
+    assert sorted(counts.collect()) == sorted(quality.cast_rejects(strings, DIM_PRODUCT).collect())
+    # One parse a column: the plan casts each text once.
+    with session_conf(spark, spark__sql__debug__maxToStringFields="500"):
+        plan = quality.rejected_rows(strings, DIM_PRODUCT)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("cast(price") == plan.count("try_cast(price") == 1
+    with pytest.raises(ValueError, match="missing"):
+        quality.load_with_rejects(strings.drop("price"), DIM_PRODUCT, work_dir(spark, "one-pass"))
+
+
 def test_work_folder_is_the_shared_one(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     first, second = work_dir(spark, "x"), work_dir(spark, "x")
