@@ -60,6 +60,9 @@ _NUMBER_UNIT = re.compile(r"([+-]?\d[\d.,]*)([a-z]+)$")
 _WORD, _NUM, _UNIT = 0, 1, 2
 _MARK = {kind: xxhash.xxh3_64_intdigest(mark) for kind, mark in ((_NUM, b"<num>"), (_UNIT, b"<unit>"))}
 _NAME = xxhash.xxh3_64_intdigest(b"<name>")
+_PLACEHOLDERS = np.array([*_MARK.values(), _NAME], dtype=np.uint64)
+#: Places of windows that meet each other, in memory at once.
+MEETINGS = 1 << 20
 
 
 @dataclass
@@ -110,15 +113,25 @@ class Templates:
         return cls(value[ids][keep], shapes[keep], places[keep], before[words.bounds], wide[keep])
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all windows of WINDOW words within a text, each form once, and their places."""
+        """Hashes of the windows of WINDOW words within a text, each form once, and their places.
+
+        A window of nothing but placeholders is left out, since it would meet any other: what it would
+        line up is found from the windows beside it, or from the values themselves.
+        """
         at = self._within(WINDOW)
         first = rolling(self.shapes, WINDOW)[at]
         wide, plain = rolling(self.wide, WINDOW)[at], rolling(self.values, WINDOW)[at]
-        parts = [(first, at)]
-        for own, new in ((wide, wide != first), (plain, (plain != first) & (plain != wide))):
+        said, said_wide = self._has_words(self.shapes)[at], self._has_words(self.wide)[at]
+        parts = [(first[said], at[said])]
+        for own, new in ((wide, (wide != first) & said_wide), (plain, (plain != first) & (plain != wide))):
             parts.append((own[new], at[new]))
         return np.concatenate([h for h, _ in parts]), np.concatenate([x for _, x in parts])
 
+    def _has_words(self, shapes: np.ndarray) -> np.ndarray:
+        """Whether the window at each place has a word that is no placeholder."""
+        words = np.concatenate(([0], np.cumsum(~np.isin(shapes, _PLACEHOLDERS))))
+        return words[WINDOW:] > words[:-WINDOW] if len(words) > WINDOW else np.empty(0, dtype=bool)
+
     def runs(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all runs of `width` plain words within a text, and their places."""
         at = self._within(width)
@@ -167,41 +180,19 @@ def compare(doc_ids: pa.Array, texts: pa.Array, bench: Benchmark) -> list[tuple]
     hashes, at = docs.windows()
     likely = bench.maybe[(hashes >> np.uint64(44)).astype(np.int64)]
     hashes, at = hashes[likely], at[likely]
+    order = np.argsort(at, kind="stable")
+    hashes, at = hashes[order], at[order]
     low, high = np.searchsorted(bench.hashes, hashes, "left"), np.searchsorted(bench.hashes, hashes, "right")
     number = high - low
-    doc_at = np.repeat(at, number)
-    inside = np.arange(len(doc_at)) - np.repeat(np.cumsum(number) - number, number)
-    item_at = bench.at[np.repeat(low, number) + inside]
-    doc, item = docs.owners()[doc_at], bench.owner[item_at]
-    line = doc_at - item_at
-    order = np.lexsort((doc_at, line, item, doc))
-    doc, item, line, doc_at = doc[order], item[order], line[order], doc_at[order]
-    once = np.ones(len(doc), dtype=bool)  # several forms of a window may meet at one place
-    once[1:] = (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(line) != 0) | (np.diff(doc_at) != 0)
-    doc, item, line, doc_at = doc[once], item[once], line[once], doc_at[once]
-    new = np.ones(len(doc), dtype=bool)
-    new[1:] = (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(line) != 0) | (np.diff(doc_at) != 1)
-    starts = np.flatnonzero(new)
-    lengths = np.diff(np.append(starts, len(doc))) + WINDOW - 1
-    item_words = np.diff(bench.items.bounds)[item[starts]]
     best: dict[tuple[int, int], tuple] = {}
-    for k in np.flatnonzero(lengths >= np.minimum(RUN, item_words - 1)):
-        first, words = int(doc_at[starts[k]]), int(lengths[k])
-        key = int(doc[starts[k]]), int(item[starts[k]])
-        if key in best and best[key][3] >= words:
-            continue
-        there = first - int(line[starts[k]])
-        slots = _slots(docs, first, bench.items, there, words)
-        if slots is None:  # part of the run may still be a copy
-            ahead, words = _equal_run(docs.values[first : first + words] == bench.items.values[there : there + words])
-            if words < min(RUN, int(item_words[k]) - 1) or key in best and best[key][3] >= words:
-                continue
-            first, there = first + ahead, there + ahead
-            slots = int((docs.shapes[first : first + words] != docs.values[first : first + words]).sum()), 0
-        exact = bool((docs.values[first : first + words] == bench.items.values[there : there + words]).all())
-        best[key] = (
-            doc_ids[key[0]].as_py(), bench.item_ids[key[1]], int(docs.places[first]), words, int(item_words[k]), *slots, exact,
-        )
+    # A run is found whole from any of its windows, so they can be taken a part at a time.
+    part = np.cumsum(number) // MEETINGS
+    for some in np.split(np.arange(len(at)), np.flatnonzero(np.diff(part)) + 1):
+        doc, item, line, first, words = _runs(docs, bench, at[some], low[some], number[some])
+        item_words = np.diff(bench.items.bounds)[item]
+        longest = np.lexsort((line, first, -words))
+        for k in longest[words[longest] >= np.minimum(RUN, item_words - 1)[longest]]:
+            _kept(best, docs, bench, doc_ids, int(doc[k]), int(item[k]), int(first[k]), int(line[k]), int(words[k]))
     owner = docs.owners()
     for width, wholes in bench.short.items():
         hashes, at = docs.runs(width)
@@ -216,6 +207,61 @@ def compare(doc_ids: pa.Array, texts: pa.Array, bench: Benchmark) -> list[tuple]
     return [best[key] for key in sorted(best)]
 
 
+def _runs(docs: Templates, bench: Benchmark, at, low, number) -> tuple[np.ndarray, ...]:
+    """Runs of equal words around windows that meet: document, item, line, first word, words."""
+    items = bench.items
+    doc_at = np.repeat(at, number)
+    inside = np.arange(len(doc_at)) - np.repeat(np.cumsum(number) - number, number)
+    item_at = bench.at[np.repeat(low, number) + inside]
+    doc, item, line = docs.owners()[doc_at], bench.owner[item_at], doc_at - item_at
+    order = np.lexsort((doc_at, line, item, doc))
+    doc, item, line, doc_at = doc[order], item[order], line[order], doc_at[order]
+    new = np.ones(len(doc), dtype=bool)  # several forms of a window may meet at one place
+    new[1:] = (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(line) != 0) | (np.diff(doc_at) > 1)
+    starts = np.flatnonzero(new)
+    ends = np.append(starts[1:], len(doc)) - 1
+    doc, item, line = doc[starts], item[starts], line[starts]
+    first, last = doc_at[starts], doc_at[ends] + WINDOW if len(doc) else doc_at
+
+    def grown(edge: np.ndarray, step: int, stop: np.ndarray) -> np.ndarray:
+        """The edge moved on by `step` while the next words are equal in some form."""
+        edge, open_ = edge.copy(), np.flatnonzero(edge != stop)
+        while len(open_):
+            a = edge[open_] if step > 0 else edge[open_] - 1
+            b = a - line[open_]
+            same = docs.shapes[a] == items.shapes[b]
+            same |= (docs.wide[a] == items.wide[b]) | (docs.values[a] == items.values[b])
+            open_ = open_[same]
+            edge[open_] += step
+            open_ = open_[edge[open_] != stop[open_]]
+        return edge
+
+    last = grown(last, 1, np.minimum(docs.bounds[1:][doc], items.bounds[1:][item] + line))
+    first = grown(first, -1, np.maximum(docs.bounds[:-1][doc], items.bounds[:-1][item] + line))
+    found = np.unique(np.array([doc, item, line, first, last - first]), axis=1)
+    return tuple(found)
+
+
+def _kept(best, docs, bench, doc_ids, doc: int, item: int, first: int, line: int, words: int) -> None:
+    """Notes a run in `best` if it, or part of it, is a true match and longer than what is known."""
+    key = doc, item
+    item_words = int(bench.items.bounds[item + 1] - bench.items.bounds[item])
+    if key in best and best[key][3] >= words:
+        return
+    there = first - line
+    slots = _slots(docs, first, bench.items, there, words)
+    if slots is None:  # part of the run may still be a copy
+        ahead, words = _equal_run(docs.values[first : first + words] == bench.items.values[there : there + words])
+        if words < min(RUN, item_words - 1) or key in best and best[key][3] >= words:
+            return
+        first, there = first + ahead, there + ahead
+        slots = int((docs.shapes[first : first + words] != docs.values[first : first + words]).sum()), 0
+    exact = bool((docs.values[first : first + words] == bench.items.values[there : there + words]).all())
+    best[key] = (
+        doc_ids[doc].as_py(), bench.item_ids[item], int(docs.places[first]), words, item_words, *slots, exact,
+    )
+
+
 def _equal_run(same: np.ndarray) -> tuple[int, int]:
     """Start and length of the longest run of true values."""
     edges = np.flatnonzero(np.diff(np.concatenate(([0], same.astype(np.int8), [0]))))

@@ -6,8 +6,9 @@ the item's sizes and the bin's room, both as shares of the limits: items lean to
 that have room where they need it. Large items come first.
 
 Documents are cut freely. Full pieces fill a sequence alone; what is left of each document is
-an item. Bins that stay part-filled are topped up by cutting the pieces of the emptiest ones,
-and the last bin of a task is cut to lengths that are powers of two, which need no padding.
+an item. Bins that stay part-filled are topped up by cutting the pieces of the emptiest ones. A bin
+that has all its segments before it is full, and the last bin of a task, are cut to lengths that are
+powers of two, which need no padding; so what a task holds back is less than one bin.
 Everything happens inside the task that reads the documents: nothing is shuffled or collected.
 """
 
@@ -159,7 +160,7 @@ class DocumentPacker:
                 continue
             if total[k] == self.sequence:
                 yield own
-            elif last:
+            elif last or len(own) >= self.segments:  # no later item can fill it
                 yield from powers_of_two(own)
             else:
                 self.items += own

@@ -21,10 +21,15 @@ from pyspark.sql import types as T
 from salesloom.llm.langid import held_out
 from salesloom.llm.textops import Words, fresh, slices, strings
 
-#: Labelled documents of each label that the fit reads at most, chosen by a hash of the id,
-#: and lines of each of them.
+#: Labelled documents of each label that the fit reads at most, chosen by a hash of the id; those with
+#: more lines are not drawn. All others are read whole.
 SAMPLE_ROWS = 3_000
-SAMPLE_LINES = 200
+SAMPLE_LINES = 400
+#: Lines whose features are in memory at once, and lines of a text that are walked in one piece.
+BLOCK_LINES = 100_000
+PIECE_LINES = 4_096
+#: Error of the log-odds that a walk in pieces may leave.
+EXACT = 1e-12
 ROUNDS = 150
 STEP = 0.1
 PENALTY = 1e-3
@@ -62,16 +67,36 @@ _CLASSES = _byte_classes()
 
 
 class Lines:
-    """The lines of a slice of texts with their features; bounds[i]:bounds[i + 1] are text i's."""
+    """The lines of a slice of texts; bounds[i]:bounds[i + 1] are text i's."""
 
     def __init__(self, texts: pa.Array):
         split = pc.split_pattern(texts, "\n")
         self.bounds = split.offsets.to_numpy().astype(np.int64)
         self.bounds = self.bounds - self.bounds[0]
-        lines = split.flatten()
+        self.lines = split.flatten()
+        self.weights = pc.binary_length(self.lines).to_numpy(zero_copy_only=False) + 1.0
+
+    @property
+    def features(self) -> np.ndarray:
+        return np.concatenate([self._block(*block) for block in self._blocks()] or [np.empty((0, FEATURES), np.float32)])
+
+    def emissions(self, field: Field) -> np.ndarray:
+        """The field's log-odds of each line; features of BLOCK_LINES at most are in memory."""
+        return np.concatenate([field.emissions(self._block(*block)) for block in self._blocks()] or [np.empty(0)])
+
+    def _blocks(self) -> list[tuple[int, int]]:
+        return [(first, min(first + BLOCK_LINES, len(self.lines))) for first in range(0, len(self.lines), BLOCK_LINES)]
+
+    def _block(self, first: int, last: int) -> np.ndarray:
+        # A line's features hold those of its neighbours, and theirs whether they repeat the line before.
+        low, high = max(first - 2, 0), min(last + 1, len(self.lines))
+        lines = self.lines.slice(low, high - low).take(pa.array(np.arange(high - low)))
         lengths = pc.binary_length(lines).to_numpy(zero_copy_only=False).astype(np.int64)
-        self.weights = lengths + 1.0
-        self.features = self._with_neighbours(self._own(lines, lengths))
+        filled = np.diff(self.bounds) > 0
+        starts, ends = self.bounds[:-1][filled], self.bounds[1:][filled] - 1
+        within = lambda at: at[(at >= low) & (at < high)] - low
+        out = self._with_neighbours(self._own(lines, lengths), within(starts), within(ends))
+        return out[first - low : last - low]
 
     def _own(self, lines: pa.Array, lengths: np.ndarray) -> np.ndarray:
         raw = np.frombuffer(b"".join(lines.cast(pa.large_binary()).to_pylist()), dtype=np.uint8)
@@ -125,13 +150,11 @@ class Lines:
             ]
         ).astype(np.float32)
 
-    def _with_neighbours(self, own: np.ndarray) -> np.ndarray:
+    def _with_neighbours(self, own: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         out = np.zeros((len(own), FEATURES), dtype=np.float32)
         out[:, :OWN] = own
         out[1:, OWN : 2 * OWN] = own[:-1]
         out[:-1, 2 * OWN : 3 * OWN] = own[1:]
-        filled = np.diff(self.bounds) > 0
-        starts, ends = self.bounds[:-1][filled], self.bounds[1:][filled] - 1
         out[starts, OWN : 2 * OWN] = 0
         out[ends, 2 * OWN : 3 * OWN] = 0
         out[starts, 3 * OWN] = 1
@@ -186,6 +209,37 @@ def marginals(odds: np.ndarray, bounds: np.ndarray, moves: np.ndarray) -> tuple[
     return _sigmoid(odds + left + right), left, right
 
 
+def walked(odds: np.ndarray, bounds: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """P(good) of each line, as `marginals` has it, with long texts in pieces that are walked side by side.
+
+    A message forgets where it began: with d = |m11 + m00 - m10 - m01|, two messages come nearer by
+    tanh(d / 4) with each line, and none is further than d from another. So many lines are walked
+    before and after a piece that what is left of its false start is below EXACT.
+    """
+    lengths = np.diff(bounds)
+    if lengths.max(initial=0) <= PIECE_LINES:
+        return marginals(odds, bounds, moves)[0]
+    apart = abs(moves[1, 1] + moves[0, 0] - moves[1, 0] - moves[0, 1])
+    nearer = np.tanh(apart / 4)
+    lead = 1 if nearer < EXACT else min(int(np.ceil(np.log(EXACT / max(apart, EXACT)) / np.log(nearer))) + 1, int(lengths.max()))
+    piece = max(PIECE_LINES, lead)
+    parts = -(-lengths // piece)
+    owner = np.repeat(np.arange(len(lengths)), parts)
+    number = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
+    first = bounds[:-1][owner] + number * piece
+    last = np.minimum(first + piece, bounds[1:][owner])
+    out = np.empty(len(odds))
+    for some in np.array_split(np.arange(len(owner)), max(1, -(-int((last - first).sum()) // BLOCK_LINES))):
+        low = np.maximum(first[some] - lead, bounds[:-1][owner[some]])
+        high = np.minimum(last[some] + lead, bounds[1:][owner[some]])
+        edges = np.concatenate(([0], np.cumsum(high - low)))
+        places = np.arange(edges[-1]) + np.repeat(low - edges[:-1], high - low)
+        chance = marginals(odds[places], edges, moves)[0]
+        core = (places >= np.repeat(first[some], high - low)) & (places < np.repeat(last[some], high - low))
+        out[places[core]] = chance[core]
+    return out
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(x / 2))
 
@@ -231,8 +285,9 @@ def fit(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> Field |
     """Fits on labelled documents that aren't held out; None where there are none.
 
     documents: doc_id, text. labels: doc_id, quality (0 or 1; others and nulls are no label; of
-    several labels of an id the smallest counts). At most SAMPLE_ROWS ids of each label are
-    read, which bounds the broadcast of the join and what comes to the driver.
+    several labels of an id the smallest counts). At most SAMPLE_ROWS ids of each label are read, of
+    rows that repeat an id one, and none with SAMPLE_LINES line breaks or more: that bounds the
+    broadcast of the join, and what comes to the driver by 2 * SAMPLE_ROWS * SAMPLE_LINES lines.
     """
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out("doc_id", 5, 0))
@@ -246,19 +301,21 @@ def fit(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> Field |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             lines = Lines(strings(batch.column("text")))
-            rows = [
-                lines.features[a : min(b, a + SAMPLE_LINES)].tobytes()
-                for a, b in zip(lines.bounds[:-1], lines.bounds[1:], strict=True)
-            ]
+            features = lines.features
+            rows = [features[a:b].tobytes() for a, b in zip(lines.bounds[:-1], lines.bounds[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label"), pa.array(rows, pa.binary())],
                 names=["doc_id", "label", "features"],
             )
 
+    text = F.coalesce("text", F.lit(""))
+    few_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) < SAMPLE_LINES
     rows = (
-        documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        documents.where(few_lines)
+        .select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
         .join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", "label", "text")
+        .groupBy("doc_id", "label")
+        .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
         .mapInArrow(run, "doc_id long, label int, features binary")
         .toArrow()
         .sort_by([("doc_id", "ascending"), ("label", "ascending")])
@@ -275,7 +332,7 @@ def scores(texts: pa.Array, field: Field | None) -> np.ndarray:
     if field is None:
         return np.full(len(texts), 0.5)
     lines = Lines(texts)
-    chance, _, _ = marginals(field.emissions(lines.features), lines.bounds, field.moves)
+    chance = walked(lines.emissions(field), lines.bounds, field.moves)
     owner = np.repeat(np.arange(len(texts)), np.diff(lines.bounds))
     total = np.bincount(owner, weights=lines.weights, minlength=len(texts))
     return np.clip(np.bincount(owner, weights=chance * lines.weights, minlength=len(texts)) / total, 0.0, 1.0)

@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+import random
+
 import frames
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from salesloom.llm import decontam
@@ -117,3 +121,109 @@ def test_rows_are_judged_by_their_own_text(shipped, limit, monkeypatch):
     assert sorted((str(r["doc_id"]), str(r["text"])) for r in out.collect()) == sorted(
         (str(i), str(t)) for i, t in rows if t != leak
     )
+
+
+def test_runs_of_numbers_neither_stall_nor_hide_a_match(shipped):
+    import resource
+    import time
+
+    numbers = lambda seed, n: " ".join(map(str, np.random.default_rng(seed).integers(0, 1000, n)))
+    question = "Find the mean of the following list of numbers and explain your answer"
+    items = shipped.createDataFrame(
+        [(1, numbers(1, 1000)), (2, f"{question}: {numbers(2, 40)}"), (3, "1 and 2 and " * 300), (4, numbers(9, 30))],
+        "item_id long, text string",
+    )
+    rows = [
+        (1, numbers(5, 100_000)),
+        (2, "Before. " + f"{question}: {numbers(3, 40)}" + " After."),
+        (3, f"{numbers(4, 500)} {numbers(9, 30)} {numbers(6, 500)}"),
+        (4, f"{numbers(8, 300)} {question}: {numbers(2, 40)}"),
+    ]
+    start = time.time()
+    docs = shipped.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in decontam.leaks(docs, items).collect()}
+    assert time.time() - start < 60
+    assert (1, 1) not in found and (2, 2) in found and (3, 4) in found and found[4, 2].exact
+    # Other numbers are too many for a template, but the question before them is a copy.
+    assert found[2, 2].exact and found[2, 2].n_words == 13 and found[3, 4].n_words == 30
+    assert {key[0] for key in found} == {2, 3, 4}
+    bench = decontam.Benchmark([3], decontam.Templates.of(pa.array(["1 and 2 and " * 300], pa.large_string())))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    decontam.compare(pa.array([1]), pa.array(["3 and 4 and " * 5000], pa.large_string()), bench)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_000_000  # KB
+
+
+def test_lining_up_equals_comparing_every_place(shipped, monkeypatch):
+    """Templates and slots by brute force: all places of a document against all of an item."""
+    chance = random.Random(4)
+    vocabulary = ["has", "apples", "gives", "how", "many", "left", "are", "the", "of", "and"]
+    names = ["Anna", "Peter", "Zoe"]
+
+    def text(n):
+        out = []
+        for _ in range(n):
+            kind = chance.random()
+            out.append(str(chance.randrange(9)) if kind < 0.2 else chance.choice(names) if kind < 0.35 else chance.choice(vocabulary))
+            if chance.random() < 0.08:
+                out[-1] += "."
+        return out
+
+    items = [text(chance.randrange(8, 30)) for _ in range(12)]
+    docs = []
+    for _ in range(60):
+        own = chance.choice(items).copy()
+        swap = {w.strip("."): str(chance.randrange(100)) if w.strip(".").isdigit() else chance.choice(names) for w in own if w.strip(".").isdigit() or w.strip(".") in names}
+        own = [swap.get(w.strip("."), w.strip(".")) + ("." if w.endswith(".") else "") for w in own]
+        for _ in range(chance.randrange(3)):
+            own[chance.randrange(len(own))] = chance.choice(vocabulary)
+        docs.append(text(chance.randrange(10)) + own + text(chance.randrange(10)))
+    bench = decontam.Benchmark(list(range(len(items))), decontam.Templates.of(pa.array([" ".join(i) for i in items], pa.large_string())))
+    mine = decontam.Templates.of(pa.array([" ".join(d) for d in docs], pa.large_string()))
+
+    def expected():
+        out = set()
+        for d in range(len(docs)):
+            a0, a1 = mine.bounds[d : d + 2].tolist()
+            for i in range(len(items)):
+                b0, b1 = bench.items.bounds[i : i + 2].tolist()
+                longest = 0
+                for line in range(a0 - b1 + 1, a1 - b0):
+                    lo, hi = max(a0, b0 + line), min(a1, b1 + line)
+                    same = [
+                        mine.shapes[k] == bench.items.shapes[k - line]
+                        or mine.wide[k] == bench.items.wide[k - line]
+                        or mine.values[k] == bench.items.values[k - line]
+                        for k in range(lo, hi)
+                    ]
+                    start = 0
+                    for k in range(len(same) + 1):
+                        if k == len(same) or not same[k]:
+                            first, n = lo + start, k - start
+                            if n >= min(decontam.RUN, b1 - b0 - 1) and _has_seed(first, line, n):
+                                ok = decontam._slots(mine, first, bench.items, first - line, n) is not None
+                                equal = mine.values[first : first + n] == bench.items.values[first - line : first - line + n]
+                                part = 0 if ok else decontam._equal_run(equal)[1]
+                                part = part if part >= min(decontam.RUN, b1 - b0 - 1) else 0
+                                longest = max(longest, n if ok else part)
+                            start = k + 1
+                if longest:
+                    out.add((d, i, longest))
+        return out
+
+    def _has_seed(first, line, n):
+        """A window of one form throughout, with a word in it unless it is of values."""
+        w = decontam.WINDOW
+        for k in range(first, first + n - w + 1):
+            for form in ("shapes", "wide", "values"):
+                a, b = getattr(mine, form)[k : k + w], getattr(bench.items, form)[k - line : k - line + w]
+                if (a == b).all() and (form == "values" or not np.isin(a, decontam._PLACEHOLDERS).all()):
+                    return True
+        return False
+
+    wanted = expected()
+    assert len(wanted) > 25
+    texts = pa.array([" ".join(d) for d in docs], pa.large_string())
+    for meetings in (1 << 20, 5):
+        monkeypatch.setattr(decontam, "MEETINGS", meetings)
+        got = {(row[0], row[1], row[3]) for row in decontam.compare(pa.array(range(len(docs))), texts, bench) if row[4] >= decontam.WINDOW}
+        assert got == wanted

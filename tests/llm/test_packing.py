@@ -71,3 +71,36 @@ def test_whole_items(shipped):
 
 def test_empty_table(shipped):
     assert packing.pack_documents(frames.none(shipped)).count() == 0
+
+
+def test_very_short_documents_leave_at_once():
+    import time
+
+    packer = packing.DocumentPacker()
+    start, out, most = time.time(), [], 0
+    for k in range(100_000):
+        out += packer.add(k, 1 if k % 3 else 8)
+        most = max(most, len(packer.items))
+    out += packer.finish()
+    assert time.time() - start < 20 and most <= packing.BATCH_ITEMS
+    lengths = [sum(n for _, _, n in own) for own in out]
+    assert sum(lengths) == sum(1 if k % 3 else 8 for k in range(100_000))
+    assert all(n == 1024 or n & (n - 1) == 0 for n in lengths)
+    assert max(map(len, out)) <= packing.SEGMENTS
+    pieces = sorted(piece for own in out for piece in own)
+    assert all(a[0] != b[0] or a[1] + a[2] == b[1] for a, b in zip(pieces, pieces[1:], strict=False))
+
+
+def test_the_limit_on_loss_bearing_tokens_binds(shipped):
+    """Turns of the assistant bear loss: conversations of little else fill a sequence by it alone."""
+    rows = [(k, 100, 2, 90 if k % 2 else 5) for k in range(400)]
+    items = shipped.createDataFrame(rows, "item_id long, tokens long, segments long, loss_tokens long").coalesce(1)
+    packed = packing.pack_items(items, 1000, 64, 450).collect()
+    sums = {}
+    for r in packed:
+        t, s, loss = sums.get(r.sequence_id, (0, 0, 0))
+        sums[r.sequence_id] = t + r.tokens, s + r.segments, loss + r.loss_tokens
+    assert len(packed) == 400 and all(t <= 1000 and s <= 64 and loss <= 450 for t, s, loss in sums.values())
+    # By tokens alone ten items fit a sequence; here some hold five, as a sixth would bear too much loss.
+    assert any(t <= 900 and loss + 90 > 450 for t, _, loss in sums.values())
+    assert len(sums) <= 60

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import resource
+import time
 from itertools import product
 
 import frames
@@ -60,3 +62,52 @@ def test_edge_cases(shipped):
     assert quality.without_rejects(shipped, frame, labels).columns == frame.columns
     assert {r["score"] for r in quality.score(shipped, frame, labels.where("false")).collect()} == {0.5}
     assert quality.score(shipped, frames.none(shipped), labels).count() == 0
+
+
+def a_field(seed: int = 0) -> quality.Field:
+    chance = np.random.default_rng(seed)
+    weights = chance.normal(size=quality.FEATURES)
+    return quality.Field(np.zeros(quality.FEATURES), np.ones(quality.FEATURES), weights, np.array([[1.2, -0.4], [-0.7, 1.5]]))
+
+
+def test_features_in_blocks_equal_those_at_once(monkeypatch):
+    texts = pa.array([r[1] or "" for r in frames.rows()] + ["a\nb\nb\n\nC!"] * 3, pa.large_string())
+    whole = quality.Lines(texts)
+    expected, odds = whole.features, whole.emissions(a_field())
+    monkeypatch.setattr(quality, "BLOCK_LINES", 7)
+    blocks = quality.Lines(texts)
+    assert (blocks.features == expected).all()
+    assert np.allclose(blocks.emissions(a_field()), odds)
+
+
+def test_long_texts_in_pieces_get_the_same_marginals(monkeypatch):
+    chance = np.random.default_rng(1)
+    lengths = np.array([0, 1, 5000, 17, 9000, 4097])
+    bounds = np.concatenate(([0], np.cumsum(lengths)))
+    odds = chance.normal(size=bounds[-1]) * 3
+    for moves in (a_field().moves, np.zeros((2, 2)), np.array([[3.0, -3.0], [-2.0, 2.5]])):
+        expected = quality.marginals(odds, bounds, moves)[0]
+        monkeypatch.setattr(quality, "PIECE_LINES", 300)
+        monkeypatch.setattr(quality, "BLOCK_LINES", 2_000)
+        assert np.allclose(quality.walked(odds, bounds, moves), expected, rtol=0, atol=1e-10)
+
+
+def test_millions_of_lines_stay_small():
+    start, before = time.time(), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    found = quality.scores(pa.array(["\n" * (3 << 20), "a\n" * (1 << 20)], pa.large_string()), a_field())
+    assert len(found) == 2 and time.time() - start < 120
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_000_000  # KB
+
+
+def test_repeated_labelled_ids_are_read_once(shipped):
+    rows = [(1, "good text here.\nAnd more.")] * 500 + [(2, "BAD !!!")] * 500 + [(2, "BAD ???")] + [(3, "x\n" * 1000)]
+    docs = shipped.createDataFrame(rows, "doc_id long, text string")
+    labels = shipped.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    seen = []
+    fit_field = quality.fit_field
+    try:
+        quality.fit_field = lambda features, bounds, labels: seen.append(np.diff(bounds).tolist())
+        quality.fit(shipped, docs, labels)
+    finally:
+        quality.fit_field = fit_field
+    assert seen in ([[2, 1]], [[2]], [[1]])  # ids whose hash holds them out are not read
