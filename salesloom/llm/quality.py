@@ -26,8 +26,10 @@ from salesloom.llm.textops import Words, fresh, slices, strings
 SAMPLE_ROWS = 3_000
 SAMPLE_LINES = 400
 #: Lines whose features are in memory at once, and lines of a text that are walked in one piece.
-BLOCK_LINES = 100_000
+BLOCK_LINES = 50_000
 PIECE_LINES = 4_096
+#: Bytes of text that are scored at once.
+SLICE = 4 << 20
 #: Error of the log-odds that a walk in pieces may leave.
 EXACT = 1e-12
 ROUNDS = 150
@@ -348,7 +350,7 @@ def with_scores(documents: DataFrame, field: Field | None, column: str = "qualit
     names = [*documents.columns, column]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             own = pa.array(scores(strings(batch.column("text")), shared.value))
             yield pa.RecordBatch.from_arrays([*batch.columns, own], names=names)
 
