@@ -516,7 +516,7 @@ def rejected_rows(spark, folder):
 
 
 @query(
-    """SELECT COUNT(*) AS row_count, COUNT(*) FILTER (WHERE o_orderstatus IS DISTINCT FROM 'P') AS with_order_id,
+    """SELECT COUNT(*) AS row_count, COUNT(l_orderkey) FILTER (WHERE o_orderstatus IS DISTINCT FROM 'P') AS with_order_id,
        CAST(SUM(CASE WHEN l_quantity <= 40 THEN CAST(l_quantity AS BIGINT) END) AS BIGINT) AS units
 FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey"""
 )
