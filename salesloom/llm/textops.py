@@ -51,6 +51,8 @@ def slices(
             if first < batch.num_rows or size >= limit:
                 yield _joined(held)
                 held, size = [], 0
+                # What the slice took goes back to the machine: a worker lives through many tasks.
+                pa.default_memory_pool().release_unused()
     if held:
         yield _joined(held)
 
