@@ -10,9 +10,7 @@ every byte and the end of a text some mass: probabilities of all texts add up to
 A text is scored by the longest kept suffix of what came before each byte. The tree is a table
 and only the divergence test bounds it. Contexts travel once for each slice of documents they
 occur in, and those of the tree come back to the slice with their counts. A filter of fixed size
-tells most others apart before they travel; it never loses one of the tree. A tree that fits one
-process can also be made an automaton (`fit`), through which texts are walked in segments that
-start DEPTH bytes early to find their state, so a cut changes nothing.
+tells most others apart before they travel; it never loses one of the tree.
 
 Beside it stands a base score from word counts. Words travel in the same way, and come back
 with their count in the whole corpus.
@@ -20,11 +18,10 @@ with their count in the whole corpus.
 
 from __future__ import annotations
 
-import gc
 import math
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +29,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.llm.langid import held_out
-from salesloom.llm.lockstep import SEGMENT, Segments
 from salesloom.llm.substring import discard
 from salesloom.llm.textops import Words, as_signed, lower_ascii, mixed, slices, strings
 from salesloom.plans.session import work_dir
@@ -45,13 +41,15 @@ BACKOFF = 2.0
 #: Mass of a symbol never seen, in counts of the root.
 UNSEEN = 0.5
 
-END, START, PAD = 256, 257, 258
+END, START = 256, 257
 SYMBOLS = 257  # bytes and the end can come next
 BITS = 9
 SYMBOL = (1 << BITS) - 1
 KEY_BITS = 56  # a context's length stands above its codes
 #: Distinct grams that a task merges before it sends them on.
-MERGE = 1 << 20
+MERGE = 3 << 20
+#: Lengths of contexts that one pass over the texts counts.
+LEVELS = 2
 #: Bytes of text whose codes are held at once: each byte takes up to 40 bytes of arrays.
 CODE_BYTES = 2 << 20
 #: Bytes of text of a slice that contexts and words travel for.
@@ -89,183 +87,155 @@ def grams(codes: np.ndarray, bounds: np.ndarray, depth: int) -> np.ndarray:
     return packed
 
 
-def counted(training: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """gram, n: packed runs of depth + 1 codes in all texts of `training` (column text)."""
+def in_tree(grams_: np.ndarray, length: int, words: np.ndarray) -> np.ndarray:
+    """Whether the filter `words` may hold the last `length` codes of each run's context."""
+    at = _filter_places((length << KEY_BITS) | ((grams_ >> BITS) & ((1 << (BITS * length)) - 1)))
+    return (words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Each number once, with the sum of its counts."""
+    keys, places = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(places, weights=np.concatenate([n for _, n in parts])).astype(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
 
-        def merged():
-            keys, places = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-            return keys, np.bincount(places, weights=np.concatenate([n for _, n in held])).astype(np.int64)
+def counted(training: DataFrame, depth: int, known: int = 0, words=None) -> DataFrame:
+    """gram, n: packed runs of depth + 1 codes in the texts of `training` (text), merged in each task.
 
+    With a filter `words` (a broadcast), only runs whose context's last `known` codes pass it.
+    """
+    most = MERGE
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in slices(batches, "text", CODE_BYTES):
             codes, bounds = byte_codes(lower_ascii(strings(batch.column("text"))))
-            held.append(np.unique(grams(codes, bounds, depth), return_counts=True))
+            packed = grams(codes, bounds, depth)
+            if words is not None:
+                packed = packed[in_tree(packed, known, words.value)]
+            held.append(np.unique(packed, return_counts=True))
             size += len(held[-1][0])
-            if size > MERGE:
-                held, size = [merged()], 0
-                if len(held[0][0]) > MERGE // 2:
+            if size > most:
+                held = [merged(held)]
+                size = len(held[0][0])
+                if size > most // 2:
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop()], names=["gram", "n"])
+                    size = 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged()], names=["gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged(held)], names=["gram", "n"])
+
+    return training.select("text").mapInArrow(run, "gram long, n long")
+
+
+def extendable(gain: float) -> int:
+    """The count from which a context may have longer ones that gain `gain`; see `candidates`."""
+    return math.ceil(gain * math.e - 1e-6)
+
+
+CANDIDATES = "key long, passed boolean, next array<long>"
+
+
+def tested(counts: DataFrame, known: int, depth: int, gain: float) -> DataFrame:
+    """Contexts of more than `known` codes, up to `depth`, that pass the divergence test or can be extended.
 
-    parts = training.select("text").mapInArrow(run, "gram long, n long")
-    return parts.groupBy("gram").agg(F.sum("n").alias("n"))
+    counts: runs of depth + 1 codes. All runs whose contexts share their last `known` codes meet in one
+    task; there are 257 ** (depth - known + 1) at most, whatever the corpus. The empty context is among
+    the contexts where `known` is 0.
+    """
+    most = MERGE
+    group = F.shiftright("gram", BITS).bitwiseAND(F.lit((1 << (BITS * known)) - 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append([column.to_numpy() for column in batch.columns])
+            size += batch.num_rows
+            if size > most:
+                groups, grams_, counts_ = (np.concatenate(x) for x in zip(*held, strict=True))
+                whole = np.searchsorted(groups, groups[-1])  # the last group may go on
+                held, size = [[groups[whole:], grams_[whole:], counts_[whole:]]], 0
+                if whole:
+                    yield from candidates(grams_[:whole], counts_[:whole], known, depth, gain)
+        if held:
+            _, grams_, counts_ = (np.concatenate(x) for x in zip(*held, strict=True))
+            yield from candidates(grams_, counts_, known, depth, gain)
 
+    # Summed before they meet, so that a group has one row for each of its runs.
+    sums = counts.groupBy("gram").agg(F.sum("n").alias("n"))
+    rows = sums.select(group.alias("part"), "gram", "n").repartition("part").sortWithinPartitions("part")
+    return rows.mapInArrow(run, CANDIDATES)
 
-@dataclass(frozen=True)
-class Model:
-    width: int
-    #: Class of each code; codes never seen share one, the pad has the last.
-    classes: np.ndarray
-    #: Next state times width, and log10 of the probability, by state * width + class.
-    moves: np.ndarray
-    scores: np.ndarray
 
+def candidates(
+    grams_: np.ndarray, counts: np.ndarray, known: int, depth: int, gain: float
+) -> Iterator[pa.RecordBatch]:
+    """The rows of `tested` for whole groups of runs.
 
-def fit(spark: SparkSession, training: DataFrame, depth: int = DEPTH, gain: float = GAIN) -> Model:
-    """The tree of all texts in `training` (text). No text gives an even distribution."""
-    rows = learned(spark, training, depth, gain).select("key", F.explode("next").alias("run")).toArrow()
-    keys, runs = rows.column("key").to_numpy(), rows.column("run").to_numpy()
-    columns = {"length": keys >> KEY_BITS, "context": keys & ((1 << KEY_BITS) - 1), "symbol": runs & SYMBOL, "n": runs >> BITS}
-    root = {"length": 0, "context": 0, "symbol": END, "n": 0}
-    return built(pa.table({name: np.append(column, root[name]) for name, column in columns.items()}))
+    A context seen t times, its suffix S times, gains t * log(S / t) at most, which is S / e where t is
+    best: below gain * e, a context can't be extended.
+    """
+    order = np.argsort(grams_)
+    keys, n = grams_[order], counts[order]
+    for length in range(depth, known if known else -1, -1):
+        contexts, owner = np.unique(keys >> BITS, return_inverse=True)
+        totals = np.bincount(owner, weights=n)
+        passed = np.zeros(len(contexts), dtype=bool)
+        if length:
+            short, at = np.unique(keys & ((1 << (BITS * length)) - 1), return_inverse=True)
+            short_n = np.bincount(at, weights=n).astype(np.int64)
+            _, short_owner = np.unique(short >> BITS, return_inverse=True)
+            short_totals = np.bincount(short_owner, weights=short_n)
+            ratio = n * short_totals[short_owner[at]] / (totals[owner] * short_n[at])
+            passed = np.bincount(owner, weights=n * np.log(ratio)) >= gain
+        kept = passed | (totals >= extendable(gain)) if length else np.ones(len(contexts), dtype=bool)
+        chosen = kept[owner]  # runs are in the order of their contexts
+        ends = np.concatenate(([0], np.cumsum(np.bincount(owner)[kept])))
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array((n[chosen] << BITS) | (keys[chosen] & SYMBOL)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array((length << KEY_BITS) | contexts[kept]), pa.array(passed[kept]), lists],
+            names=["key", "passed", "next"],
+        )
+        if length:
+            keys, n = short, short_n
 
 
 def learned(spark: SparkSession, training: DataFrame, depth: int = DEPTH, gain: float = GAIN) -> DataFrame:
-    """key, next: the kept contexts (length << KEY_BITS | codes), each with its runs (n << BITS | symbol)."""
+    """key, next: the kept contexts (length << KEY_BITS | codes), each with its runs (n << BITS | symbol).
+
+    Contexts are counted from short to long, LEVELS lengths in one pass over the texts. A pass counts
+    only below contexts that can be extended: a filter of fixed size lets all of those through, and a
+    few others, which the test then drops. No text at all gives an empty tree.
+    """
     folder = work_dir(spark, "pst")
-    packed = {"compression": "zstd"}
-    # log(257) bounds the divergence, so contexts below this count gain too little.
-    least = max(1, math.ceil(gain / math.log(SYMBOLS)))
-    levels: dict[int, DataFrame] = {}
-    grams_ = counted(training, depth)
-    for length in range(depth, -1, -1):
-        grams_.write.options(**packed).parquet(f"{folder}/grams={length}")
-        grams_ = spark.read.schema("gram long, n long").parquet(f"{folder}/grams={length}")
-        # A context has SYMBOLS next symbols at most, so its list is bounded.
-        grouped = grams_.groupBy(F.shiftright("gram", BITS).alias("context")).agg(
-            F.sum("n").alias("total"),
-            F.collect_list(F.struct(F.col("gram").bitwiseAND(F.lit((1 << BITS) - 1)).alias("symbol"), "n")).alias("next"),
-        )
-        grouped.where(F.col("total") >= (least if length else 0)).write.options(**packed).parquet(f"{folder}/level={length}")
-        levels[length] = spark.read.schema(grouped.schema).parquet(f"{folder}/level={length}")
-        if length:  # marginals: the oldest code goes
-            mask = (1 << (BITS * length)) - 1
-            grams_ = grams_.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n"))
-    kept = None
-    for length in range(1, depth + 1):
-        mask = (1 << (BITS * (length - 1))) - 1
-        own = levels[length].withColumn("short", F.col("context").bitwiseAND(F.lit(mask)))
-        shorter = levels[length - 1].select(
-            F.col("context").alias("short"), F.col("total").alias("short_total"), F.map_from_entries("next").alias("shorter")
-        )
-        joined = own.join(shorter, "short")
-        gains = joined.select(F.lit(length).alias("length"), "context", _gain().alias("gain")).where(F.col("gain") >= gain)
-        kept = gains if kept is None else kept.unionByName(gains)
-    if kept is None:
-        kept = spark.createDataFrame([], "length int, context long, gain double")
-    # Kept contexts bring their suffixes along, the empty one among them.
-    one_key = lambda k, context: F.shiftleft(k.cast("long"), KEY_BITS).bitwiseOR(context)
+    known, words, parts = 0, None, []
+    for deepest in [*range(LEVELS, depth, LEVELS), depth]:
+        found = tested(counted(training, deepest, known, words), known, deepest, gain)
+        found.write.options(compression="zstd").parquet(f"{folder}/to={deepest}")
+        parts.append(spark.read.schema(CANDIDATES).parquet(f"{folder}/to={deepest}"))
+        if deepest < depth:
+            extended = F.aggregate("next", F.lit(0).cast("long"), lambda a, x: a + F.shiftright(x, BITS)) >= extendable(gain)
+            longest = parts[-1].where((F.shiftright("key", KEY_BITS) == deepest) & extended)
+            known, words = deepest, spark.sparkContext.broadcast(context_filter(longest))
+    rows = reduce(DataFrame.unionByName, parts)
+    # Kept contexts bring their suffixes along, the empty one among them: all can be extended.
+    length = F.shiftright("key", KEY_BITS)
     suffixes = F.transform(
-        F.sequence(F.lit(0), F.col("length")), lambda k: one_key(k, F.col("context").bitwiseAND(_mask(k, depth)))
+        F.sequence(F.lit(0).cast("long"), length),
+        lambda k: F.shiftleft(k, KEY_BITS).bitwiseOR(F.col("key").bitwiseAND(_mask(k, depth))),
     )
-    root = spark.range(1).select(F.lit(0).cast("long").alias("key"))
-    chosen = kept.select(F.explode(suffixes).alias("key")).unionByName(root).distinct()
-    chosen.write.options(**packed).parquet(f"{folder}/chosen")
-    chosen = spark.read.schema("key long").parquet(f"{folder}/chosen")
-    runs = F.transform("next", lambda x: F.shiftleft(x["n"], BITS).bitwiseOR(x["symbol"]))
-    rows = None
-    for length in range(depth + 1):
-        part = levels[length].select(F.col("context").bitwiseOR(F.lit(length << KEY_BITS)).alias("key"), runs.alias("next"))
-        here = chosen.where(F.shiftright("key", KEY_BITS) == length)
-        part = part.join(here, "key", "left_semi")
-        rows = part if rows is None else rows.unionByName(part)
-    rows.write.options(**packed).parquet(f"{folder}/tree")
-    for length in range(depth + 1):  # nothing reads them again
-        discard(spark, f"{folder}/grams={length}")
-        discard(spark, f"{folder}/level={length}")
+    chosen = rows.where("passed").select(F.explode(suffixes).alias("key"))
+    chosen = chosen.unionByName(spark.range(1).select(F.col("id").alias("key"))).distinct()
+    tree = rows.join(chosen, "key", "left_semi").select("key", "next")
+    tree.write.options(compression="zstd").parquet(f"{folder}/tree")
+    for deepest in [*range(LEVELS, depth, LEVELS), depth]:  # nothing reads them again
+        discard(spark, f"{folder}/to={deepest}")
     return spark.read.schema("key long, next array<long>").parquet(f"{folder}/tree")
 
 
 def _mask(length: Column, depth: int) -> Column:
     """The bits of the last `length` codes."""
     masks = F.array(*(F.lit((1 << (BITS * k)) - 1).cast("long") for k in range(depth + 1)))
-    return F.element_at(masks, length + 1)
-
-
-def _gain() -> Column:
-    """Nats by which the counts in `next` are likelier under their own distribution than the shorter one's."""
-
-    def nats(x: Column) -> Column:
-        ratio = x["n"] * F.col("short_total") / (F.col("total") * F.element_at("shorter", x["symbol"]))
-        return x["n"] * F.log(ratio)
-
-    return F.aggregate(F.transform("next", nats), F.lit(0.0), lambda a, b: a + b)
-
-
-def built(rows: pa.Table) -> Model:
-    """The automaton of the kept contexts (length, packed codes) and their counts."""
-    # Shorter contexts first, so that a state's suffix comes before it.
-    order = sorted(set(zip(rows.column("length").to_pylist(), rows.column("context").to_pylist(), strict=True)))
-    number = {state: k for k, state in enumerate(order)}
-    symbols = rows.column("symbol").to_numpy()
-    seen = np.union1d(symbols, [END, START]).astype(np.int64)
-    classes = np.full(PAD + 1, len(seen), dtype=np.int16)
-    classes[seen] = np.arange(len(seen))
-    classes[PAD] = len(seen) + 1
-    width = len(seen) + 2
-    one_key = lambda length, context: (np.asarray(length, dtype=np.int64) << 56) | context
-    keys = np.array([one_key(*state) for state in order], dtype=np.int64)
-    owners = np.searchsorted(keys, one_key(rows.column("length").to_numpy(), rows.column("context").to_numpy()))
-    # Counts become chances, and these their logarithms, in one array.
-    scores = np.zeros((len(order), width))
-    np.add.at(scores, (owners, classes[symbols]), rows.column("n").to_numpy())
-    moves = np.full((len(order), width), -1, dtype=np.int32)
-    # After symbol c a state s goes on to the longest kept suffix of (s, c): that is (s, c)
-    # itself where it is kept, else where the suffix of s goes.
-    for target, (length, context) in enumerate(order):
-        before = number.get((length - 1, context >> BITS)) if length else None
-        if before is not None:
-            moves[before, classes[context & ((1 << BITS) - 1)]] = target
-    for state, (length, context) in enumerate(order):
-        total = scores[state].sum()
-        if length == 0:
-            scores[state] = (scores[state] + UNSEEN) / (total + UNSEEN * SYMBOLS)
-            moves[state] = np.maximum(moves[state], 0)
-        else:
-            suffix = number[length - 1, context & ((1 << (BITS * (length - 1))) - 1)]
-            scores[state] = (scores[state] + BACKOFF * scores[suffix]) / (total + BACKOFF)
-            moves[state] = np.where(moves[state] >= 0, moves[state], moves[suffix])
-    moves[:, width - 1] = np.arange(len(order))
-    moves *= width
-    np.log10(scores, out=scores)
-    scores[:, classes[START]] = 0.0
-    scores[:, width - 1] = 0.0
-    return Model(width, classes, moves.ravel(), scores.ravel())
-
-
-def log10_probability(texts: pa.Array, model: Model, depth: int = DEPTH) -> np.ndarray:
-    """Of each text and its end, by the longest kept suffix of what came before each byte."""
-    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
-    parts = [_log10_probability(part.column("text"), model, depth) for part in slices([batch], "text", CODE_BYTES)]
-    return np.concatenate(parts) if parts else np.empty(0)
-
-
-def _log10_probability(texts: pa.Array, model: Model, depth: int) -> np.ndarray:
-    codes, bounds = byte_codes(texts)
-    segments = Segments(
-        model.classes[codes], bounds, pad=model.classes[PAD], lead=depth, start=model.classes[START], length=SEGMENT
-    )
-    at = np.zeros(segments.matrix.shape[1], dtype=np.int32)
-    total = np.zeros(segments.matrix.shape[1])
-    for step, row in enumerate(segments.matrix):
-        place = at + row
-        if step >= depth:
-            total += model.scores.take(place)
-        at = model.moves.take(place)
-    return segments.per_run(total)
+    return F.element_at(masks, (length + 1).cast("int"))
 
 
 def _filter_places(keys: np.ndarray) -> np.ndarray:
@@ -362,9 +332,10 @@ def sliced(documents: DataFrame, words) -> DataFrame:
     A word is known by a 64-bit hash of its bytes. Under 10**9 different words the chance that
     any two of them share one is below 3 %, and such a pair would add up their counts.
     """
+    most = SLICE_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", SLICE_BYTES):
+        for batch in slices(batches, "text", most):
             texts = lower_ascii(strings(batch.column("text")))
             own = Words(texts)
             held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
@@ -485,8 +456,6 @@ def score(spark: SparkSession, documents: DataFrame) -> DataFrame:
     rows = documents.select("doc_id", "text", held_out("doc_id", 5, 1).alias("held_out"))
     training = rows.where(~F.col("held_out"))
     tree = learned(spark, training)
-    gc.collect()  # drops the frames above, so that Spark's cleaner finds their shuffle files
-    spark.sparkContext._jvm.System.gc()
     words = spark.sparkContext.broadcast(context_filter(tree))  # 2 ** (FILTER_BITS - 3) bytes
     packed = {"compression": "zstd"}
     sliced(rows, words).write.options(**packed).parquet(f"{folder}/slices")

@@ -58,13 +58,9 @@ def brute_model(texts, states, depth):
     return counts, score
 
 
-def test_scores_equal_brute_force(shipped):
-    texts = ["the cat sat on the mat", "the dog sat", "", "a cat", "the cat and the dog on the mat"] * 3
-    frame = shipped.createDataFrame([(t,) for t in texts], "text string")
-    depth, gain = 3, 4.0
-    model = pst.fit(shipped, frame, depth, gain)
-    raw = [t.encode() for t in texts]
-    counts, _ = brute_model(raw, {()}, depth)
+def passing(texts, depth, gain):
+    """Contexts whose gain reaches `gain`, with their suffixes, by definition."""
+    counts, _ = brute_model(texts, {()}, depth)
     states = {()}
     for context, own in counts.items():
         if context:
@@ -72,22 +68,67 @@ def test_scores_equal_brute_force(shipped):
             gained = sum(n * math.log(n * short.total() / (own.total() * short[x])) for x, n in own.items())
             if gained >= gain:
                 states |= {context[k:] for k in range(len(context) + 1)}
-    assert len(states) > 20
-    _, score = brute_model(raw, states, depth)
+    return states
+
+
+class Tree:
+    """The rows of a tree on the driver, scored as a slice scores its own."""
+
+    def __init__(self, spark, training, depth=pst.DEPTH, gain=pst.GAIN):
+        rows = pst.learned(spark, training, depth, gain).collect()
+        self.depth = depth
+        self.keys = np.array([r["key"] for r in rows], dtype=np.int64)
+        self.owner = np.repeat(np.arange(len(rows)), [len(r["next"]) for r in rows])
+        self.runs = np.array([x for r in rows for x in r["next"]], dtype=np.int64)
+
+    def states(self):
+        codes = lambda key: key & ((1 << pst.KEY_BITS) - 1)
+        return {
+            tuple((codes(key) >> (pst.BITS * k)) & pst.SYMBOL for k in reversed(range(key >> pst.KEY_BITS)))
+            for key in self.keys.tolist()
+        }
+
+    def scores(self, texts):
+        found = []
+        for text in texts:
+            codes, bounds = pst.byte_codes(pa.array([text], pa.large_string()))
+            packed = pst.grams(codes, bounds, self.depth)
+            found.append(pst.run_scores(packed, self.keys, self.owner, self.runs, self.depth).sum())
+        return found
+
+
+def test_tree_and_scores_equal_brute_force(shipped, monkeypatch):
+    texts = ["the cat sat on the mat", "the dog sat", "", "a cat", "the cat and the dog on the mat"] * 3
+    frame = shipped.createDataFrame([(t,) for t in texts], "text string")
     asked = ["the cat sat", "dog", "", "zebra the mat!", "the dog sat on the cat " * 40, "é"]
-    found = pst.log10_probability(pa.array(asked, pa.large_string()), model, depth)
-    np.testing.assert_allclose(found, [score(t.encode()) for t in asked], rtol=1e-9)
+    raw = [t.encode() for t in texts]
+    for depth, gain, merge in ((3, 4.0, pst.MERGE), (5, 4.0, 10), (4, 0.5, 0), (1, 1.0, pst.MERGE)):
+        monkeypatch.setattr(pst, "MERGE", merge)
+        tree = Tree(shipped, frame, depth, gain)
+        states = passing(raw, depth, gain)
+        assert tree.states() == states and len(states) > 3
+        _, score = brute_model(raw, states, depth)
+        np.testing.assert_allclose(tree.scores(asked), [score(t.encode()) for t in asked], rtol=1e-9)
+
+
+def test_a_context_seen_three_times_is_kept_where_it_gains_enough(shipped):
+    """Three "qz!" among 10,000 "za": the context "qz" gains more than 20 nats."""
+    texts = ["za" * 10_000, "qz!", "qz!", "qz!"]
+    tree = Tree(shipped, shipped.createDataFrame([(t,) for t in texts], "text string"))
+    assert tuple(b"qz") in tree.states()
+    assert tree.states() == passing([t.encode() for t in texts], pst.DEPTH, pst.GAIN)
 
 
 def test_probabilities_add_up(shipped):
     frame = shipped.createDataFrame([("abab abba",), ("baab",)], "text string")
-    model = pst.fit(shipped, frame, 3, 0.5)
-    chances = 10 ** model.scores.reshape(-1, model.width)
-    seen = model.width - 3  # without START, the unseen class and the pad
-    unseen = pst.SYMBOLS - seen
-    columns = [k for k in range(model.width - 2) if k != model.classes[pst.START]]
-    total = chances[:, columns].sum(axis=1) + unseen * chances[:, model.width - 2]
-    np.testing.assert_allclose(total, 1.0, rtol=1e-9)
+    tree = Tree(shipped, frame, 3, 0.5)
+    for context in ([pst.START] * 3, list(b"aba"), list(b"bab"), list(b"xxx")):
+        packed = 0
+        for code in context:
+            packed = (packed << pst.BITS) | code
+        runs = (packed << pst.BITS) | np.arange(pst.SYMBOLS)
+        chances = 10 ** pst.run_scores(runs, tree.keys, tree.owner, tree.runs, 3)
+        np.testing.assert_allclose(chances.sum(), 1.0, rtol=1e-9)
 
 
 def test_contexts_help_on_held_out_texts(spark, sf_dir):
@@ -95,11 +136,11 @@ def test_contexts_help_on_held_out_texts(spark, sf_dir):
     from salesloom.llm.queries import table
 
     rows = table(spark, sf_dir, "documents").select("text", held_out("doc_id", 5, 1).alias("held"))
-    asked = pst.lower_ascii(pst.strings(rows.where("held").select("text").toArrow().column(0).combine_chunks()))
+    asked = pst.lower_ascii(pst.strings(rows.where("held").select("text").toArrow().column(0).combine_chunks())).to_pylist()
     training = rows.where("NOT held")
-    tree, root = pst.fit(spark, training), pst.fit(spark, training, gain=1e18)
-    assert len(asked) > 20
-    assert pst.log10_probability(asked, tree).sum() > 0.6 * pst.log10_probability(asked, root).sum()
+    tree, root = Tree(spark, training), Tree(spark, training, gain=1e18)
+    assert len(asked) > 20 and root.states() == {()}
+    assert sum(tree.scores(asked)) > 0.6 * sum(root.scores(asked))
 
 
 def test_empty_table(shipped):
@@ -110,21 +151,13 @@ def test_empty_table(shipped):
 
 def test_only_the_divergence_test_bounds_the_tree(shipped, monkeypatch):
     """Scores are those of all contexts that pass, also above a number that once was a cap."""
-    monkeypatch.setattr(pst, "MAX_CONTEXTS", 3, raising=False)
-    monkeypatch.setattr(pst, "SLICE_BYTES", 400, raising=False)
+    monkeypatch.setattr(pst, "SLICE_BYTES", 400)
     rows = [(k, frames.text(k % 7, 30) + (" the cat sat on the mat" * (k % 4))) for k in range(40)]
     rows += [(None, "The CAT"), (90, None), (91, "zebra é")]
     raw = lambda t: (t or "").lower().encode()
     held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1
     train = [raw(t) for i, t in rows if not held(i)]
-    counts, _ = brute_model(train, {()}, pst.DEPTH)
-    states = {()}
-    for context, own in counts.items():
-        if context:
-            short = counts[context[1:]]
-            gained = sum(n * math.log(n * short.total() / (own.total() * short[x])) for x, n in own.items())
-            if gained >= pst.GAIN:
-                states |= {context[k:] for k in range(len(context) + 1)}
+    states = passing(train, pst.DEPTH, pst.GAIN)
     assert len(states) > 20
     _, score = brute_model(train, states, pst.DEPTH)
     frame = shipped.createDataFrame(rows, "doc_id long, text string")
