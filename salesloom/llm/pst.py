@@ -8,8 +8,8 @@ A state's distribution is smoothed by the state one byte shorter, down to a root
 every byte and the end of a text some mass: probabilities of all texts add up to one.
 
 A text is scored by the longest kept suffix of what came before each byte. The tree is a table
-and only the divergence test bounds it. Contexts travel once for each slice of documents they
-occur in, and those of the tree come back to the slice with their counts. A filter of fixed size
+and only the divergence test bounds it. Contexts travel once for each part of the documents they
+occur in, and those of the tree come back to them with their counts. A filter of fixed size
 tells most others apart before they travel; it never loses one of the tree.
 
 Beside it stands a base score from word counts. Words travel in the same way, and come back
@@ -52,8 +52,10 @@ MERGE = 3 << 20
 LEVELS = 2
 #: Bytes of text whose codes are held at once: each byte takes up to 40 bytes of arrays.
 CODE_BYTES = 2 << 20
-#: Bytes of text of a slice that contexts and words travel for.
+#: Bytes of text of a slice, the unit that words travel for.
 SLICE_BYTES = 8 << 20
+#: Slices of a part, the unit that contexts travel for: most slices ask for much the same ones.
+PART_SLICES = 4
 #: Bits of the filter of contexts; more contexts let more others pass and lose none.
 FILTER_BITS = 26
 
@@ -76,20 +78,35 @@ def joined_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def grams(codes: np.ndarray, bounds: np.ndarray, depth: int) -> np.ndarray:
-    """A packed number for each code and the `depth` codes before it, START before a text."""
+    """A packed number for each code and the `depth` codes before it, START before a text.
+
+    The code just before stands highest, the code itself lowest: sorted numbers have equal contexts,
+    and contexts with equal ends, next to each other.
+    """
     texts = len(bounds) - 1
     padded = np.full(len(codes) + depth * texts, START, dtype=np.int64)
     places = np.arange(len(codes)) + depth * (np.repeat(np.arange(texts), np.diff(bounds)) + 1)
     padded[places] = codes
-    packed = np.zeros(len(codes), dtype=np.int64)
-    for back in range(depth, -1, -1):
-        packed = (packed << BITS) | padded[places - back]
-    return packed
+    packed = np.zeros(max(len(padded) - depth, 0), dtype=np.int64)
+    for back in [*range(1, depth + 1), 0]:
+        packed <<= BITS
+        packed |= padded[depth - back : len(padded) - back]
+    return packed[places - depth]
+
+
+def ends(packed: np.ndarray, length: int, depth: int = DEPTH) -> np.ndarray:
+    """The last `length` codes of each context of `packed` runs."""
+    return packed >> (BITS * (depth - length + 1))
 
 
-def in_tree(grams_: np.ndarray, length: int, words: np.ndarray) -> np.ndarray:
-    """Whether the filter `words` may hold the last `length` codes of each run's context."""
-    at = _filter_places((length << KEY_BITS) | ((grams_ >> BITS) & ((1 << (BITS * length)) - 1)))
+def first_of(values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.concatenate(([len(values) > 0], values[1:] != values[:-1])))
+
+
+def may_hold(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the filter `words` may hold each key."""
+    at = _filter_places(keys)
     return (words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
@@ -112,7 +129,7 @@ def counted(training: DataFrame, depth: int, known: int = 0, words=None) -> Data
             codes, bounds = byte_codes(lower_ascii(strings(batch.column("text"))))
             packed = grams(codes, bounds, depth)
             if words is not None:
-                packed = packed[in_tree(packed, known, words.value)]
+                packed = packed[may_hold(words.value, (known << KEY_BITS) | ends(packed, known, depth))]
             held.append(np.unique(packed, return_counts=True))
             size += len(held[-1][0])
             if size > most:
@@ -143,7 +160,7 @@ def tested(counts: DataFrame, known: int, depth: int, gain: float) -> DataFrame:
     the contexts where `known` is 0.
     """
     most = MERGE
-    group = F.shiftright("gram", BITS).bitwiseAND(F.lit((1 << (BITS * known)) - 1))
+    group = F.shiftright("gram", BITS * (depth - known + 1)) if known else F.lit(0).cast("long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -177,11 +194,15 @@ def candidates(
     order = np.argsort(grams_)
     keys, n = grams_[order], counts[order]
     for length in range(depth, known if known else -1, -1):
-        contexts, owner = np.unique(keys >> BITS, return_inverse=True)
+        whole = keys >> BITS
+        begins = first_of(whole)
+        contexts, sizes = whole[begins], np.diff(np.append(begins, len(keys)))
+        owner = np.repeat(np.arange(len(contexts)), sizes)
         totals = np.bincount(owner, weights=n)
         passed = np.zeros(len(contexts), dtype=bool)
         if length:
-            short, at = np.unique(keys & ((1 << (BITS * length)) - 1), return_inverse=True)
+            without_oldest = ((whole >> BITS) << BITS) | (keys & SYMBOL)
+            short, at = np.unique(without_oldest, return_inverse=True)
             short_n = np.bincount(at, weights=n).astype(np.int64)
             _, short_owner = np.unique(short >> BITS, return_inverse=True)
             short_totals = np.bincount(short_owner, weights=short_n)
@@ -189,8 +210,8 @@ def candidates(
             passed = np.bincount(owner, weights=n * np.log(ratio)) >= gain
         kept = passed | (totals >= extendable(gain)) if length else np.ones(len(contexts), dtype=bool)
         chosen = kept[owner]  # runs are in the order of their contexts
-        ends = np.concatenate(([0], np.cumsum(np.bincount(owner)[kept])))
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array((n[chosen] << BITS) | (keys[chosen] & SYMBOL)))
+        bounds = np.concatenate(([0], np.cumsum(sizes[kept])))
+        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array((n[chosen] << BITS) | (keys[chosen] & SYMBOL)))
         yield pa.RecordBatch.from_arrays(
             [pa.array((length << KEY_BITS) | contexts[kept]), pa.array(passed[kept]), lists],
             names=["key", "passed", "next"],
@@ -218,10 +239,12 @@ def learned(spark: SparkSession, training: DataFrame, depth: int = DEPTH, gain:
             known, words = deepest, spark.sparkContext.broadcast(context_filter(longest))
     rows = reduce(DataFrame.unionByName, parts)
     # Kept contexts bring their suffixes along, the empty one among them: all can be extended.
+    # The oldest code stands lowest.
     length = F.shiftright("key", KEY_BITS)
+    codes = F.col("key").bitwiseAND(F.lit((1 << KEY_BITS) - 1))
     suffixes = F.transform(
         F.sequence(F.lit(0).cast("long"), length),
-        lambda k: F.shiftleft(k, KEY_BITS).bitwiseOR(F.col("key").bitwiseAND(_mask(k, depth))),
+        lambda k: F.shiftleft(k, KEY_BITS).bitwiseOR(F.call_function("shiftright", codes, (BITS * (length - k)).cast("int"))),
     )
     chosen = rows.where("passed").select(F.explode(suffixes).alias("key"))
     chosen = chosen.unionByName(spark.range(1).select(F.col("id").alias("key"))).distinct()
@@ -232,12 +255,6 @@ def learned(spark: SparkSession, training: DataFrame, depth: int = DEPTH, gain:
     return spark.read.schema("key long, next array<long>").parquet(f"{folder}/tree")
 
 
-def _mask(length: Column, depth: int) -> Column:
-    """The bits of the last `length` codes."""
-    masks = F.array(*(F.lit((1 << (BITS * k)) - 1).cast("long") for k in range(depth + 1)))
-    return F.element_at(masks, (length + 1).cast("int"))
-
-
 def _filter_places(keys: np.ndarray) -> np.ndarray:
     return (mixed(keys) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
@@ -263,14 +280,15 @@ def context_filter(tree: DataFrame) -> np.ndarray:
 
 def tree_contexts(packed: np.ndarray, words: np.ndarray, depth: int = DEPTH) -> np.ndarray:
     """Keys of the contexts in `packed` runs that may be in the tree, each once."""
-    alive = np.unique(packed >> BITS)
+    alive = np.sort(packed >> BITS)
+    alive = alive[first_of(alive)]
     found = [np.zeros(1, dtype=np.int64)]
     for length in range(1, depth + 1):  # a context stands in the tree only with its suffixes
-        keys = (length << KEY_BITS) | (alive & ((1 << (BITS * length)) - 1))
-        at = _filter_places(keys)
-        passed = (words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
-        alive = alive[passed]
-        found.append(np.unique(keys[passed]))
+        keys = (length << KEY_BITS) | (alive >> (BITS * (depth - length)))
+        begins = first_of(keys)
+        passed = may_hold(words, keys[begins])
+        found.append(keys[begins][passed])
+        alive = alive[np.repeat(passed, np.diff(np.append(begins, len(keys))))]
     return np.concatenate(found)
 
 
@@ -281,43 +299,73 @@ def _gram_parts(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield grams(codes, bounds, DEPTH), bounds
 
 
-def run_scores(packed: np.ndarray, keys: np.ndarray, owner: np.ndarray, runs: np.ndarray, depth: int = DEPTH) -> np.ndarray:
-    """log10 of the probability of each of `packed` runs.
+class Nodes:
+    """Contexts of the tree with their suffixes, and the chance of each symbol that followed them.
 
-    keys: contexts of the tree, all that occur in `packed`; runs: n << BITS | symbol of the context keys[owner].
+    keys; runs: n << BITS | symbol of the context keys[owner].
     """
-    if not (keys == 0).any():  # nothing was learned
-        keys = np.append(keys, 0)
-    order = np.argsort(keys)
-    rank = np.empty(len(order), dtype=np.int64)
-    rank[order] = np.arange(len(order))
-    keys, owner = keys[order], rank[owner]
-    counts = (runs >> BITS).astype(float)
-    totals = np.bincount(owner, weights=counts, minlength=len(keys))
-    pairs = (owner << BITS) | (runs & SYMBOL)
-    order = np.argsort(pairs)
-    pairs, counts = np.append(pairs[order], np.iinfo(np.int64).max), np.append(counts[order], 0.0)
-
-    def count(at: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        wanted = (at << BITS) | symbols
-        place = np.searchsorted(pairs, wanted)
-        return np.where(pairs[place] == wanted, counts[place], 0.0)
 
+    def __init__(self, keys: np.ndarray, owner: np.ndarray, runs: np.ndarray):
+        if not (keys == 0).any():  # nothing was learned
+            keys = np.append(keys, 0)
+        order = np.argsort(keys)
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        self.keys = keys[order]
+        pairs = (rank[owner] << BITS) | (runs & SYMBOL)
+        order = np.argsort(pairs)
+        pairs, counts = pairs[order], (runs[order] >> BITS).astype(float)
+        owner, symbols = pairs >> BITS, pairs & SYMBOL
+        totals = np.bincount(owner, weights=counts, minlength=len(keys))
+        lengths = self.keys >> KEY_BITS
+        codes = self.keys & ((1 << KEY_BITS) - 1)
+        shorter = np.maximum(lengths - 1, 0) << KEY_BITS | codes >> BITS  # the oldest code stands lowest
+        self.suffix = np.searchsorted(self.keys, shorter)
+        self.left = BACKOFF / (totals + BACKOFF)  # what a context leaves to its suffix
+        self.never = UNSEEN / (totals[0] + UNSEEN * SYMBOLS)
+        self.pairs = np.append(pairs, np.iinfo(np.int64).max)
+        self.chances = np.zeros(len(self.pairs))
+        edges = np.searchsorted(owner, np.searchsorted(lengths, np.arange(lengths[-1] + 2)))
+        self.chances[: edges[1]] = (counts[: edges[1]] + UNSEEN) / (totals[0] + UNSEEN * SYMBOLS)
+        for first, last in zip(edges[1:], edges[2:], strict=False):  # shorter contexts are done
+            at = owner[first:last]
+            below = self.chances[np.searchsorted(pairs, (self.suffix[at] << BITS) | symbols[first:last])]
+            self.chances[first:last] = (counts[first:last] + BACKOFF * below) / (totals[at] + BACKOFF)
+
+    def chance(self, at: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """Of each symbol after the context keys[at]."""
+        out = np.full(len(at), self.never)
+        left, open_ = np.ones(len(at)), np.arange(len(at))
+        while len(open_):
+            wanted = (at << BITS) | symbols[open_]
+            place = np.searchsorted(self.pairs, wanted)
+            found = self.pairs[place] == wanted
+            out[open_[found]] = self.chances[place[found]]
+            open_, at = open_[~found], at[~found]
+            deep = at > 0  # the root has no suffix
+            open_, at = open_[deep], at[deep]
+            left[open_] *= self.left[at]
+            at = self.suffix[at]
+        return out * left
+
+
+def run_scores(packed: np.ndarray, nodes: Nodes, depth: int = DEPTH) -> np.ndarray:
+    """log10 of the probability of each of `packed` runs; `nodes` holds all of their contexts in the tree."""
     own, places = np.unique(packed, return_inverse=True)
-    symbols = own & SYMBOL
-    chance = (count(np.zeros(len(own), dtype=np.int64), symbols) + UNSEEN) / (totals[0] + UNSEEN * SYMBOLS)
-    alive = np.arange(len(own))
+    begins = first_of(own >> BITS)
+    contexts, sizes = own[begins], np.diff(np.append(begins, len(own)))
+    longest, alive = np.zeros(len(contexts), dtype=np.int64), np.arange(len(contexts))
     for length in range(1, depth + 1):
-        wanted = (length << KEY_BITS) | ((own[alive] >> BITS) & ((1 << (BITS * length)) - 1))
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        there = keys[at] == wanted
-        alive, at = alive[there], at[there]
-        chance[alive] = (count(at, symbols[alive]) + BACKOFF * chance[alive]) / (totals[at] + BACKOFF)
-    return np.log10(chance)[places]
+        wanted = (length << KEY_BITS) | ends(contexts[alive], length, depth)
+        at = np.minimum(np.searchsorted(nodes.keys, wanted), len(nodes.keys) - 1)
+        there = nodes.keys[at] == wanted
+        alive = alive[there]
+        longest[alive] = at[there]
+    return np.log10(nodes.chance(np.repeat(longest, sizes), own & SYMBOL))[places]
 
 
 SLICES = (
-    "slice long, doc_ids binary, id_known binary, held_out binary, texts binary, offsets binary, "
+    "part long, slice long, doc_ids binary, id_known binary, held_out binary, texts binary, offsets binary, "
     "vocabulary binary, train_counts binary, contexts binary"
 )
 RESULT = (
@@ -327,14 +375,27 @@ RESULT = (
 
 
 def sliced(documents: DataFrame, words) -> DataFrame:
-    """One row for each slice of documents: texts, vocabulary as hashes, contexts that pass the filter.
+    """One row for each slice of documents: texts, vocabulary as hashes; and one for each part, of
+    PART_SLICES slices: contexts that pass the filter.
 
     A word is known by a 64-bit hash of its bytes. Under 10**9 different words the chance that
     any two of them share one is below 3 %, and such a pair would add up their counts.
     """
-    most = SLICE_BYTES
+    most, together = SLICE_BYTES, PART_SLICES
+    names = [field.split()[0] for field in SLICES.split(", ")]
+    new_name = lambda: uuid.uuid4().int >> 65
+
+    def row(**values) -> pa.RecordBatch:
+        arrays = [
+            pa.array([values.get(name)], pa.int64())
+            if name in ("part", "slice")
+            else pa.array([values[name].tobytes() if name in values else None], pa.binary())
+            for name in names
+        ]
+        return pa.RecordBatch.from_arrays(arrays, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held_contexts, count = new_name(), np.empty(0, dtype=np.int64), 0
         for batch in slices(batches, "text", most):
             texts = lower_ascii(strings(batch.column("text")))
             own = Words(texts)
@@ -342,20 +403,24 @@ def sliced(documents: DataFrame, words) -> DataFrame:
             trains = np.repeat(~held, own.counts)
             doc_ids = batch.column("doc_id")
             raw, offsets = joined_bytes(texts)
-            columns = [
-                doc_ids.fill_null(0).to_numpy(),
-                doc_ids.is_valid().to_numpy(zero_copy_only=False),
-                held,
-                raw,
-                offsets,
-                own.vocabulary_hashes(),
-                np.bincount(own.ids[trains], minlength=len(own.vocabulary)).astype(np.int64),
-                np.unique(np.concatenate([tree_contexts(part, words.value) for part, _ in _gram_parts(texts)])),
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([uuid.uuid4().int >> 65]), *(pa.array([c.tobytes()], pa.binary()) for c in columns)],
-                names=[field.split()[0] for field in SLICES.split(", ")],
+            yield row(
+                part=part,
+                slice=new_name(),
+                doc_ids=doc_ids.fill_null(0).to_numpy(),
+                id_known=doc_ids.is_valid().to_numpy(zero_copy_only=False),
+                held_out=held,
+                texts=raw,
+                offsets=offsets,
+                vocabulary=own.vocabulary_hashes(),
+                train_counts=np.bincount(own.ids[trains], minlength=len(own.vocabulary)).astype(np.int64),
             )
+            found = [tree_contexts(packed, words.value) for packed, _ in _gram_parts(texts)]
+            held_contexts, count = np.unique(np.concatenate([held_contexts, *found])), count + 1
+            if count == together:
+                yield row(part=part, contexts=held_contexts)
+                part, held_contexts, count = new_name(), np.empty(0, dtype=np.int64), 0
+        if count:
+            yield row(part=part, contexts=held_contexts)
 
     return documents.select(F.col("doc_id").cast("long"), "held_out", "text").mapInArrow(run, SLICES)
 
@@ -372,19 +437,19 @@ def word_uses(parts: DataFrame) -> DataFrame:
                     names=["slice", "word", "n"],
                 )
 
-    return parts.select("slice", "vocabulary", "train_counts").mapInArrow(run, "slice long, word long, n long")
+    return parts.where("texts IS NOT NULL").select("slice", "vocabulary", "train_counts").mapInArrow(run, "slice long, word long, n long")
 
 
 def context_uses(parts: DataFrame) -> DataFrame:
-    """slice, key: each context of each slice once."""
+    """part, key: each context of each part once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, keys in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 keys = np.frombuffer(keys, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), name)), pa.array(keys)], names=["slice", "key"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), name)), pa.array(keys)], names=["part", "key"])
 
-    return parts.select("slice", "contexts").mapInArrow(run, "slice long, key long")
+    return parts.where("contexts IS NOT NULL").select("part", "contexts").mapInArrow(run, "part long, key long")
 
 
 def scored(parts: DataFrame, known: DataFrame, tree: DataFrame, texts: int, words: int, distinct: int) -> DataFrame:
@@ -409,12 +474,14 @@ def scored(parts: DataFrame, known: DataFrame, tree: DataFrame, texts: int, word
                     order = np.argsort(own)
                     found = pairs.field("word").to_numpy()
                     counts[order[np.searchsorted(own, found, sorter=order)]] = pairs.field("c").to_numpy()
-                nodes, tree = raw["nodes"].values, [np.empty(0, dtype=np.int64)] * 3
-                if nodes is not None:
-                    following = nodes.field("next")
-                    owner = np.repeat(np.arange(len(nodes)), following.value_lengths().to_numpy())
-                    tree = [nodes.field("key").to_numpy(), owner, following.flatten().to_numpy()]
-                scores = [_run_sums(run_scores(part, *tree), ends) for part, ends in _gram_parts(lines)]
+                tree = [np.empty(0, dtype=np.int64)] * 3
+                if raw["nodes"].is_valid:
+                    found = raw["nodes"].values
+                    following = found.field("next")
+                    owner = np.repeat(np.arange(len(found)), following.value_lengths().to_numpy())
+                    tree = [found.field("key").to_numpy(), owner, following.flatten().to_numpy()]
+                nodes = Nodes(*tree)
+                scores = [_run_sums(run_scores(packed, nodes), ends_) for packed, ends_ in _gram_parts(lines)]
                 below = np.log10(tokens + 0.5 * (types + 1))
                 value = np.append(np.log10(counts + 0.5) - below, 0.0)
                 seen = np.append(counts > 0, False)
@@ -433,8 +500,9 @@ def scored(parts: DataFrame, known: DataFrame, tree: DataFrame, texts: int, word
                     names=[field.split()[0] for field in RESULT.split(", ")],
                 )
 
-    joined = parts.select("slice", "doc_ids", "id_known", "held_out", "texts", "offsets", "vocabulary")
-    joined = joined.join(known, "slice", "left").join(tree, "slice", "left")
+    joined = parts.where("texts IS NOT NULL")
+    joined = joined.select("part", "slice", "doc_ids", "id_known", "held_out", "texts", "offsets", "vocabulary")
+    joined = joined.join(known, "slice", "left").join(tree, "part", "left").drop("part")
     return joined.mapInArrow(run, RESULT)
 
 
@@ -470,9 +538,9 @@ def score(spark: SparkSession, documents: DataFrame) -> DataFrame:
         .groupBy("slice")
         .agg(F.collect_list(F.struct("word", "c")).alias("known"))
     )
-    # A context has one row a slice at most, too.
+    # A context has one row a part at most, too.
     nodes = (
-        context_uses(parts).join(tree, "key").groupBy("slice").agg(F.collect_list(F.struct("key", "next")).alias("nodes"))
+        context_uses(parts).join(tree, "key").groupBy("part").agg(F.collect_list(F.struct("key", "next")).alias("nodes"))
     )
     size = totals.agg(F.count("*").alias("distinct"), F.coalesce(F.sum("c"), F.lit(0)).alias("words")).first()
     return scored(parts, known, nodes, training.count(), int(size["words"]), int(size["distinct"]))

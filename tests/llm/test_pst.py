@@ -78,13 +78,13 @@ class Tree:
         rows = pst.learned(spark, training, depth, gain).collect()
         self.depth = depth
         self.keys = np.array([r["key"] for r in rows], dtype=np.int64)
-        self.owner = np.repeat(np.arange(len(rows)), [len(r["next"]) for r in rows])
-        self.runs = np.array([x for r in rows for x in r["next"]], dtype=np.int64)
+        owner = np.repeat(np.arange(len(rows)), [len(r["next"]) for r in rows])
+        self.nodes = pst.Nodes(self.keys, owner, np.array([x for r in rows for x in r["next"]], dtype=np.int64))
 
     def states(self):
         codes = lambda key: key & ((1 << pst.KEY_BITS) - 1)
         return {
-            tuple((codes(key) >> (pst.BITS * k)) & pst.SYMBOL for k in reversed(range(key >> pst.KEY_BITS)))
+            tuple((codes(key) >> (pst.BITS * k)) & pst.SYMBOL for k in range(key >> pst.KEY_BITS))
             for key in self.keys.tolist()
         }
 
@@ -93,7 +93,7 @@ class Tree:
         for text in texts:
             codes, bounds = pst.byte_codes(pa.array([text], pa.large_string()))
             packed = pst.grams(codes, bounds, self.depth)
-            found.append(pst.run_scores(packed, self.keys, self.owner, self.runs, self.depth).sum())
+            found.append(pst.run_scores(packed, self.nodes, self.depth).sum())
         return found
 
 
@@ -124,10 +124,10 @@ def test_probabilities_add_up(shipped):
     tree = Tree(shipped, frame, 3, 0.5)
     for context in ([pst.START] * 3, list(b"aba"), list(b"bab"), list(b"xxx")):
         packed = 0
-        for code in context:
+        for code in reversed(context):
             packed = (packed << pst.BITS) | code
         runs = (packed << pst.BITS) | np.arange(pst.SYMBOLS)
-        chances = 10 ** pst.run_scores(runs, tree.keys, tree.owner, tree.runs, 3)
+        chances = 10 ** pst.run_scores(runs, tree.nodes, 3)
         np.testing.assert_allclose(chances.sum(), 1.0, rtol=1e-9)
 
 
@@ -152,6 +152,7 @@ def test_empty_table(shipped):
 def test_only_the_divergence_test_bounds_the_tree(shipped, monkeypatch):
     """Scores are those of all contexts that pass, also above a number that once was a cap."""
     monkeypatch.setattr(pst, "SLICE_BYTES", 400)
+    monkeypatch.setattr(pst, "PART_SLICES", 2)
     rows = [(k, frames.text(k % 7, 30) + (" the cat sat on the mat" * (k % 4))) for k in range(40)]
     rows += [(None, "The CAT"), (90, None), (91, "zebra é")]
     raw = lambda t: (t or "").lower().encode()
