@@ -25,7 +25,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesloom.llm.langid import held_out
@@ -220,6 +220,18 @@ def candidates(
             keys, n = short, short_n
 
 
+def stored(rows: DataFrame, path: str) -> DataFrame:
+    """The rows, written and read again; what was shuffled for them is deleted once they are written."""
+    conf, name = rows.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name)
+    conf.set(name, "true")
+    try:
+        rows.write.options(compression="zstd").parquet(path)
+    finally:
+        conf.set(name, before)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def learned(spark: SparkSession, training: DataFrame, depth: int = DEPTH, gain: float = GAIN) -> DataFrame:
     """key, next: the kept contexts (length << KEY_BITS | codes), each with its runs (n << BITS | symbol).
 
@@ -231,8 +243,7 @@ def learned(spark: SparkSession, training: DataFrame, depth: int = DEPTH, gain:
     known, words, parts = 0, None, []
     for deepest in [*range(LEVELS, depth, LEVELS), depth]:
         found = tested(counted(training, deepest, known, words), known, deepest, gain)
-        found.write.options(compression="zstd").parquet(f"{folder}/to={deepest}")
-        parts.append(spark.read.schema(CANDIDATES).parquet(f"{folder}/to={deepest}"))
+        parts.append(stored(found, f"{folder}/to={deepest}"))
         if deepest < depth:
             extended = F.aggregate("next", F.lit(0).cast("long"), lambda a, x: a + F.shiftright(x, BITS)) >= extendable(gain)
             longest = parts[-1].where((F.shiftright("key", KEY_BITS) == deepest) & extended)
@@ -248,11 +259,10 @@ def learned(spark: SparkSession, training: DataFrame, depth: int = DEPTH, gain:
     )
     chosen = rows.where("passed").select(F.explode(suffixes).alias("key"))
     chosen = chosen.unionByName(spark.range(1).select(F.col("id").alias("key"))).distinct()
-    tree = rows.join(chosen, "key", "left_semi").select("key", "next")
-    tree.write.options(compression="zstd").parquet(f"{folder}/tree")
+    tree = stored(rows.join(chosen, "key", "left_semi").select("key", "next"), f"{folder}/tree")
     for deepest in [*range(LEVELS, depth, LEVELS), depth]:  # nothing reads them again
         discard(spark, f"{folder}/to={deepest}")
-    return spark.read.schema("key long, next array<long>").parquet(f"{folder}/tree")
+    return tree
 
 
 def _filter_places(keys: np.ndarray) -> np.ndarray:
@@ -365,7 +375,7 @@ def run_scores(packed: np.ndarray, nodes: Nodes, depth: int = DEPTH) -> np.ndarr
 
 
 SLICES = (
-    "part long, slice long, doc_ids binary, id_known binary, held_out binary, texts binary, offsets binary, "
+    "part long, doc_ids binary, id_known binary, held_out binary, texts binary, offsets binary, "
     "vocabulary binary, train_counts binary, contexts binary"
 )
 RESULT = (
@@ -375,8 +385,8 @@ RESULT = (
 
 
 def sliced(documents: DataFrame, words) -> DataFrame:
-    """One row for each slice of documents: texts, vocabulary as hashes; and one for each part, of
-    PART_SLICES slices: contexts that pass the filter.
+    """One row for each slice of documents: texts and vocabulary, as hashes; and one for each part, of
+    PART_SLICES slices: vocabulary with counts in training texts, and contexts that pass the filter.
 
     A word is known by a 64-bit hash of its bytes. Under 10**9 different words the chance that
     any two of them share one is below 3 %, and such a pair would add up their counts.
@@ -385,17 +395,16 @@ def sliced(documents: DataFrame, words) -> DataFrame:
     names = [field.split()[0] for field in SLICES.split(", ")]
     new_name = lambda: uuid.uuid4().int >> 65
 
-    def row(**values) -> pa.RecordBatch:
-        arrays = [
-            pa.array([values.get(name)], pa.int64())
-            if name in ("part", "slice")
-            else pa.array([values[name].tobytes() if name in values else None], pa.binary())
-            for name in names
-        ]
-        return pa.RecordBatch.from_arrays(arrays, names=names)
+    def row(part: int, **values) -> pa.RecordBatch:
+        binary = [pa.array([bytes(values[name]) if name in values else None], pa.binary()) for name in names[1:]]
+        return pa.RecordBatch.from_arrays([pa.array([part]), *binary], names=names)
+
+    def whole(part: int, vocabularies: list, contexts: list) -> pa.RecordBatch:
+        words_, counts = merged(vocabularies)
+        return row(part, vocabulary=words_.data, train_counts=counts.data, contexts=np.unique(np.concatenate(contexts)).data)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held_contexts, count = new_name(), np.empty(0, dtype=np.int64), 0
+        part, vocabularies, contexts = new_name(), [], []
         for batch in slices(batches, "text", most):
             texts = lower_ascii(strings(batch.column("text")))
             own = Words(texts)
@@ -403,57 +412,53 @@ def sliced(documents: DataFrame, words) -> DataFrame:
             trains = np.repeat(~held, own.counts)
             doc_ids = batch.column("doc_id")
             raw, offsets = joined_bytes(texts)
+            hashes = as_signed(own.vocabulary_hashes())
             yield row(
-                part=part,
-                slice=new_name(),
+                part,
                 doc_ids=doc_ids.fill_null(0).to_numpy(),
                 id_known=doc_ids.is_valid().to_numpy(zero_copy_only=False),
                 held_out=held,
-                texts=raw,
+                texts=pa.compress(raw, "zstd"),  # it travels once
                 offsets=offsets,
-                vocabulary=own.vocabulary_hashes(),
-                train_counts=np.bincount(own.ids[trains], minlength=len(own.vocabulary)).astype(np.int64),
+                vocabulary=hashes,
             )
-            found = [tree_contexts(packed, words.value) for packed, _ in _gram_parts(texts)]
-            held_contexts, count = np.unique(np.concatenate([held_contexts, *found])), count + 1
-            if count == together:
-                yield row(part=part, contexts=held_contexts)
-                part, held_contexts, count = new_name(), np.empty(0, dtype=np.int64), 0
-        if count:
-            yield row(part=part, contexts=held_contexts)
+            vocabularies.append((hashes, np.bincount(own.ids[trains], minlength=len(own.vocabulary))))
+            contexts.append(np.concatenate([tree_contexts(packed, words.value) for packed, _ in _gram_parts(texts)]))
+            if len(contexts) == together:
+                yield whole(part, vocabularies, contexts)
+                part, vocabularies, contexts = new_name(), [], []
+        if contexts:
+            yield whole(part, vocabularies, contexts)
 
     return documents.select(F.col("doc_id").cast("long"), "held_out", "text").mapInArrow(run, SLICES)
 
 
 def word_uses(parts: DataFrame) -> DataFrame:
-    """slice, word, n: each word of each slice once, with its training count there."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, words, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words, counts = np.frombuffer(words, dtype=np.int64), np.frombuffer(counts, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name]).take(pa.array(np.zeros(len(words), dtype=np.int8))), pa.array(words), pa.array(counts)],
-                    names=["slice", "word", "n"],
-                )
-
-    return parts.where("texts IS NOT NULL").select("slice", "vocabulary", "train_counts").mapInArrow(run, "slice long, word long, n long")
+    """part, word, n: each word of each part once, with its training count there."""
+    rows = parts.where("contexts IS NOT NULL").select("part", "vocabulary", "train_counts")
+    return _unpacked(rows, ["part", "word", "n"])
 
 
 def context_uses(parts: DataFrame) -> DataFrame:
     """part, key: each context of each part once."""
+    return _unpacked(parts.where("contexts IS NOT NULL").select("part", "contexts"), ["part", "key"])
+
+
+def _unpacked(parts: DataFrame, names: list[str]) -> DataFrame:
+    """The first column with each number of the others, which are packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, keys in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                keys = np.frombuffer(keys, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), name)), pa.array(keys)], names=["part", "key"])
+            for part, *packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                columns = [np.frombuffer(x, dtype=np.int64) for x in packed]
+                arrays = [np.full(len(columns[0]), part), *columns]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=names)
 
-    return parts.where("contexts IS NOT NULL").select("part", "contexts").mapInArrow(run, "part long, key long")
+    return parts.mapInArrow(run, ", ".join(f"{name} long" for name in names))
 
 
 def scored(parts: DataFrame, known: DataFrame, tree: DataFrame, texts: int, words: int, distinct: int) -> DataFrame:
-    """The result rows of all slices, with the corpus counts of their own words and contexts beside them."""
+    """The result rows of all slices, with the corpus counts of the words and contexts of their parts beside them."""
     tokens, types = words + texts, distinct + (texts > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -463,17 +468,17 @@ def scored(parts: DataFrame, known: DataFrame, tree: DataFrame, texts: int, word
                 array = lambda name, kind: np.frombuffer(raw[name].as_buffer(), dtype=kind)  # noqa: B023, E731
                 doc_ids, held = array("doc_ids", np.int64), array("held_out", bool)
                 offsets, own = array("offsets", np.int64), array("vocabulary", np.int64)
-                lines = pa.Array.from_buffers(
-                    pa.large_string(), len(held), [None, pa.py_buffer(offsets), raw["texts"].as_buffer()]
-                )
+                text = pa.decompress(raw["texts"].as_buffer(), int(offsets[-1]), "zstd")
+                lines = pa.Array.from_buffers(pa.large_string(), len(held), [None, pa.py_buffer(offsets), text])
                 split = Words(lines)  # the same numbers as when the vocabulary was written
                 bounds, ids = split.bounds, split.ids
                 counts = np.zeros(len(own), dtype=np.int64)
                 if raw["known"].is_valid:
                     pairs = raw["known"].values
-                    order = np.argsort(own)
                     found = pairs.field("word").to_numpy()
-                    counts[order[np.searchsorted(own, found, sorter=order)]] = pairs.field("c").to_numpy()
+                    order = np.argsort(found)
+                    at = order[np.minimum(np.searchsorted(found, own, sorter=order), len(found) - 1)]
+                    counts = np.where(found[at] == own, pairs.field("c").to_numpy()[at], 0)
                 tree = [np.empty(0, dtype=np.int64)] * 3
                 if raw["nodes"].is_valid:
                     found = raw["nodes"].values
@@ -501,8 +506,8 @@ def scored(parts: DataFrame, known: DataFrame, tree: DataFrame, texts: int, word
                 )
 
     joined = parts.where("texts IS NOT NULL")
-    joined = joined.select("part", "slice", "doc_ids", "id_known", "held_out", "texts", "offsets", "vocabulary")
-    joined = joined.join(known, "slice", "left").join(tree, "part", "left").drop("part")
+    joined = joined.select("part", "doc_ids", "id_known", "held_out", "texts", "offsets", "vocabulary")
+    joined = joined.join(known, "part", "left").join(tree, "part", "left")
     return joined.mapInArrow(run, RESULT)
 
 
@@ -525,22 +530,15 @@ def score(spark: SparkSession, documents: DataFrame) -> DataFrame:
     training = rows.where(~F.col("held_out"))
     tree = learned(spark, training)
     words = spark.sparkContext.broadcast(context_filter(tree))  # 2 ** (FILTER_BITS - 3) bytes
-    packed = {"compression": "zstd"}
-    sliced(rows, words).write.options(**packed).parquet(f"{folder}/slices")
-    parts = spark.read.schema(SLICES).parquet(f"{folder}/slices")
-    uses = word_uses(parts)
-    # A word has one row a slice at most, so even the most frequent one is a small share.
-    uses.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")).write.options(**packed).parquet(f"{folder}/totals")
-    totals = spark.read.schema("word long, c long").parquet(f"{folder}/totals")
-    known = (
-        uses.select("slice", "word")
-        .join(totals, "word")
-        .groupBy("slice")
-        .agg(F.collect_list(F.struct("word", "c")).alias("known"))
+    parts = stored(sliced(rows, words), f"{folder}/slices")
+    # A word has one row a part at most, so even the most frequent one is a small share.
+    same = Window.partitionBy("word")
+    uses = word_uses(parts).select(
+        "part", "word", "n", F.sum("n").over(same).alias("c"), F.row_number().over(same.orderBy("part")).alias("place")
     )
+    uses = stored(uses.where("c > 0"), f"{folder}/words")
+    size = uses.agg(F.count_if(F.col("place") == 1).alias("distinct"), F.coalesce(F.sum("n"), F.lit(0)).alias("words")).first()
+    known = uses.groupBy("part").agg(F.collect_list(F.struct("word", "c")).alias("known"))
     # A context has one row a part at most, too.
-    nodes = (
-        context_uses(parts).join(tree, "key").groupBy("part").agg(F.collect_list(F.struct("key", "next")).alias("nodes"))
-    )
-    size = totals.agg(F.count("*").alias("distinct"), F.coalesce(F.sum("c"), F.lit(0)).alias("words")).first()
+    nodes = context_uses(parts).join(tree, "key").groupBy("part").agg(F.collect_list(F.struct("key", "next")).alias("nodes"))
     return scored(parts, known, nodes, training.count(), int(size["words"]), int(size["distinct"]))
