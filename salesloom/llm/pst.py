@@ -457,58 +457,80 @@ def _unpacked(parts: DataFrame, names: list[str]) -> DataFrame:
     return parts.mapInArrow(run, ", ".join(f"{name} long" for name in names))
 
 
-def scored(parts: DataFrame, known: DataFrame, tree: DataFrame, texts: int, words: int, distinct: int) -> DataFrame:
-    """The result rows of all slices, with the corpus counts of the words and contexts of their parts beside them."""
+WORD, NODE, SLICE = range(3)
+
+
+def scored(parts: DataFrame, known: DataFrame, nodes: DataFrame, texts: int, words: int, distinct: int) -> DataFrame:
+    """The result rows of all slices.
+
+    known: part, word, c; nodes: part, key, next. They come to the slices of their part row by row,
+    sorted before them, so that no row holds more than one context and each is sent once a part.
+    """
     tokens, types = words + texts, distinct + (texts > 0)
 
+    def answered(slice_: pa.RecordBatch, found: np.ndarray, found_counts: np.ndarray, tree: Nodes) -> pa.RecordBatch:
+        array = lambda name, kind: np.frombuffer(slice_.column(name)[0].as_buffer(), dtype=kind)
+        doc_ids, held = array("doc_ids", np.int64), array("held_out", bool)
+        offsets, own = array("offsets", np.int64), array("vocabulary", np.int64)
+        text = pa.decompress(slice_.column("texts")[0].as_buffer(), int(offsets[-1]), "zstd")
+        lines = pa.Array.from_buffers(pa.large_string(), len(held), [None, pa.py_buffer(offsets), text])
+        split = Words(lines)  # the same numbers as when the vocabulary was written
+        bounds, ids = split.bounds, split.ids
+        at = np.searchsorted(found, own)
+        counts = np.where(found[at] == own, found_counts[at], 0)
+        scores = [_run_sums(run_scores(packed, tree), ends_) for packed, ends_ in _gram_parts(lines)]
+        below = np.log10(tokens + 0.5 * (types + 1))
+        value = np.append(np.log10(counts + 0.5) - below, 0.0)
+        seen = np.append(counts > 0, False)
+        hits = np.concatenate(([0], np.cumsum(seen[ids])))
+        end = np.log10(texts + 0.5) - below
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(doc_ids, mask=~array("id_known", bool)),
+                pa.array(held),
+                pa.array(np.diff(bounds) + 1),
+                pa.array(np.diff(hits[bounds]) + (texts > 0)),
+                pa.array(np.full(len(held), tokens, dtype=np.int64)),
+                pa.array(_run_sums(value[ids], bounds) + end),
+                pa.array(np.concatenate(scores)),
+            ],
+            names=[field.split()[0] for field in RESULT.split(", ")],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, ready, none = None, None, np.empty(0, dtype=np.int64)
         for batch in batches:
-            for k in range(batch.num_rows):
-                raw = {name: batch.column(name)[k] for name in batch.schema.names}
-                array = lambda name, kind: np.frombuffer(raw[name].as_buffer(), dtype=kind)  # noqa: B023, E731
-                doc_ids, held = array("doc_ids", np.int64), array("held_out", bool)
-                offsets, own = array("offsets", np.int64), array("vocabulary", np.int64)
-                text = pa.decompress(raw["texts"].as_buffer(), int(offsets[-1]), "zstd")
-                lines = pa.Array.from_buffers(pa.large_string(), len(held), [None, pa.py_buffer(offsets), text])
-                split = Words(lines)  # the same numbers as when the vocabulary was written
-                bounds, ids = split.bounds, split.ids
-                counts = np.zeros(len(own), dtype=np.int64)
-                if raw["known"].is_valid:
-                    pairs = raw["known"].values
-                    found = pairs.field("word").to_numpy()
-                    order = np.argsort(found)
-                    at = order[np.minimum(np.searchsorted(found, own, sorter=order), len(found) - 1)]
-                    counts = np.where(found[at] == own, pairs.field("c").to_numpy()[at], 0)
-                tree = [np.empty(0, dtype=np.int64)] * 3
-                if raw["nodes"].is_valid:
-                    found = raw["nodes"].values
-                    following = found.field("next")
-                    owner = np.repeat(np.arange(len(found)), following.value_lengths().to_numpy())
-                    tree = [found.field("key").to_numpy(), owner, following.flatten().to_numpy()]
-                nodes = Nodes(*tree)
-                scores = [_run_sums(run_scores(packed, nodes), ends_) for packed, ends_ in _gram_parts(lines)]
-                below = np.log10(tokens + 0.5 * (types + 1))
-                value = np.append(np.log10(counts + 0.5) - below, 0.0)
-                seen = np.append(counts > 0, False)
-                hits = np.concatenate(([0], np.cumsum(seen[ids])))
-                end = np.log10(texts + 0.5) - below
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(doc_ids, mask=~array("id_known", bool)),
-                        pa.array(held),
-                        pa.array(np.diff(bounds) + 1),
-                        pa.array(np.diff(hits[bounds]) + (texts > 0)),
-                        pa.array(np.full(len(held), tokens, dtype=np.int64)),
-                        pa.array(_run_sums(value[ids], bounds) + end),
-                        pa.array(np.concatenate(scores)),
-                    ],
-                    names=[field.split()[0] for field in RESULT.split(", ")],
-                )
-
-    joined = parts.where("texts IS NOT NULL")
-    joined = joined.select("part", "doc_ids", "id_known", "held_out", "texts", "offsets", "vocabulary")
-    joined = joined.join(known, "part", "left").join(tree, "part", "left")
-    return joined.mapInArrow(run, RESULT)
+            owners, kinds = (batch.column(name).to_numpy() for name in ("part", "kind"))
+            begins = np.union1d(first_of(owners), first_of(kinds))
+            for first, last in zip(begins, np.append(begins[1:], len(owners)), strict=True):
+                rows, kind = batch.slice(first, last - first), kinds[first]
+                if owners[first] != part:
+                    part, ready = owners[first], None
+                    own_words, own_nodes = [(none, none)], [(none, none, none)]
+                if kind == WORD:
+                    own_words.append((rows.column("key").to_numpy(), rows.column("c").to_numpy()))
+                elif kind == NODE:
+                    following = rows.column("next")
+                    sizes, runs = following.value_lengths().to_numpy(), following.flatten().to_numpy()
+                    own_nodes.append((rows.column("key").to_numpy(), sizes, runs))
+                else:
+                    if ready is None:  # all that the part asked for has come
+                        found, counts = (np.concatenate(x) for x in zip(*own_words, strict=True))
+                        order = np.argsort(found)
+                        found = np.append(found[order], np.iinfo(np.int64).max)
+                        keys, sizes, runs = (np.concatenate(x) for x in zip(*own_nodes, strict=True))
+                        own_words, own_nodes = [], []
+                        tree = Nodes(keys, np.repeat(np.arange(len(keys)), sizes), runs)
+                        ready = found, np.append(counts[order], 0), tree
+                    for k in range(rows.num_rows):
+                        yield answered(rows.slice(k, 1), *ready)
+
+    columns = ["doc_ids", "id_known", "held_out", "texts", "offsets", "vocabulary"]
+    rows = parts.where("texts IS NOT NULL").select("part", F.lit(SLICE).alias("kind"), *columns)
+    words_ = known.select("part", F.lit(WORD).alias("kind"), F.col("word").alias("key"), "c")
+    contexts = nodes.select("part", F.lit(NODE).alias("kind"), "key", "next")
+    joined = words_.unionByName(contexts, True).unionByName(rows, True)
+    return joined.repartition("part").sortWithinPartitions("part", "kind").mapInArrow(run, RESULT)
 
 
 def _run_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -533,12 +555,12 @@ def score(spark: SparkSession, documents: DataFrame) -> DataFrame:
     parts = stored(sliced(rows, words), f"{folder}/slices")
     # A word has one row a part at most, so even the most frequent one is a small share.
     same = Window.partitionBy("word")
-    uses = word_uses(parts).select(
-        "part", "word", "n", F.sum("n").over(same).alias("c"), F.row_number().over(same.orderBy("part")).alias("place")
-    )
+    uses = word_uses(parts).select("part", "word", "n", F.sum("n").over(same).alias("c"), F.count("*").over(same).alias("places"))
     uses = stored(uses.where("c > 0"), f"{folder}/words")
-    size = uses.agg(F.count_if(F.col("place") == 1).alias("distinct"), F.coalesce(F.sum("n"), F.lit(0)).alias("words")).first()
-    known = uses.groupBy("part").agg(F.collect_list(F.struct("word", "c")).alias("known"))
+    by_places = uses.groupBy("places").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
+    size = by_places.agg(
+        F.coalesce(F.sum(F.expr("rows div places")), F.lit(0)).alias("distinct"), F.coalesce(F.sum("n"), F.lit(0)).alias("words")
+    ).first()
     # A context has one row a part at most, too.
-    nodes = context_uses(parts).join(tree, "key").groupBy("part").agg(F.collect_list(F.struct("key", "next")).alias("nodes"))
-    return scored(parts, known, nodes, training.count(), int(size["words"]), int(size["distinct"]))
+    nodes = context_uses(parts).join(tree, "key")
+    return scored(parts, uses, nodes, training.count(), int(size["words"]), int(size["distinct"]))
