@@ -149,7 +149,7 @@ def extendable(gain: float) -> int:
     return math.ceil(gain * math.e - 1e-6)
 
 
-CANDIDATES = "key long, passed boolean, next array<long>"
+CANDIDATES = "key long, total long, passed boolean, next binary"
 
 
 def tested(counts: DataFrame, known: int, depth: int, gain: float) -> DataFrame:
@@ -210,11 +210,17 @@ def candidates(
             passed = np.bincount(owner, weights=n * np.log(ratio)) >= gain
         kept = passed | (totals >= extendable(gain)) if length else np.ones(len(contexts), dtype=bool)
         chosen = kept[owner]  # runs are in the order of their contexts
-        bounds = np.concatenate(([0], np.cumsum(sizes[kept])))
-        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array((n[chosen] << BITS) | (keys[chosen] & SYMBOL)))
+        bounds = np.concatenate(([0], np.cumsum(sizes[kept]))) * 8
+        runs = (n[chosen] << BITS) | (keys[chosen] & SYMBOL)
+        packed = [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(runs)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array((length << KEY_BITS) | contexts[kept]), pa.array(passed[kept]), lists],
-            names=["key", "passed", "next"],
+            [
+                pa.array((length << KEY_BITS) | contexts[kept]),
+                pa.array(totals[kept].astype(np.int64)),
+                pa.array(passed[kept]),
+                pa.Array.from_buffers(pa.binary(), len(bounds) - 1, packed),
+            ],
+            names=["key", "total", "passed", "next"],
         )
         if length:
             keys, n = short, short_n
@@ -233,7 +239,7 @@ def stored(rows: DataFrame, path: str) -> DataFrame:
 
 
 def learned(spark: SparkSession, training: DataFrame, depth: int = DEPTH, gain: float = GAIN) -> DataFrame:
-    """key, next: the kept contexts (length << KEY_BITS | codes), each with its runs (n << BITS | symbol).
+    """key, next: the kept contexts (length << KEY_BITS | codes), each with its runs (n << BITS | symbol, of 8 bytes each).
 
     Contexts are counted from short to long, LEVELS lengths in one pass over the texts. A pass counts
     only below contexts that can be extended: a filter of fixed size lets all of those through, and a
@@ -245,8 +251,7 @@ def learned(spark: SparkSession, training: DataFrame, depth: int = DEPTH, gain:
         found = tested(counted(training, deepest, known, words), known, deepest, gain)
         parts.append(stored(found, f"{folder}/to={deepest}"))
         if deepest < depth:
-            extended = F.aggregate("next", F.lit(0).cast("long"), lambda a, x: a + F.shiftright(x, BITS)) >= extendable(gain)
-            longest = parts[-1].where((F.shiftright("key", KEY_BITS) == deepest) & extended)
+            longest = parts[-1].where((F.shiftright("key", KEY_BITS) == deepest) & (F.col("total") >= extendable(gain)))
             known, words = deepest, spark.sparkContext.broadcast(context_filter(longest))
     rows = reduce(DataFrame.unionByName, parts)
     # Kept contexts bring their suffixes along, the empty one among them: all can be extended.
@@ -510,9 +515,9 @@ def scored(parts: DataFrame, known: DataFrame, nodes: DataFrame, texts: int, wor
                 if kind == WORD:
                     own_words.append((rows.column("key").to_numpy(), rows.column("c").to_numpy()))
                 elif kind == NODE:
-                    following = rows.column("next")
-                    sizes, runs = following.value_lengths().to_numpy(), following.flatten().to_numpy()
-                    own_nodes.append((rows.column("key").to_numpy(), sizes, runs))
+                    following = rows.column("next").to_pylist()
+                    sizes = np.array([len(x) for x in following]) >> 3
+                    own_nodes.append((rows.column("key").to_numpy(), sizes, np.frombuffer(b"".join(following), dtype=np.int64)))
                 else:
                     if ready is None:  # all that the part asked for has come
                         found, counts = (np.concatenate(x) for x in zip(*own_words, strict=True))

@@ -78,8 +78,8 @@ class Tree:
         rows = pst.learned(spark, training, depth, gain).collect()
         self.depth = depth
         self.keys = np.array([r["key"] for r in rows], dtype=np.int64)
-        owner = np.repeat(np.arange(len(rows)), [len(r["next"]) for r in rows])
-        self.nodes = pst.Nodes(self.keys, owner, np.array([x for r in rows for x in r["next"]], dtype=np.int64))
+        owner = np.repeat(np.arange(len(rows)), [len(r["next"]) // 8 for r in rows])
+        self.nodes = pst.Nodes(self.keys, owner, np.frombuffer(b"".join(r["next"] for r in rows), dtype=np.int64))
 
     def states(self):
         codes = lambda key: key & ((1 << pst.KEY_BITS) - 1)
