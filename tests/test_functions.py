@@ -188,3 +188,20 @@ def test_whole_numbers_may_have_a_zero_fraction(spark):
     frame = spark.createDataFrame([("5.0",), ("-7.",), ("5.5",), ("x",), (None,), (" 8 ",)], "a string")
     rows = frame.select(typed("a", T.LongType()), rejected("a", T.LongType()).alias("bad")).collect()
     assert [tuple(r) for r in rows] == [(5, False), (-7, False), (None, True), (None, True), (None, False), (8, False)]
+
+
+def test_texts_with_letters_skip_the_cast(spark):
+    """A failed cast costs far more than a look for letters; values and rejects stay as they were."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from salesloom.functions.text import parsed, rejected, typed
+
+    assert "RLIKE" in str(parsed(F.col("a"), T.LongType())).upper()
+    texts = [("P-12",), ("many",), ("1e3",), ("0x1F",), ("12L",), ("\t-4\n",), ("+3.00",), ("99999999999999999999",), ("",), (None,)]
+    frame = spark.createDataFrame(texts, "a string")
+    rows = frame.select(typed("a", T.LongType()), rejected("a", T.LongType()).alias("bad")).collect()
+    assert [tuple(r) for r in rows] == [
+        (None, True), (None, True), (None, True), (None, True), (None, True),
+        (-4, False), (3, False), (None, True), (None, True), (None, False),
+    ]
