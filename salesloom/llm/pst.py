@@ -58,6 +58,8 @@ SLICE_BYTES = 8 << 20
 PART_SLICES = 4
 #: Bits of the filter of contexts; more contexts let more others pass and lose none.
 FILTER_BITS = 26
+#: Runs of the tree whose chances are worked out at once.
+NODE_ROWS = 1 << 20
 
 
 def byte_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -327,10 +329,18 @@ class Nodes:
         rank = np.empty(len(order), dtype=np.int64)
         rank[order] = np.arange(len(order))
         self.keys = keys[order]
-        pairs = (rank[owner] << BITS) | (runs & SYMBOL)
+        del order
+        # A part's tree has tens of millions of runs: temporaries are let go as soon as they are used.
+        pairs = rank[owner]
+        pairs <<= BITS
+        pairs |= runs & SYMBOL
         order = np.argsort(pairs)
-        pairs, counts = pairs[order], (runs[order] >> BITS).astype(float)
-        owner, symbols = pairs >> BITS, pairs & SYMBOL
+        pairs = pairs[order]
+        counts = runs[order]
+        del order
+        counts >>= BITS
+        counts = counts.astype(float)
+        owner, symbols = pairs >> BITS, (pairs & SYMBOL).astype(np.int16)
         totals = np.bincount(owner, weights=counts, minlength=len(keys))
         lengths = self.keys >> KEY_BITS
         codes = self.keys & ((1 << KEY_BITS) - 1)
@@ -338,14 +348,17 @@ class Nodes:
         self.suffix = np.searchsorted(self.keys, shorter)
         self.left = BACKOFF / (totals + BACKOFF)  # what a context leaves to its suffix
         self.never = UNSEEN / (totals[0] + UNSEEN * SYMBOLS)
-        self.pairs = np.append(pairs, np.iinfo(np.int64).max)
+        self.pairs = pairs = np.append(pairs, np.iinfo(np.int64).max)
         self.chances = np.zeros(len(self.pairs))
         edges = np.searchsorted(owner, np.searchsorted(lengths, np.arange(lengths[-1] + 2)))
         self.chances[: edges[1]] = (counts[: edges[1]] + UNSEEN) / (totals[0] + UNSEEN * SYMBOLS)
-        for first, last in zip(edges[1:], edges[2:], strict=False):  # shorter contexts are done
-            at = owner[first:last]
-            below = self.chances[np.searchsorted(pairs, (self.suffix[at] << BITS) | symbols[first:last])]
-            self.chances[first:last] = (counts[first:last] + BACKOFF * below) / (totals[at] + BACKOFF)
+        for start, stop in zip(edges[1:], edges[2:], strict=False):  # shorter contexts are done
+            for first in range(start, stop, NODE_ROWS):  # each run on its own: pieces of a level
+                last = min(first + NODE_ROWS, stop)
+                at = owner[first:last]
+                place = np.searchsorted(pairs, (self.suffix[at] << BITS) | symbols[first:last])
+                below = np.where(place < start, self.chances[place], 0.0)  # as before this level was begun
+                self.chances[first:last] = (counts[first:last] + BACKOFF * below) / (totals[at] + BACKOFF)
 
     def chance(self, at: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """Of each symbol after the context keys[at]."""
@@ -526,6 +539,7 @@ def scored(parts: DataFrame, known: DataFrame, nodes: DataFrame, texts: int, wor
                         keys, sizes, runs = (np.concatenate(x) for x in zip(*own_nodes, strict=True))
                         own_words, own_nodes = [], []
                         tree = Nodes(keys, np.repeat(np.arange(len(keys)), sizes), runs)
+                        del keys, sizes, runs  # the tree holds what it needs
                         ready = found, np.append(counts[order], 0), tree
                     for k in range(rows.num_rows):
                         yield answered(rows.slice(k, 1), *ready)

@@ -165,3 +165,30 @@ def test_only_the_divergence_test_bounds_the_tree(shipped, monkeypatch):
     found = {r["doc_id"]: r["score"] for r in pst.score(shipped, frame).collect()}
     for i, t in rows:
         assert math.isclose(found[i], score(raw(t)), rel_tol=1e-9), i
+
+
+def _random_tree(runs=400_000, seed=7):
+    rng = np.random.default_rng(seed)
+    keys = [np.zeros(1, dtype=np.int64)]
+    for length in range(1, pst.DEPTH + 1):
+        codes = rng.integers(0, 1 << (pst.BITS * length), 4000, dtype=np.int64)
+        keys.append(np.unique((length << pst.KEY_BITS) | codes))
+    keys = np.concatenate(keys)
+    pairs = np.unique(rng.integers(0, len(keys) << pst.BITS, runs, dtype=np.int64))
+    pairs = pairs[(pairs & pst.SYMBOL) < pst.SYMBOLS]
+    counts = rng.integers(1, 1000, len(pairs), dtype=np.int64)
+    return keys, pairs >> pst.BITS, (counts << pst.BITS) | (pairs & pst.SYMBOL)
+
+
+def test_nodes_hold_few_temporaries_and_pieces_change_nothing(monkeypatch):
+    import tracemalloc
+
+    keys, owner, runs = _random_tree()
+    tracemalloc.start()
+    whole = pst.Nodes(keys, owner, runs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 52 * len(runs)  # 64 bytes a run before temporaries were let go
+    monkeypatch.setattr(pst, "NODE_ROWS", 1000)
+    pieces = pst.Nodes(keys, owner, runs)
+    assert np.array_equal(whole.chances, pieces.chances) and np.array_equal(whole.pairs, pieces.pairs)
